@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -42,12 +43,21 @@ def deduplicated(df: DataFrame, keys: Sequence[str] | None = None,
     if not keys:
         return df.dropDuplicates()
     rank = "__rank"
-    order = [F.expr(o) if isinstance(o, str) else o for o in order_by]
+    order = [_sort_key(o) if isinstance(o, str) else o for o in order_by]
     order += refs(c for c in df.columns if c not in keys)
     window = Window.partitionBy(refs(keys)).orderBy(order or refs(keys))
     return df.withColumn(rank, F.row_number().over(window)).where(ref(rank) == 1).drop(rank)
 
 
+def _sort_key(text: str) -> Column:
+    """A SQL expression, optionally followed by ``asc`` or ``desc``."""
+    direction = re.search(r"\s+(asc|desc)\s*$", text, re.IGNORECASE)
+    if not direction:
+        return F.expr(text)
+    value = F.expr(text[: direction.start()])
+    return value.desc() if direction[1].lower() == "desc" else value.asc()
+
+
 class RemovedRows:
     """Rows dropped between two points of one plan; known after the plan's first action."""
 

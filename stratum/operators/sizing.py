@@ -9,4 +9,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     """True if Spark's own size estimate is within the session's broadcast threshold."""
     plan = df._jdf.queryExecution().optimizedPlan()
     limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return int(plan.stats().sizeInBytes().toString()) <= limit
+    return int(str(plan.stats().sizeInBytes())) <= limit

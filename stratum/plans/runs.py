@@ -63,13 +63,18 @@ def _run_bronze(spark, spec, info, started, as_of) -> RunResult:
         return RunResult("skipped")
     target = spec.target
     try:
-        if target.corrupt_record and CORRUPT in df.columns:
-            tables.append(corrupt_records(df), target.corrupt_record, location=_beside(target, target.corrupt_record))
-            df = good_records(df)
-        frame = bronze_frame(df, spec, info)
+        screened = Observation() if target.corrupt_record and CORRUPT in df.columns else None
+        good = df
+        if screened:
+            df = df.observe(screened, F.count(ref(CORRUPT)).alias("corrupt"))
+            good = good_records(df)
         counted = Observation()
-        written = frame.observe(counted, F.count(F.lit(1)).alias("rows"))
-        written = _write(spark, written, target, started)
+        written = bronze_frame(good, spec, info).observe(counted, F.count(F.lit(1)).alias("rows"))
+        if target.mode == "merge":
+            written = staged(written, "bronze-input")
+        _write(spark, written, target, started)
+        if screened and screened.get["corrupt"]:
+            tables.append(corrupt_records(df), target.corrupt_record, location=_beside(target, target.corrupt_record))
         _mask(spark, spec)
         rows = counted.get["rows"]
         if spec.audit.load_history:
@@ -163,22 +168,24 @@ def _run_gold(spark, spec, info, started, as_of) -> RunResult:
             continue
         counted = Observation()
         frame = gold_frame(df, spec, target.aggregations).observe(counted, F.count(F.lit(1)).alias("rows"))
+        if target.mode == "merge":
+            frame = staged(frame, "gold-input")
         _write(spark, frame, target, started)
         total += counted.get["rows"]
     _mask(spark, spec)
     return RunResult("success", total)
 
 
-def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.datetime) -> DataFrame:
-    """Write by mode; returns the frame to use for further reads of the same rows."""
+def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.datetime) -> None:
+    """Write by mode. A frame to merge comes staged: the merge reads it several times."""
     if target.mode == "merge":
-        df = staged(df, "merge-input")
         if not spark.catalog.tableExists(target.table):
             tables.create(df, target.table, target.partition_by, target.location)
         elif target.soft_deletes:
             _apply_snapshot(spark, df, target, started)
         else:
-            tables.merge(df, target.table, target.on, target.update, target.insert, target.update_condition)
+            tables.merge(df, target.table, target.on, target.update, target.insert, target.update_condition,
+                         stage=False)
     elif target.mode == "overwrite":
         tables.overwrite(df, target.table, target.partition_by, target.location, target.empty_result)
     elif target.mode == "append":
@@ -187,7 +194,6 @@ def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.d
         tables.append(df, target.table, target.partition_by, target.location, target.schema_evolution)
     else:
         raise ValueError(f"unknown write mode: {target.mode}")
-    return df
 
 
 def _apply_snapshot(spark, snapshot: DataFrame, target: TargetSpec, started: dt.datetime) -> None:

@@ -157,14 +157,17 @@ def merge(
     update: Mapping[str, str] | None = None,
     insert: Mapping[str, str] | None = None,
     update_condition: str | None = None,
+    stage: bool = True,
 ) -> bool:
     """Merge into a table; True if anything was written. An empty source changes nothing.
 
-    The source is staged once, because several steps read it. If the table is partitioned by merge
+    The source is staged once, because several steps read it; pass ``stage=False`` for a source that is
+    a written table already. If the table is partitioned by merge
     keys, only the partitions the source touches are read and rewritten.
     """
     spark = source.sparkSession
-    source = staged(source, "merge-source")
+    if stage:
+        source = staged(source, "merge-source")
     if source.isEmpty():
         return False
     target = spark.table(table)
@@ -185,8 +188,12 @@ def merge(
         part = target.where(_partition_filter(info.partitions, touched))
         result = upserted(part, source, on, update, insert, update_condition)
         rewritten = staged(result, "merge-result")
-        (_balanced(aligned(rewritten, target.schema), info.partitions)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+        # By path: an insert by table name ignores the option and would empty the other partitions.
+        (_balanced(rewritten, info.partitions)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*info.partitions).parquet(info.location))
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
     else:
         overwrite(upserted(target, source, on, update, insert, update_condition), table, info.partitions)
     return True

@@ -73,9 +73,15 @@ CORRUPT = "_corrupt_record"
 
 def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_format: str,
                       schema: StructType, options: Mapping[str, object] | None = None) -> DataFrame:
-    """Permissive CSV or JSON scan that keeps the text of malformed records in ``_corrupt_record``."""
+    """Permissive CSV or JSON scan that keeps the text of malformed records in ``_corrupt_record``.
+
+    Column pruning is off inside the CSV parser: with it, a record counts as malformed or not depending
+    on the columns a query happens to use.
+    """
     full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
     chosen = {**_reader_options(options), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if file_format == "csv":
+        chosen["columnPruning"] = "false"
     df = spark.read.format(file_format).options(**chosen).schema(full).load(paths)
     return df.select("*", F.col("_metadata.file_name").alias("file_name"))
 
@@ -85,7 +91,11 @@ def good_records(df: DataFrame) -> DataFrame:
 
 
 def corrupt_records(df: DataFrame) -> DataFrame:
-    return df.where(ref(CORRUPT).isNotNull()).select("file_name", CORRUPT)
+    """File name and text of the malformed records."""
+    # Spark refuses a scan pruned to the corrupt-record column alone, so the text is joined with nothing
+    # from a data column, which keeps that column in the scan.
+    nothing = F.left(F.coalesce(ref(df.columns[0]).cast("string"), F.lit("")), F.lit(0))
+    return df.where(ref(CORRUPT).isNotNull()).select("file_name", F.concat(ref(CORRUPT), nothing).alias(CORRUPT))
 
 
 def _reader_options(options: Mapping[str, object] | None) -> dict[str, object]:
