@@ -33,7 +33,7 @@ def clean_names(names: Iterable[str], compat: bool = False) -> list[str]:
         unique, number = cleaned, 0
         while fold(unique) in taken:
             number += 1
-            unique = f"{cleaned}_{number}"
+            unique = f"{cleaned.rstrip('_')}_{number}"
         taken.add(fold(unique))
         result.append(unique)
     return result

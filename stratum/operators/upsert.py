@@ -215,11 +215,15 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   hash_column: str | None = None) -> DataFrame:
     """Rows inserted, updated or deleted between two snapshots with unique keys (NULL is a key).
 
-    Deleted rows carry the old values, the others the new ones, plus a ``change`` column. With
+    Deleted rows carry the old values, the others the new ones, plus a ``change`` column. Columns are
+    those of ``after``; one that ``before`` lacks counts as NULL there. With
     ``hash_column`` two rows are equal if their stored fingerprints are; otherwise all columns are
     compared, NULLs included.
     """
     columns = after.columns
+    for field in after.schema.fields:
+        if field.name not in before.columns:
+            before = before.withColumn(field.name, F.lit(None).cast(field.dataType))
     old = before.select(F.struct(refs(columns)).alias("old"), *[ref(k).alias(f"__b{i}") for i, k in enumerate(keys)])
     new = after.select(F.struct(refs(columns)).alias("new"), *[ref(k).alias(f"__a{i}") for i, k in enumerate(keys)])
     same_key = [F.col(f"__b{i}").eqNullSafe(F.col(f"__a{i}")) for i in range(len(keys))]

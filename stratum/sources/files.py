@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.operators.names import with_clean_names
-from stratum.quoting import ref
+from stratum.quoting import ref, refs
 from stratum.sources.csv_splits import is_split, scan_splits
 from stratum.sources.fixed_width import Field, scan_fixed_width
 from stratum.sources.listing import FileRef, discovered
@@ -83,7 +83,14 @@ def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_form
     if file_format == "csv":
         chosen["columnPruning"] = "false"
     df = spark.read.format(file_format).options(**chosen).schema(full).load(paths)
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    # Spark refuses a scan pruned to the corrupt-record column alone, so the text is joined with nothing
+    # from a data column, which keeps that column in the scan whatever a query selects.
+    nothing = F.left(F.coalesce(ref(df.columns[0]).cast("string"), F.lit("")), F.lit(0))
+    return df.select(
+        *refs(schema.names),
+        F.concat(ref(CORRUPT), nothing).alias(CORRUPT),
+        F.col("_metadata.file_name").alias("file_name"),
+    )
 
 
 def good_records(df: DataFrame) -> DataFrame:
@@ -92,10 +99,7 @@ def good_records(df: DataFrame) -> DataFrame:
 
 def corrupt_records(df: DataFrame) -> DataFrame:
     """File name and text of the malformed records."""
-    # Spark refuses a scan pruned to the corrupt-record column alone, so the text is joined with nothing
-    # from a data column, which keeps that column in the scan.
-    nothing = F.left(F.coalesce(ref(df.columns[0]).cast("string"), F.lit("")), F.lit(0))
-    return df.where(ref(CORRUPT).isNotNull()).select("file_name", F.concat(ref(CORRUPT), nothing).alias(CORRUPT))
+    return df.where(ref(CORRUPT).isNotNull()).select("file_name", CORRUPT)
 
 
 def _reader_options(options: Mapping[str, object] | None) -> dict[str, object]:

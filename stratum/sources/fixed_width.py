@@ -38,8 +38,8 @@ def scan_fixed_width(spark: SparkSession, paths: Sequence[str], layout: Sequence
         raise ValueError("a fixed-width scan needs a layout")
     length = int(record_length or max(f.start + f.length for f in layout))
     context = spark.sparkContext._jsc.sc()
-    escaped = ",".join(p.replace("\\", "\\\\").replace(",", "\\,") for p in paths)
-    records = context.binaryRecords(escaped, length, spark._jsparkSession.sessionState().newHadoopConf())
+    inputs = ",".join(_as_pattern(p) for p in paths)
+    records = context.binaryRecords(inputs, length, spark._jsparkSession.sessionState().newHadoopConf())
     encoder = spark.sparkContext._jvm.org.apache.spark.sql.Encoders.BINARY()
     raw = DataFrame(spark._jsparkSession.createDataset(records, encoder).toDF(), spark)
     columns = [decoded(f, code_page, trim).alias(f.name) for f in layout]
@@ -47,6 +47,13 @@ def scan_fixed_width(spark: SparkSession, paths: Sequence[str], layout: Sequence
     return raw.select(*columns, name.alias("file_name"))
 
 
+def _as_pattern(path: str) -> str:
+    """The Hadoop path pattern that matches just this path: pattern characters escaped, and commas,
+    which separate paths outside braces, put into braces."""
+    special = {c: "\\" + c for c in "*?[]{}\\"} | {",": "{\\,}"}
+    return "".join(special.get(c, c) for c in path)
+
+
 def decoded(field: Field, code_page: str = "cp037", trim: bool = True) -> Column:
     raw = F.substring(F.col(_RECORD), field.start + 1, field.length)
     if field.kind == "text":
@@ -59,14 +66,16 @@ def decoded(field: Field, code_page: str = "cp037", trim: bool = True) -> Column
     if field.kind == "packed":
         digits = F.substring(halves, 1, 2 * field.length - 1)
         sign = F.substring(halves, 2 * field.length, 1)
+        valid = "^[0-9]*[A-F]$"
     elif field.kind == "zoned":
         digits = F.regexp_replace(halves, "[0-9A-F]([0-9A-F])", "$1")
         sign = F.substring(halves, 2 * field.length - 1, 1)
+        valid = "^(F[0-9])*[A-F][0-9]$"
     else:
         raise ValueError(f"unknown field kind: {field.kind}")
     signed = F.concat(F.when(sign.isin("B", "D"), F.lit("-")).otherwise(F.lit("")), digits)
-    # A field of blanks or other non-digits holds no number.
-    return _scaled(F.when(digits.rlike("^[0-9]+$"), signed), field.scale)
+    # A field of blanks or other bytes holds no number.
+    return _scaled(F.when(halves.rlike(valid), signed), field.scale)
 
 
 def as_text(raw: Column, code_page: str) -> Column:
