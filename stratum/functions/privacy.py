@@ -54,7 +54,7 @@ def policy_of(mask_name: Column) -> Column:
 def missing_masks(registered: DataFrame, applied: DataFrame,
                   scope: Sequence[str] = ("column",)) -> DataFrame:
     """Registered (scope..., policy) rows for which no mask of that policy is applied yet."""
-    present = applied.select(*[ref(c) for c in scope], policy_of(ref("mask_name")).alias("policy"))
+    present = applied.select(*[ref(c) for c in scope], policy_of(ref("mask_name")).alias("policy")).distinct()
     return registered.join(present, [*scope, "policy"], "left_anti")
 
 

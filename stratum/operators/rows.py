@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from stratum.quoting import ref, refs
 
@@ -35,7 +36,8 @@ def where_not_null(df: DataFrame, column: str) -> DataFrame:
 
 def deduplicated(df: DataFrame, keys: Sequence[str] | None = None,
                  order_by: Sequence[str | Column] = ()) -> DataFrame:
-    """Distinct rows, or one row per key: the first by ``order_by``, ties broken by the other columns.
+    """Distinct rows, or one row per key: the first by ``order_by``, ties broken by the other columns
+    that can be sorted.
 
     ``row_number() = 1`` keeps one row per key on the map side before the shuffle (Spark's window group
     limit), so a key with a third of all rows costs at most one row per input task.
@@ -44,11 +46,19 @@ def deduplicated(df: DataFrame, keys: Sequence[str] | None = None,
         return df.dropDuplicates()
     rank = "__rank"
     order = [_sort_key(o) if isinstance(o, str) else o for o in order_by]
-    order += refs(c for c in df.columns if c not in keys)
+    order += refs(f.name for f in df.schema.fields if f.name not in keys and _sortable(f.dataType))
     window = Window.partitionBy(refs(keys)).orderBy(order or refs(keys))
     return df.withColumn(rank, F.row_number().over(window)).where(ref(rank) == 1).drop(rank)
 
 
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, (MapType, VariantType)):
+        return False
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    return all(_sortable(f.dataType) for f in kind.fields) if isinstance(kind, StructType) else True
+
+
 def _sort_key(text: str) -> Column:
     """A SQL expression, optionally followed by ``asc`` or ``desc``."""
     direction = re.search(r"\s+(asc|desc)\s*$", text, re.IGNORECASE)

@@ -5,7 +5,7 @@ Shape of the upsert plan:
 * changed part: target LEFT JOIN source. A source within the broadcast threshold leaves the target
   unshuffled; a larger one gives a sort-merge join whose target side adaptive execution can split, so
   a hot or NULL target key does not pin one task. Source keys are unique where it matters.
-* inserted part: source LEFT ANTI JOIN the target's key columns, reduced first (see ``_inserted``).
+* inserted part: source LEFT ANTI JOIN the target's key columns, reduced first (see ``_target_keys``).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ class Match:
 
     condition: str
     pairs: tuple[tuple[str, str], ...]
+    only_pairs: bool = True
 
     @property
     def target_keys(self) -> list[str]:
@@ -52,16 +55,19 @@ class Match:
         row would have to meet every source row.
         """
         if isinstance(keys, str):
-            return cls(keys, cls._equalities(keys))
+            pairs, parts = cls._equalities(keys)
+            return cls(keys, pairs, parts == len(pairs))
         if not keys:
             raise ValueError("an upsert needs at least one key column")
         condition = " AND ".join(f"{TARGET}.{quoted(k)} = {SOURCE}.{quoted(k)}" for k in keys)
         return cls(condition, tuple((k, k) for k in keys))
 
     @staticmethod
-    def _equalities(condition: str) -> tuple[tuple[str, str], ...]:
+    def _equalities(condition: str) -> tuple[tuple[tuple[str, str], ...], int]:
+        """The equality pairs and the number of AND-ed parts."""
         pairs = []
-        for part in re.split(r"\band\b", condition, flags=re.IGNORECASE):
+        parts = re.split(r"\band\b", condition, flags=re.IGNORECASE)
+        for part in parts:
             part = part.strip()
             if re.search(r"\bor\b", part, re.IGNORECASE) and not (part[0] == "(" and part[-1] == ")"):
                 pairs = []
@@ -75,7 +81,7 @@ class Match:
                     pairs.append((a, b) if left == TARGET else (b, a))
         if not pairs:
             raise ValueError(f"no equality between tgt and src in merge condition: {condition}")
-        return tuple(pairs)
+        return tuple(pairs), len(parts)
 
 
 def upserted(
@@ -121,18 +127,23 @@ def _updated(target: DataFrame, source: DataFrame, match: Match, update: Mapping
 
 def _inserted(target: DataFrame, source: DataFrame, match: Match, insert: Mapping[str, str]) -> DataFrame:
     condition = F.expr(match.condition)
-    sides = source.alias(SOURCE)
-    used = [c for c in target.columns if re.search(rf"\btgt\.(`{re.escape(c)}`|{re.escape(c)}\b)",
-                                                  match.condition, re.IGNORECASE)]
+    present = _target_keys(target, source, match).alias(TARGET)
+    fresh = source.alias(SOURCE).join(present, condition, "left_anti")
+    return fresh.select([
+        _typed(F.expr(insert[f.name]) if f.name in insert else F.lit(None), f) for f in target.schema.fields
+    ])
+
+
+def _target_keys(target: DataFrame, source: DataFrame, match: Match) -> DataFrame:
+    """The target's values of the columns in the condition, at least those the source can match."""
+    used = [c for c in target.columns
+            if re.search(rf"\btgt\.(`{re.escape(c)}`|{re.escape(c)}\b)", match.condition, re.IGNORECASE)]
     keys = target.select(refs(used))
     if fits_broadcast(source):
         # A small source filters the target's keys where they are; only the hits are shuffled.
-        keys = keys.alias(TARGET).join(sides, condition, "left_semi")
+        keys = keys.alias(TARGET).join(source.alias(SOURCE), F.expr(match.condition), "left_semi")
     # Distinct combines on the map side, so a hot key travels once per task.
-    fresh = sides.join(keys.distinct().alias(TARGET), condition, "left_anti")
-    return fresh.select([
-        _typed(F.expr(insert[f.name]) if f.name in insert else F.lit(None), f) for f in target.schema.fields
-    ])
+    return keys.distinct()
 
 
 def _update_match(match: Match, update_condition: str | None) -> Column:
@@ -162,20 +173,29 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def ambiguous_matches(target: DataFrame, source: DataFrame, on: str | Sequence[str],
                       update_condition: str | None = None) -> DataFrame:
-    """Target rows that more than one source row would update. Must be empty before an upsert.
+    """Source keys with several rows that would update the same target row. Must be empty before an upsert.
 
     Repeated source keys that match no target row are legal: all of them are inserted.
     """
     match = Match.on(on)
-    suspects = source.join(repeated_keys(source, match.source_keys), match.source_keys, "left_semi")
+    repeated = repeated_keys(source, match.source_keys)
+    if match.only_pairs and update_condition is None:
+        # The keys decide alone: no pair of rows needs to be formed.
+        keys = [F.col(f"{SOURCE}.{quoted(s)}") for s in match.source_keys]
+        hits = repeated.alias(SOURCE).join(
+            _target_keys(target, repeated, match).alias(TARGET), F.expr(match.condition), "left_semi")
+        return hits.select(*keys, F.col("rows").alias("source_rows"))
+    suspects = source.join(repeated, match.source_keys, "left_semi").alias(SOURCE)
     numbered = target.withColumn(_ROW, F.monotonically_increasing_id()).alias(TARGET)
-    hits = numbered.join(suspects.alias(SOURCE), _update_match(match, update_condition), "inner")
-    keys = [_old(k) for k in match.target_keys]
+    hits = numbered.join(suspects, _update_match(match, update_condition), "inner")
+    keys = [F.col(f"{SOURCE}.{quoted(s)}") for s in match.source_keys]
+    # Counting starts in the join's own tasks, so matches are not shuffled one by one.
     return (
         hits.groupBy(F.col(f"{TARGET}.{_ROW}"), *keys)
         .agg(F.count(F.lit(1)).alias("source_rows"))
         .where("source_rows > 1")
-        .drop(_ROW)
+        .groupBy(refs(match.source_keys))
+        .agg(F.max("source_rows").alias("source_rows"))
     )
 
 
@@ -220,29 +240,54 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
     ``hash_column`` two rows are equal if their stored fingerprints are; otherwise all columns are
     compared, NULLs included.
     """
-    columns = after.columns
     for field in after.schema.fields:
         if field.name not in before.columns:
             before = before.withColumn(field.name, F.lit(None).cast(field.dataType))
+    before = before.select(refs(after.columns))
+    if hash_column:
+        return _diff_by_hash(before, after, keys, hash_column)
+    columns = after.columns
+    joined = _full_join(before, after, keys, columns)
+    compared = [c for c in columns if c not in keys]
+    change = _change([F.col("old")[c].eqNullSafe(F.col("new")[c]) for c in compared])
+    return (
+        joined.select(change.alias("change"), F.coalesce("new", "old").alias("row"))
+        .where("change IS NOT NULL")
+        .select("change", *[F.col("row")[c].alias(c) for c in columns])
+    )
+
+
+def _diff_by_hash(before: DataFrame, after: DataFrame, keys: Sequence[str], hash_column: str) -> DataFrame:
+    """Only keys and hashes meet in the full join; the changed rows are then fetched by key."""
+    narrow = [*keys, hash_column]
+    joined = _full_join(before.select(refs(narrow)), after.select(refs(narrow)), keys, narrow)
+    change = _change([F.col("old")[hash_column].eqNullSafe(F.col("new")[hash_column])])
+    changed = joined.select(
+        change.alias("change"),
+        *[F.coalesce("new", "old")[k].alias(f"__c{i}") for i, k in enumerate(keys)],
+    ).where("change IS NOT NULL")
+    same_key = [ref(k).eqNullSafe(F.col(f"__c{i}")) for i, k in enumerate(keys)]
+
+    def rows(side: DataFrame, condition: str) -> DataFrame:
+        return side.join(changed.where(condition), same_key).select("change", *refs(side.columns))
+
+    return rows(after, "change <> 'delete'").unionByName(rows(before, "change = 'delete'"))
+
+
+def _full_join(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     old = before.select(F.struct(refs(columns)).alias("old"), *[ref(k).alias(f"__b{i}") for i, k in enumerate(keys)])
     new = after.select(F.struct(refs(columns)).alias("new"), *[ref(k).alias(f"__a{i}") for i, k in enumerate(keys)])
     same_key = [F.col(f"__b{i}").eqNullSafe(F.col(f"__a{i}")) for i in range(len(keys))]
-    compared = [hash_column] if hash_column else [c for c in columns if c not in keys]
-    same_row = [F.col("old")[c].eqNullSafe(F.col("new")[c]) for c in compared]
-    unchanged = F.lit(True)
-    for equal in same_row:
-        unchanged = unchanged & equal
-    change = (
+    return old.join(new, same_key, "full_outer")
+
+
+def _change(same_values: Sequence[Column]) -> Column:
+    unchanged = reduce(and_, same_values, F.lit(True))
+    return (
         F.when(F.col("old").isNull(), "insert")
         .when(F.col("new").isNull(), "delete")
         .when(~unchanged, "update")
     )
-    return (
-        old.join(new, same_key, "full_outer")
-        .select(change.alias("change"), F.coalesce("new", "old").alias("row"))
-        .where("change IS NOT NULL")
-        .select("change", *[F.col("row")[c].alias(c) for c in columns])
-    )
 
 
 def diff_applied(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

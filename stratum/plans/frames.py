@@ -48,7 +48,8 @@ def extracted(spark: SparkSession, spec: PipelineSpec,
             schema = spark.createDataFrame([], source.schema).schema
             return scan_with_corrupt(spark, [f.path for f in files], source.format, schema, source.options), files
         return scan_folder(spark, source.path, source.format, source.options, source.extension,
-                           source.last_n_days, as_of, source.split_enabled, source.header_mode, source.layout)
+                           source.last_n_days, as_of, source.split_enabled, source.header_mode, source.layout,
+                           source.compat_names)
     raise ValueError(f"source type {source.kind} is read by the streaming module")
 
 

@@ -17,8 +17,10 @@ from stratum.sources.listing import FileRef
 
 HEADER_MODES = ("auto", "no_header", "all_header", "one_header")
 _HONOURED = ("quote", "escape", "columnNameOfCorruptRecord")
-_PEEK_BYTES = 64 * 1024
 _PEEK_THREADS = 16
+_PEEK_BYTES = 4 * 1024
+# A file without a line end in its first megabyte has no header line.
+_PEEK_LIMIT = 1024 * 1024
 
 
 def is_split(files: Sequence[FileRef]) -> bool:
@@ -113,8 +115,7 @@ def first_rows(spark: SparkSession, files: Sequence[FileRef],
             stream = path.getFileSystem(conf).open(path)
             try:
                 codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-                source = stream if codec is None else codec.createInputStream(stream)
-                head = bytes(source.readNBytes(_PEEK_BYTES))
+                head = _first_bytes(stream if codec is None else codec.createInputStream(stream))
             finally:
                 stream.close()
         except Exception:
@@ -133,6 +134,17 @@ def first_rows(spark: SparkSession, files: Sequence[FileRef],
         return list(pool.map(peek, files))
 
 
+def _first_bytes(stream) -> bytes:
+    """Bytes up to the end of the first line with text in it, or a little more."""
+    head = b""
+    while len(head) < _PEEK_LIMIT:
+        more = bytes(stream.readNBytes(_PEEK_BYTES))
+        head += more
+        if len(more) < _PEEK_BYTES or b"\n" in head.lstrip():
+            break
+    return head
+
+
 def _read(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object], header: bool,
           schema: StructType | None = None) -> DataFrame:
     chosen = {

@@ -17,6 +17,8 @@ from stratum.sources.listing import FileRef, discovered
 
 # Fixed value: formats Spark reads by itself here. Table formats need their package on the class path.
 FORMATS = ("csv", "parquet", "json", "orc", "text", "xml", "binaryFile", "delta", "fixed_width")
+# Fixed value: another name for fixed-width files; the layout replaces the copybook.
+ALIASES = {"cobol": "fixed_width"}
 
 
 def scan_files(spark: SparkSession, files: Sequence[FileRef], file_format: str,
@@ -54,15 +56,17 @@ def scan_folder(
     split_enabled: bool = True,
     header_mode: str = "auto",
     layout: Sequence[Field] = (),
+    compat_names: bool = False,
 ) -> tuple[DataFrame | None, list[FileRef]]:
     """Discover and scan. Returns the frame, or None if there is nothing to read, and the files."""
+    file_format = ALIASES.get(file_format, file_format)
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
     files = discovered(spark, path, extension, last_n_days, as_of)
     if not files:
         return None, files
     if file_format == "csv":
-        return scan_csv(spark, files, options, split_enabled, header_mode, extension), files
+        return scan_csv(spark, files, options, split_enabled, header_mode, extension, compat_names), files
     if file_format == "fixed_width":
         return scan_fixed_width(spark, [f.path for f in files], layout, **dict(options or {})), files
     return scan_files(spark, files, file_format, options), files

@@ -58,6 +58,7 @@ class SourceSpec:
     header_mode: str = "auto"
     schema: str | None = None
     layout: tuple[Field, ...] = ()
+    compat_names: bool = False
     url: str | None = None
     partition_column: str | None = None
     bounds: tuple[Any, ...] = ()
@@ -91,6 +92,7 @@ class SourceSpec:
             header_mode=header_mode(detailed.get("header")),
             schema=props.get("schema"),
             layout=tuple(Field(**f) for f in props.get("layout") or ()),
+            compat_names=flag(props.get("compat_names")),
             url=props.get("url"),
             partition_column=props.get("partition_column"),
             bounds=tuple(props.get("bounds") or ()),

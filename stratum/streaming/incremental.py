@@ -39,12 +39,14 @@ def drain(stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, i
 
 def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                    ) -> Callable[[DataFrame, int], None]:
-    """Batch writer that appends to a folder partitioned by batch number.
+    """Batch writer that appends to a folder partitioned by stream and batch number.
 
     A batch that is replayed after a failure overwrites its own partition, so no row is written twice.
+    The stream's id is kept in its checkpoint: a stream with a new checkpoint starts new partitions.
     """
     def write(batch: DataFrame, number: int) -> None:
-        (transform(batch).withColumn(BATCH, F.lit(number).cast("bigint"))
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        (transform(batch).withColumn(BATCH, F.lit(f"{stream}-{number}"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH).parquet(path))
 

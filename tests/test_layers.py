@@ -247,4 +247,10 @@ def test_incremental_append_run(spark, tmp_path, name):
     for n in (1, 2):
         spark.createDataFrame([(n,)], "v int").write.mode("append").json(f"{base}/in")
         run_incremental(spark, spec, INFO, f"{base}/cp")
-    assert values(spark.table(name).select("v", "run_id", "ingest_batch")) == [(1, "r1", 0), (2, "r1", 1)]
+    rows = values(spark.table(name).select("v", "run_id", "ingest_batch"))
+    assert [r[:2] for r in rows] == [(1, "r1"), (2, "r1")]
+    (first, zero), (second, one) = (r[2].rsplit("-", 1) for r in rows)
+    assert first == second and len(first) == 36 and (zero, one) == ("0", "1")
+    # A new checkpoint is a new stream: it reads all files again and overwrites none of the old batches.
+    run_incremental(spark, spec, INFO, f"{base}/cp2")
+    assert spark.table(name).count() == 4

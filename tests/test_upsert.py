@@ -90,6 +90,13 @@ def test_ambiguity_depends_on_the_update_condition(spark):
     assert values(upserted(tgt, src, ["k"], update_condition="src.v > tgt.v")) == [(1, 9, "y")]
 
 
+def test_ambiguous_keys_with_hot_groups_form_no_pairs(spark):
+    tgt = spark.range(3000).selectExpr("1 as k", "id as v")
+    src = spark.range(3000).selectExpr("1 as k", "id as v").unionByName(spark.range(2).selectExpr("5 as k", "id as v"))
+    got = both_ways(spark, lambda: ambiguous_matches(tgt, src, ["k"]))
+    assert got == [(1, 3000)]
+
+
 def test_null_keys_are_never_repeated_keys(spark):
     assert repeated_keys(frame(spark, [(None, 1, "a"), (None, 2, "b")]), ["k"]).isEmpty()
 
@@ -159,6 +166,11 @@ def test_diff_with_null_key_new_column_and_stored_hash(spark):
     before = frame(spark, [(1, 1, "h"), (2, 1, "h")])
     after = frame(spark, [(1, 9, "h"), (2, 1, "i")])
     assert values(snapshot_diff(before, after, ["k"], hash_column="s")) == [("update", 2, 1, "i")]
+    before = frame(spark, [(None, 1, "h"), (3, 1, "gone")])
+    after = frame(spark, [(None, 2, "i"), (4, 1, "new")])
+    assert values(snapshot_diff(before, after, ["k"], hash_column="s")) == [
+        ("delete", 3, 1, "gone"), ("insert", 4, 1, "new"), ("update", None, 2, "i")]
+    before = frame(spark, [(1, 1, "h"), (2, 1, "h")])
     wider = frame(spark, [(1, 1, "x"), (2, 1, None)])
     assert values(snapshot_diff(before.drop("s"), wider, ["k"])) == [("update", 1, 1, "x")]
 
