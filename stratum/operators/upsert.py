@@ -126,14 +126,27 @@ def _updated(target: DataFrame, source: DataFrame, match: Match, update: Mapping
 
 
 def _inserted(target: DataFrame, source: DataFrame, match: Match, insert: Mapping[str, str]) -> DataFrame:
-    condition = F.expr(match.condition)
-    present = _target_keys(target, source, match).alias(TARGET)
-    fresh = source.alias(SOURCE).join(present, condition, "left_anti")
-    return fresh.select([
+    # Rows with a NULL key match nothing and stay out of the join, where they would meet in one task.
+    complete = _has_all(match.source_keys)
+    keyed = source.where(complete)
+    present = _target_keys(target, keyed, match).alias(TARGET)
+    fresh = keyed.alias(SOURCE).join(present, F.expr(match.condition), "left_anti")
+    return as_inserts(target, fresh.unionByName(source.where(~complete)), insert)
+
+
+def as_inserts(target: DataFrame, rows: DataFrame, insert: Mapping[str, str] | None = None) -> DataFrame:
+    """Source rows in the shape they are inserted into the target."""
+    if insert is None:
+        insert = {c: f"{SOURCE}.{quoted(c)}" for c in target.columns if c in rows.columns}
+    return rows.alias(SOURCE).select([
         _typed(F.expr(insert[f.name]) if f.name in insert else F.lit(None), f) for f in target.schema.fields
     ])
 
 
+def _has_all(keys: Sequence[str]) -> Column:
+    return reduce(and_, (ref(k).isNotNull() for k in keys))
+
+
 def _target_keys(target: DataFrame, source: DataFrame, match: Match) -> DataFrame:
     """The target's values of the columns in the condition, at least those the source can match."""
     used = [c for c in target.columns
@@ -167,18 +180,19 @@ def _known(target: DataFrame, mapping: Mapping[str, str]) -> None:
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys without NULLs that occur more than once; counts combine on the map side."""
-    counts = df.dropna(subset=list(keys)).groupBy(refs(keys)).agg(F.count(F.lit(1)).alias("rows"))
+    counts = df.where(_has_all(keys)).groupBy(refs(keys)).agg(F.count(F.lit(1)).alias("rows"))
     return counts.where("rows > 1")
 
 
 def ambiguous_matches(target: DataFrame, source: DataFrame, on: str | Sequence[str],
-                      update_condition: str | None = None) -> DataFrame:
+                      update_condition: str | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """Source keys with several rows that would update the same target row. Must be empty before an upsert.
 
     Repeated source keys that match no target row are legal: all of them are inserted.
     """
     match = Match.on(on)
-    repeated = repeated_keys(source, match.source_keys)
+    if repeated is None:
+        repeated = repeated_keys(source, match.source_keys)
     if match.only_pairs and update_condition is None:
         # The keys decide alone: no pair of rows needs to be formed.
         keys = [F.col(f"{SOURCE}.{quoted(s)}") for s in match.source_keys]

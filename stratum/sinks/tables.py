@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratum.operators.upsert import Match, ambiguous_matches, repeated_keys, upserted
+from stratum.operators.upsert import Match, ambiguous_matches, as_inserts, repeated_keys, upserted
 from stratum.quoting import quoted, ref
 from stratum.scratch import staged
 
@@ -176,18 +176,29 @@ def merge(
         _merge_natively(source, table, on, update, insert, update_condition)
         return True
     match = Match.on(on)
-    if not repeated_keys(source, match.source_keys).isEmpty():
-        if not ambiguous_matches(target, source, on, update_condition).isEmpty():
+    staged_source, loose = source, None
+    repeated = repeated_keys(source, match.source_keys)
+    if not repeated.isEmpty():
+        repeated = staged(repeated, "merge-repeated")
+        if not ambiguous_matches(target, source, on, update_condition, repeated).isEmpty():
             raise AmbiguousMerge(f"several source rows match one row of {table}")
+        if match.only_pairs and update_condition is None:
+            # Keys that repeat are now known to be new: their rows, however many, need no join with the target.
+            loose = source.join(repeated, match.source_keys, "left_semi")
+            source = source.join(repeated, match.source_keys, "left_anti")
+
+    def merged(rows: DataFrame) -> DataFrame:
+        result = upserted(rows, source, on, update, insert, update_condition)
+        inserting = loose is not None and (insert is None or insert)
+        return result.unionByName(as_inserts(target, loose, insert)) if inserting else result
 
     same_name = {t for t, s in match.pairs if t == s}
     touched = None
     if info.partitions and set(info.partitions) <= same_name:
-        touched = source.select([ref(p) for p in info.partitions]).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+        touched = staged_source.select([ref(p) for p in info.partitions]).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     if touched is not None and len(touched) <= MAX_LISTED_PARTITIONS:
         part = target.where(_partition_filter(info.partitions, touched))
-        result = upserted(part, source, on, update, insert, update_condition)
-        rewritten = staged(result, "merge-result")
+        rewritten = staged(merged(part), "merge-result")
         # By path: an insert by table name ignores the option and would empty the other partitions.
         (_balanced(rewritten, info.partitions)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -195,7 +206,7 @@ def merge(
         spark.catalog.recoverPartitions(table)
         spark.catalog.refreshTable(table)
     else:
-        overwrite(upserted(target, source, on, update, insert, update_condition), table, info.partitions)
+        overwrite(merged(target), table, info.partitions)
     return True
 
 

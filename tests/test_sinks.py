@@ -89,6 +89,15 @@ def test_ambiguous_merge_leaves_the_table_alone(spark, name):
     assert values(spark.table(name)) == [(1, "a"), (5, "x"), (5, "y")]
 
 
+@pytest.mark.parametrize("parts", [[], ["k"]])
+def test_repeated_new_keys_beside_updates_and_nulls(spark, name, parts):
+    tables.create(frame(spark, [(1, "a"), (2, "b"), (None, "n")]), name, parts)
+    source = [(1, "A"), (7, "x"), (7, "y"), (7, "z"), (None, "m"), (None, "m"), (3, "c")]
+    tables.merge(frame(spark, source), name, ["k"])
+    assert sorted((str(r.k), r.v) for r in spark.table(name).collect()) == sorted(
+        [("1", "A"), ("2", "b"), ("None", "n"), ("7", "x"), ("7", "y"), ("7", "z"), ("None", "m"), ("None", "m"), ("3", "c")])
+
+
 def test_merge_rewrites_touched_partitions_only(spark, name):
     schema = "k int, v string, p string"
     tables.create(frame(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", None)], schema), name, ["p"])
