@@ -51,9 +51,9 @@ def run(spark: SparkSession, spec: PipelineSpec, info: RunInfo, as_of: dt.date |
         result = runner(spark, spec, info, started, as_of)
     except Exception as problem:
         log.exception("%s failed", spec.name)
-        _record_status(spark, spec, info, started, RunResult("failed"), str(problem))
+        record_status(spark, spec, info, started, RunResult("failed"), str(problem))
         raise
-    _record_status(spark, spec, info, started, result, None)
+    record_status(spark, spec, info, started, result, None)
     return result
 
 
@@ -75,7 +75,7 @@ def _run_bronze(spark, spec, info, started, as_of) -> RunResult:
         _write(spark, written, target, started)
         if screened and screened.get["corrupt"]:
             tables.append(corrupt_records(df), target.corrupt_record, location=_beside(target, target.corrupt_record))
-        _mask(spark, spec)
+        publish_masks(spark, spec)
         rows = counted.get["rows"]
         if spec.audit.load_history:
             history = _file_history(spark, spec, info, started, written, files, rows)
@@ -138,12 +138,25 @@ def _run_silver(spark, spec, info, started, as_of) -> RunResult:
     if failing:
         if target.mode == "overwrite" and written is frame and not spec.stage_input:
             checked = quality.annotated(spark.table(target.table), rules)
-        _record_failures(spec, info, quality.quarantined(checked))
-    _mask(spark, spec)
+        record_failures(spec, info, quality.quarantined(checked))
+    publish_masks(spark, spec)
     return RunResult("success", counted.get["rows"], failing)
 
 
-def _record_failures(spec: PipelineSpec, info: RunInfo, failing: DataFrame) -> None:
+def checked_batch(frame: DataFrame, spec: PipelineSpec, info: RunInfo) -> DataFrame:
+    """Apply the rules to one written-out batch: record what fails, return the rows to load."""
+    rules = list(spec.rules)
+    if not rules:
+        return frame
+    frame = staged(frame, "silver-batch")
+    checked = quality.annotated(frame, rules)
+    failing = quality.quarantined(checked)
+    if not failing.isEmpty():
+        record_failures(spec, info, failing)
+    return quality.passed(checked) if spec.on_fail == "drop" else frame
+
+
+def record_failures(spec: PipelineSpec, info: RunInfo, failing: DataFrame) -> None:
     """Exception rows and summary, both from the failing rows written out once."""
     audit, table, names = spec.audit, spec.target.table, spec.lineage
     if not (audit.exceptions or audit.summary):
@@ -172,7 +185,7 @@ def _run_gold(spark, spec, info, started, as_of) -> RunResult:
             frame = staged(frame, "gold-input")
         _write(spark, frame, target, started)
         total += counted.get["rows"]
-    _mask(spark, spec)
+    publish_masks(spark, spec)
     return RunResult("success", total)
 
 
@@ -204,7 +217,7 @@ def _apply_snapshot(spark, snapshot: DataFrame, target: TargetSpec, started: dt.
     tables.overwrite(result, target.table, target.partition_by)
 
 
-def _mask(spark: SparkSession, spec: PipelineSpec) -> None:
+def publish_masks(spark: SparkSession, spec: PipelineSpec) -> None:
     """Readers get the masked view; every registered policy is part of it from the start."""
     if not spec.masks:
         return
@@ -213,7 +226,7 @@ def _mask(spark: SparkSession, spec: PipelineSpec) -> None:
         publish_masked_view(spark, target.table, view, spec.masks)
 
 
-def _record_status(spark, spec, info, started, result: RunResult, error: str | None) -> None:
+def record_status(spark, spec, info, started, result: RunResult, error: str | None) -> None:
     if not spec.audit.run_status:
         return
     target = ", ".join(t.table for t in spec.targets)

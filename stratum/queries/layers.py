@@ -1,5 +1,6 @@
 """Whole layer runs, read back from their tables."""
 
+from stratum.operators.aggregate import aggregated
 from stratum.operators.columns import RunInfo
 from stratum.plans.runs import run
 from stratum.queries import query, table
@@ -123,16 +124,16 @@ def silver_exceptions(spark, sf):
 @query("""
     SELECT 'by_status' AS target, o_orderstatus AS key, count(*) AS orders FROM orders GROUP BY o_orderstatus
     UNION ALL SELECT 'by_year', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders GROUP BY 2
-    UNION ALL SELECT 'kept', 'old', 0
+    UNION ALL SELECT 'kept', 'old', count(*) FROM orders
 """)
 def gold_multi_target(spark, sf):
     """A table, a view, and a target whose empty result leaves the old rows in place."""
     name, base = fresh_table("gold"), folder(spark, "gold")
     orders = table(spark, sf, "orders")
     tables.create(orders, f"{name}_in", location=f"{base}/in")
-    tables.create(orders.limit(1).selectExpr("'old' as o_orderstatus", "cast(0 as bigint) as orders"), f"{name}_kept",
-                  location=f"{base}/kept")
     count = [{"name": "orders", "expr": "count(*)"}]
+    old = aggregated(orders, [], count, whole_table=True).selectExpr("'old' as o_orderstatus", "orders")
+    tables.create(old, f"{name}_kept", location=f"{base}/kept")
     run(spark, PipelineSpec.of({
         "pipeline_metadata": {"name": "orders_gold", "layer": "gold"},
         "source": {"type": "delta_table", "properties": {"table": f"{name}_in"}},

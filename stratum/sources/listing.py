@@ -20,13 +20,21 @@ class FileRef:
         return self.path.rsplit("/", 1)[0]
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
 def _entries(spark: SparkSession, folder: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs, path = _file_system(spark, folder)
     return fs.listStatus(path)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    fs, path = _file_system(spark, folder)
+    return fs.exists(path)
+
+
 def files_in(spark: SparkSession, folders: str | Sequence[str], extension: str = "") -> list[FileRef]:
     """Files directly in the folders whose path ends with ``extension`` (case-sensitive).
 

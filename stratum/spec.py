@@ -261,6 +261,8 @@ class PipelineSpec:
         targets = tuple(TargetSpec.of(e) for e in entries)
         if len(targets) > 1 and layer != "gold":
             raise ValueError("only gold writes several targets")
+        if any(t.corrupt_record for t in targets) and not (source.kind == "file" and source.schema):
+            raise ValueError("destination: corrupt_record needs a file source with a schema")
         security = config.get("security") or {}
         return cls(
             name=meta.get("name") or "unnamed",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql.types import StructType
 
 from stratum.operators.columns import RunInfo
 from stratum.plans.frames import bronze_frame, silver_frame
+from stratum.plans.runs import RunResult, checked_batch, publish_masks, record_status
 from stratum.sinks import tables
+from stratum.sources.listing import exists
 from stratum.spec import PipelineSpec
 
 BATCH = "ingest_batch"
@@ -70,14 +73,17 @@ def run_incremental(spark: SparkSession, spec: PipelineSpec, info: RunInfo, chec
     """Run a bronze or silver spec over the files that are new since the last run.
 
     Append targets are folders of batches (``destination.location``), registered as a table; merge
-    targets are tables.
+    targets are tables. Silver rules are applied to each batch; a replayed batch loads its rows once but
+    may record its failures again.
     """
     source, target = spec.source, spec.target
     if source.kind != "incremental" or not source.schema:
         raise ValueError("an incremental run needs an incremental source with a schema")
 
     def transform(batch: DataFrame) -> DataFrame:
-        return bronze_frame(batch, spec, info) if spec.layer == "bronze" else silver_frame(batch, spec)
+        if spec.layer == "bronze":
+            return bronze_frame(batch, spec, info)
+        return checked_batch(silver_frame(batch, spec), spec, info)
 
     stream = new_files(spark, source.path, source.format, source.schema, source.options)
     if target.mode == "merge":
@@ -87,13 +93,22 @@ def run_incremental(spark: SparkSession, spec: PipelineSpec, info: RunInfo, chec
         writer = append_batches(target.location, transform)
     else:
         raise ValueError("an incremental run appends to a location or merges into a table")
-    drain(stream, checkpoint, writer)
-    if target.mode == "append":
-        _register(spark, target.table, target.location)
+    started = info.started or dt.datetime.now(dt.timezone.utc)
+    try:
+        drain(stream, checkpoint, writer)
+        if target.mode == "append" and exists(spark, target.location):
+            _register(spark, target.table, target.location)
+        if spark.catalog.tableExists(target.table):
+            # Batches are written by a session of their own; this one may hold the table's earlier location.
+            spark.catalog.refreshTable(target.table)
+            publish_masks(spark, spec)
+    except Exception as problem:
+        record_status(spark, spec, info, started, RunResult("failed"), str(problem))
+        raise
+    record_status(spark, spec, info, started, RunResult("success"), None)
 
 
 def _register(spark: SparkSession, table: str, location: str) -> None:
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=location, source="parquet")
     spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)

@@ -131,10 +131,10 @@ def test_bronze_merge_and_soft_delete(spark, tmp_path, name):
     assert got == [("1", "A", "r1", True), ("2", "B2", "r2", False), ("3", "C", "r2", False)]
 
 
-def silver(source, name, **extra):
+def silver(source_table, name, **extra):
     return PipelineSpec.of({
         "pipeline_metadata": {"name": "s", "layer": "silver"},
-        "source": {"type": "table", "properties": {"table": source}},
+        "source": {"type": "table", "properties": {"table": source_table}},
         "transform": {"casts": [{"column": "v", "to_type": "int"}], "standardize": {"trim_strings": True}},
         "data_quality": [
             {"check": {"function": "sql_expression", "arguments": {"expression": "v > 0", "name": "pos", "msg": "m"}}},
@@ -244,6 +244,9 @@ def test_incremental_append_run(spark, tmp_path, name):
         "pipeline_metadata": {"name": "i", "layer": "bronze"},
         "source": {"type": "cloudfiles", "properties": {"source_path": f"{base}/in", "format": "json", "schema": "v int"}},
         "destination": {"table": name, "mode": "append", "location": f"{base}/out"}})
+    os.makedirs(f"{base}/in")
+    run_incremental(spark, spec, INFO, f"{base}/cp")
+    assert not spark.catalog.tableExists(name)
     for n in (1, 2):
         spark.createDataFrame([(n,)], "v int").write.mode("append").json(f"{base}/in")
         run_incremental(spark, spec, INFO, f"{base}/cp")
@@ -254,3 +257,31 @@ def test_incremental_append_run(spark, tmp_path, name):
     # A new checkpoint is a new stream: it reads all files again and overwrites none of the old batches.
     run_incremental(spark, spec, INFO, f"{base}/cp2")
     assert spark.table(name).count() == 4
+
+
+def test_incremental_silver_applies_the_rules(spark, tmp_path, name):
+    base = str(tmp_path)
+    spec = silver("unused", name, on_fail="drop",
+                  source={"type": "incremental", "properties": {
+                      "source_path": f"{base}/in", "format": "json", "schema": "k int, v string"}},
+                  destination={"table": name, "mode": "merge", "primary_keys": ["k"]},
+                  security={"masking": [{"column": "k", "policy": "mask_null"}]})
+    for rows in ([(1, "5"), (2, "0")], [(1, "6"), (3, "12")]):
+        spark.createDataFrame(rows, "k int, v string").write.mode("append").json(f"{base}/in")
+        run_incremental(spark, spec, INFO, f"{base}/cp")
+    assert values(spark.table(name).select("k", "v")) == [(1, 6), (3, 12)]
+    assert values(spark.table(f"{name}_q").select("name", "count")) == [("low", 1), ("pos", 1)]
+    assert spark.table(f"{name}_masked").where("k is null").count() == 2
+
+
+@pytest.mark.parametrize("mode,on_fail,reads", [("overwrite", "record", 1), ("merge", "drop", 1), ("append", "record", 2)])
+def test_silver_source_reads(spark, name, mode, on_fail, reads):
+    data = [(i, str(i - 2)) for i in range(5)]
+    counter = spark.sparkContext.accumulator(0)
+    source = spark.createDataFrame(
+        spark.sparkContext.parallelize(data, 2).map(lambda row: (counter.add(1), row)[1]), "k int, v string")
+    source.createOrReplaceTempView(f"{name}_in")
+    spec = silver(f"{name}_in", name, on_fail=on_fail, destination={"table": name, "mode": mode, "primary_keys": ["k"]})
+    assert run(spark, spec, INFO).failing_rows == 3
+    assert spark.table(f"{name}_e").count() == 3
+    assert counter.value == reads * len(data)

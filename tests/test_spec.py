@@ -68,6 +68,7 @@ def test_defaults():
     (("destination",), {"table": "t", "enable_soft_deletes": True}),
     (("destination",), [{"table": "a"}, {"table": "b"}]),
     (("destination", "materialization"), "cube"),
+    (("destination", "corrupt_record"), "bad"),
     (("on_fail",), "ignore"),
     (("data_quality",), [{"check": {"function": "other"}}]),
 ])
