@@ -130,8 +130,8 @@ def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
             partitions: Sequence[str]) -> None:
     """Point the catalog at the new folder.
 
-    With equal columns and no partitions this is a single catalog change. Otherwise the table's entry
-    is replaced by that of a new table, and a reader may see it missing for a moment.
+    With equal columns and no partitions this is a single catalog change. Otherwise a new table takes
+    the name over and the old one is dropped last; a reader may see the name missing for a moment.
     """
     if spark.catalog.tableExists(table) and not partitions:
         info = table_info(spark, table)
@@ -140,14 +140,39 @@ def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{_sql_text(location)}'")
             spark.catalog.refreshTable(table)
             return
-    new = f"{table}__v{uuid.uuid4().hex}"
+    new = _sibling(table, f"__v{uuid.uuid4().hex}")
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(quoted(p) for p in partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet {by} LOCATION '{_sql_text(location)}'")
     if partitions:
         spark.catalog.recoverPartitions(new)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if not spark.catalog.tableExists(table):
+        _rename(spark, new, table)
+        return
+    old = _sibling(table, f"__old{uuid.uuid4().hex}")
+    _rename(spark, table, old)
+    try:
+        _rename(spark, new, table)
+    except Exception:
+        _rename(spark, old, table)
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _rename(spark: SparkSession, table: str, new: str) -> None:
+    # The new name may not repeat the catalog.
+    spark.sql(f"ALTER TABLE {table} RENAME TO {'.'.join(quoted(p) for p in _parts(new)[-2:])}")
+
+
+def _parts(table: str) -> list[str]:
+    """The parts of a dotted, possibly quoted name."""
+    return [p[1:-1].replace("``", "`") if p[0] == "`" else p
+            for p in re.findall(r"`(?:[^`]|``)+`|[^.`]+", table)]
+
+
+def _sibling(table: str, suffix: str) -> str:
+    *qualifier, name = _parts(table)
+    return ".".join(quoted(p) for p in [*qualifier, name + suffix])
 
 
 def merge(
@@ -258,7 +283,7 @@ def _new_version(location: str) -> str:
 
 
 def _default_location(spark: SparkSession, table: str) -> str:
-    *qualifier, name = [p.strip("`") for p in table.split(".")]
+    *qualifier, name = _parts(table)
     database = qualifier[-1] if qualifier else spark.catalog.currentDatabase()
     folder = spark.sql(f"DESCRIBE DATABASE {quoted(database)}").where("info_name = 'Location'").first()[1]
     return f"{folder.rstrip('/')}/{name}"

@@ -124,3 +124,30 @@ def test_unkeyed_partitions_fall_back_to_a_full_rewrite(spark, name):
     tables.create(frame(spark, [(1, "a", "x"), (2, "b", "y")], schema), name, ["p"])
     tables.merge(frame(spark, [(2, "B", "x")], schema), name, ["k"])
     assert values(spark.table(name)) == [(1, "a", "x"), (2, "B", "x")]
+
+
+@pytest.mark.parametrize("prefix", ["spark_catalog.default.", "default.", "`default`."])
+@pytest.mark.parametrize("parts", [[], ["v"]])
+def test_qualified_names(spark, name, prefix, parts):
+    table = prefix + name
+    tables.append(frame(spark, [(1, "a"), (2, "b")]), table, parts)
+    tables.overwrite(spark.table(table).where("k > 1"), table)
+    tables.overwrite(spark.table(table).selectExpr("k", "k * 2 as w", "v"), table)
+    tables.merge(frame(spark, [(2, "x"), (9, "y")]), table, ["k"])
+    assert values(spark.table(name).select("k", "w", "v")) == [(2, 4, "x"), (9, None, "y")]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+
+def test_failed_switch_leaves_the_table(spark, name, monkeypatch):
+    tables.create(frame(spark, [(1, "a")]), name, ["v"])
+    rename = tables._rename
+
+    def failing(session, table, new):
+        if "__v" in table:
+            raise RuntimeError("no rename")
+        rename(session, table, new)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(RuntimeError):
+        tables.overwrite(frame(spark, [(5, "z")]), name)
+    assert values(spark.table(name)) == [(1, "a")]
