@@ -222,8 +222,8 @@ def publish_masks(spark: SparkSession, spec: PipelineSpec) -> None:
     if not spec.masks:
         return
     for target in spec.targets:
-        view = spec.masked_view if spec.masked_view and len(spec.targets) == 1 else f"{target.table}_masked"
-        publish_masked_view(spark, target.table, view, spec.masks)
+        view = spec.masked_view if spec.masked_view and len(spec.targets) == 1 else tables.sibling(target.table, "_masked")
+        publish_masked_view(spark, target.table, view, spec.masks, spec.policies)
 
 
 def record_status(spark, spec, info, started, result: RunResult, error: str | None) -> None:

@@ -140,7 +140,7 @@ def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{_sql_text(location)}'")
             spark.catalog.refreshTable(table)
             return
-    new = _sibling(table, f"__v{uuid.uuid4().hex}")
+    new = sibling(table, f"__v{uuid.uuid4().hex}")
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(quoted(p) for p in partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet {by} LOCATION '{_sql_text(location)}'")
@@ -149,7 +149,7 @@ def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
     if not spark.catalog.tableExists(table):
         _rename(spark, new, table)
         return
-    old = _sibling(table, f"__old{uuid.uuid4().hex}")
+    old = sibling(table, f"__old{uuid.uuid4().hex}")
     _rename(spark, table, old)
     try:
         _rename(spark, new, table)
@@ -170,7 +170,8 @@ def _parts(table: str) -> list[str]:
             for p in re.findall(r"`(?:[^`]|``)+`|[^.`]+", table)]
 
 
-def _sibling(table: str, suffix: str) -> str:
+def sibling(table: str, suffix: str) -> str:
+    """The name of a table beside ``table``: its name with a suffix."""
     *qualifier, name = _parts(table)
     return ".".join(quoted(p) for p in [*qualifier, name + suffix])
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from stratum.functions.privacy import POLICIES
 from stratum.operators.columns import LineageNames
 from stratum.operators.quality import Rule, parse_rules
 from stratum.sources.csv_splits import header_mode
@@ -246,6 +247,7 @@ class PipelineSpec:
     stage_input: bool = False
     masks: tuple[Mapping[str, str], ...] = ()
     masked_view: str | None = None
+    policies: Mapping[str, str] = field(default_factory=lambda: dict(POLICIES))
     lineage: LineageNames = LineageNames()
     audit: AuditTables = AuditTables()
 
@@ -264,6 +266,11 @@ class PipelineSpec:
         if any(t.corrupt_record for t in targets) and not (source.kind == "file" and source.schema):
             raise ValueError("destination: corrupt_record needs a file source with a schema")
         security = config.get("security") or {}
+        masks = tuple(security.get("masking") or ())
+        policies = {**POLICIES, **(security.get("policies") or {})}
+        for mask in masks:
+            required(mask, "column", "masking")
+            _one_of(required(mask, "policy", "masking"), tuple(policies), "masking policy")
         return cls(
             name=meta.get("name") or "unnamed",
             layer=layer,
@@ -273,8 +280,9 @@ class PipelineSpec:
             rules=tuple(parse_rules(config.get("data_quality"))),
             on_fail=_one_of(config.get("on_fail", "record"), ("record", "drop"), "on_fail"),
             stage_input=flag(config.get("stage_input")),
-            masks=tuple(security.get("masking") or ()),
+            masks=masks,
             masked_view=security.get("masked_view"),
+            policies=policies,
             lineage=LineageNames(**(config.get("lineage") or {})),
             audit=AuditTables.of(config.get("audit")),
         )

@@ -180,6 +180,18 @@ def test_table_scan_needs_a_name(spark):
         scan_table(spark, "")
 
 
+def test_other_formats(spark, tmp_path):
+    base = write(tmp_path / "x", a__xml="<r><row><id>1</id></row><row><id>2</id></row></r>")
+    assert rows(scan_folder(spark, base, "xml", {"rowTag": "row"}, ".xml")[0]) == [(1, "a.xml"), (2, "a.xml")]
+    base = write(tmp_path / "t", a__txt="x\ny\n")
+    assert rows(scan_folder(spark, base, "text")[0]) == [("x", "a.txt"), ("y", "a.txt")]
+    assert scan_folder(spark, base, "binaryFile")[0].select("length", "file_name").first() == (4, "a.txt")
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.dat").write_bytes("ab12".encode("cp037"))
+    layout = [Field("t", 0, 2), Field("n", 2, 2, "zoned")]
+    assert rows(scan_folder(spark, str(tmp_path / "m"), "cobol", layout=layout)[0]) == [("ab", 12, "a.dat")]
+
+
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError):
         scan_folder(spark, str(tmp_path), "pdf")

@@ -69,6 +69,8 @@ def test_defaults():
     (("destination",), [{"table": "a"}, {"table": "b"}]),
     (("destination", "materialization"), "cube"),
     (("destination", "corrupt_record"), "bad"),
+    (("security",), {"masking": [{"column": "a", "policy": "nope"}]}),
+    (("security",), {"masking": [{"policy": "mask_text"}]}),
     (("on_fail",), "ignore"),
     (("data_quality",), [{"check": {"function": "other"}}]),
 ])
@@ -86,6 +88,12 @@ def test_date_folders_and_split_settings():
     assert (source.last_n_days, source.split_enabled, source.header_mode) == (1, False, "one_header")
 
 
+def test_own_policies():
+    spec = PipelineSpec.of(changed(("security",), {
+        "masking": [{"column": "a", "policy": "first"}], "policies": {"first": "left({col}, 1)"}}))
+    assert spec.policies["first"] == "left({col}, 1)" and "mask_text" in spec.policies
+
+
 def test_flags():
     assert [flag(v) for v in (True, "Yes", "1", 1, "on")] == [True] * 5
     assert [flag(v) for v in (False, "no", "0", 0, "", None)] == [False] * 6 and flag(None, True)
