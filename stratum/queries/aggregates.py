@@ -19,8 +19,9 @@ PRICING = {
     "source": {"type": "table", "properties": {"table": "lineitem"}},
     "transform": {
         "with_columns": [
-            {"name": "disc_price", "expr": "cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(18,2)))"},
-            {"name": "charge", "expr": "disc_price * (1 + cast(l_tax as decimal(18,2)))"},
+            # Precisions that keep the product within 18 digits, which Spark computes in a machine word.
+            {"name": "disc_price", "expr": "cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(3,2)))"},
+            {"name": "charge", "expr": "disc_price * (1 + cast(l_tax as decimal(3,2)))"},
         ],
         "filters": ["l_shipdate <= timestamp_ntz '1998-09-02 00:00:00'"],
         "aggregations": {

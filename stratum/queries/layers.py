@@ -179,7 +179,7 @@ def incremental_merge(spark, sf):
         "pipeline_metadata": {"name": "events_stream", "layer": "bronze"},
         "source": {"type": "cloudfiles", "properties": {"source_path": f"{base}/in", "format": "parquet", "schema": EVENT_SCHEMA}},
         "transform": {"standardize": {"uppercase": ["event_type"]}},
-        "destination": {"table": name, "mode": "merge", "primary_keys": ["event_id"]},
+        "destination": {"table": name, "mode": "merge", "primary_keys": ["event_id"], "location": f"{base}/table"},
     })
     for run_id, shift in (("run-1", 0), ("run-2", 1)):
         table(spark, sf, "events").selectExpr("* except (value)", f"value + {shift} as value").select(

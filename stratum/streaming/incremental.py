@@ -57,14 +57,15 @@ def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] = lamb
 
 
 def merge_batches(table: str, on, transform: Callable[[DataFrame], DataFrame] = lambda df: df,
-                  **merge_options) -> Callable[[DataFrame, int], None]:
-    """Batch writer that merges by key; replaying a batch changes nothing."""
+                  location: str | None = None, **merge_options) -> Callable[[DataFrame, int], None]:
+    """Batch writer that merges by key; replaying a batch changes nothing. The first batch creates the
+    table if there is none, at ``location`` if given."""
     def write(batch: DataFrame, number: int) -> None:
         rows = transform(batch)
         if rows.sparkSession.catalog.tableExists(table):
             tables.merge(rows, table, on, **merge_options)
         else:
-            tables.create(rows, table)
+            tables.create(rows, table, location=location)
 
     return write
 
@@ -87,8 +88,8 @@ def run_incremental(spark: SparkSession, spec: PipelineSpec, info: RunInfo, chec
 
     stream = new_files(spark, source.path, source.format, source.schema, source.options)
     if target.mode == "merge":
-        writer = merge_batches(target.table, target.on, transform, update=target.update, insert=target.insert,
-                               update_condition=target.update_condition)
+        writer = merge_batches(target.table, target.on, transform, target.location, update=target.update,
+                               insert=target.insert, update_condition=target.update_condition)
     elif target.mode == "append" and target.location:
         writer = append_batches(target.location, transform)
     else:

@@ -16,6 +16,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query_agrees_with_sql(spark, con, name):
     df = entry_points.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [bad for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin") if bad in plan]
     sql = entry_points.oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
