@@ -9,6 +9,7 @@ from stratum.operators.rows import (
     where_in,
     where_not_null,
     where_null,
+    where_run,
 )
 from stratum.plans.frames import gold_frame
 from stratum.queries import query, table
@@ -88,7 +89,7 @@ def agg_without_groups_is_input(spark, sf):
 
 @query("""
     SELECT o_orderkey, upper(o_orderpriority) AS priority, upper(o_orderpriority) || '/' || o_orderstatus AS tag,
-           length(upper(o_orderpriority) || '/' || o_orderstatus) AS tag_length
+           CAST(length(upper(o_orderpriority) || '/' || o_orderstatus) AS INTEGER) AS tag_length
     FROM orders
 """)
 def with_columns_chain(spark, sf):
@@ -167,6 +168,12 @@ def filter_null_and_not_null(spark, sf):
     return aggregated(both, ["kind"], [{"name": "docs", "expr": "count(*)"}])
 
 
+@query("SELECT event_id, 'run-' || event_type AS run_id FROM events WHERE event_type = 'click'")
+def filter_run(spark, sf):
+    runs = table(spark, sf, "events").selectExpr("event_id", "'run-' || event_type as run_id")
+    return where_run(runs, "run-click")
+
+
 @query(r"""
     SELECT page_id, url FROM pages WHERE regexp_matches(url, '^https?://[^/]*[0-9]')
 """)

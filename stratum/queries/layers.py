@@ -55,11 +55,16 @@ def bronze_load_history(spark, sf):
         "file_kind", "operation_type", "load_status", "records_total", "records_succeeded")
 
 
-@query()
+@query("""
+    SELECT 'run-1' AS run_id, 'events_bronze' AS pipeline, 'bronze' AS layer, 'success' AS status, count(*) AS rows,
+           '2024-05-01 06:00:00' AS start_dtm, CAST(NULL AS VARCHAR) AS error
+    FROM events
+""")
 def run_status_rows(spark, sf):
     name, base = fresh_table("bronze"), folder(spark, "bronze")
     run(spark, _bronze_spec(spark, sf, name, base), RUN, AS_OF)
-    return spark.table(f"{name}_status")
+    return spark.table(f"{name}_status").selectExpr(
+        "run_id", "pipeline", "layer", "status", "rows", "cast(start_dtm as string) as start_dtm", "error")
 
 
 def _silver_spec(source, name, base, **extra):

@@ -191,18 +191,17 @@ def _records(spark, sf):
     minus = F.col("c_acctbal") < 0
     cents = F.lpad(F.abs(F.round(F.col("c_acctbal") * 100)).cast("bigint").cast("string"), 11, "0")
     packed = F.unhex(F.concat(cents, F.when(minus, "D").otherwise("C")))
-    # Odd customers get a negative number, so both signs of zoned fields occur.
-    odd = F.col("c_custkey") % 2 == 1
+    # Customers in debt get a negative number, so both signs of zoned fields occur.
     digits = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
     zones = F.regexp_replace(F.substring(digits, 1, 8), "([0-9])", "F$1")
-    zoned = F.unhex(F.concat(zones, F.when(odd, "D").otherwise("C"), F.substring(digits, 9, 1)))
+    zoned = F.unhex(F.concat(zones, F.when(minus, "D").otherwise("C"), F.substring(digits, 9, 1)))
     number = F.unhex(F.lpad(F.hex(F.col("c_nationkey").cast("bigint")), 8, "0"))
     record = F.concat(as_bytes(F.rpad("c_name", 25, " "), "cp037"), zoned, packed, number)
     return table(spark, sf, "customer").select(record.alias("value"))
 
 
 @query("""
-    SELECT c_name, CASE WHEN c_custkey % 2 = 1 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_acctbal,
+    SELECT c_name, CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_acctbal,
            CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer
 """)
 def fixed_width_cp037(spark, sf):

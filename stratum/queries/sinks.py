@@ -62,13 +62,13 @@ def file_load_reconcile(spark, sf):
 
 
 @query("""
-    SELECT 'run-' || (user_id % 7) AS run_id,
+    SELECT 'run-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id,
            CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'WARNING' ELSE 'INFO' END AS level, count(*) AS lines
     FROM events GROUP BY 1, 2
 """)
 def log_level_counts_by_run(spark, sf):
     lines = table(spark, sf, "events").selectExpr(
-        "'run-' || (user_id % 7) as run_id",
+        "'run-' || to_date(ts) as run_id",
         """ts || ' - ' || case event_type when 'error' then 'ERROR' when 'view' then 'WARNING' else 'INFO' end
            || ' - shop.' || event_type || ':handle() - value - ' || value as code_message""")
     return log_level_counts(lines)
