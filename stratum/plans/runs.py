@@ -44,11 +44,14 @@ class RunResult:
 
 
 def run(spark: SparkSession, spec: PipelineSpec, info: RunInfo, as_of: dt.date | None = None) -> RunResult:
-    """Run the spec's layer and record the outcome. Errors are recorded and raised again."""
+    """Run the spec's layer and record the outcome. Errors are recorded and raised again.
+
+    Date folders are looked up as of ``as_of``, by default the day the run started.
+    """
     runner: Callable = {"bronze": _run_bronze, "silver": _run_silver, "gold": _run_gold}[spec.layer]
     started = dt.datetime.now(dt.timezone.utc) if info.started is None else info.started
     try:
-        result = runner(spark, spec, info, started, as_of)
+        result = runner(spark, spec, info, started, as_of or started.date())
     except Exception as problem:
         log.exception("%s failed", spec.name)
         record_status(spark, spec, info, started, RunResult("failed"), str(problem))

@@ -68,7 +68,7 @@ class SourceSpec:
     def of(cls, source: Mapping[str, Any]) -> SourceSpec:
         kind = SOURCE_TYPES.get(source.get("type"))
         if kind is None:
-            raise ValueError(f"Unsupported source type: {source.get('type')}")
+            raise ValueError(f"source: unknown type {source.get('type')!r}")
         props = source.get("properties", source)
         if kind in ("file", "incremental"):
             required(props, "source_path", "source")

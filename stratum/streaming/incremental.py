@@ -75,18 +75,20 @@ def run_incremental(spark: SparkSession, spec: PipelineSpec, info: RunInfo, chec
 
     Append targets are folders of batches (``destination.location``), registered as a table; merge
     targets are tables. Silver rules are applied to each batch; a replayed batch loads its rows once but
-    may record its failures again.
+    may record its failures again. Without a schema in the spec, that of the files present is taken; give
+    one if it may change between runs.
     """
     source, target = spec.source, spec.target
-    if source.kind != "incremental" or not source.schema:
-        raise ValueError("an incremental run needs an incremental source with a schema")
+    if source.kind != "incremental":
+        raise ValueError("an incremental run needs an incremental source")
 
     def transform(batch: DataFrame) -> DataFrame:
         if spec.layer == "bronze":
             return bronze_frame(batch, spec, info)
         return checked_batch(silver_frame(batch, spec), spec, info)
 
-    stream = new_files(spark, source.path, source.format, source.schema, source.options)
+    schema = source.schema or spark.read.format(source.format).options(**source.options).load(source.path).schema
+    stream = new_files(spark, source.path, source.format, schema, source.options)
     if target.mode == "merge":
         writer = merge_batches(target.table, target.on, transform, target.location, update=target.update,
                                insert=target.insert, update_condition=target.update_condition)

@@ -285,3 +285,23 @@ def test_silver_source_reads(spark, name, mode, on_fail, reads):
     assert run(spark, spec, INFO).failing_rows == 3
     assert spark.table(f"{name}_e").count() == 3
     assert counter.value == reads * len(data)
+
+
+def test_incremental_schema_from_the_files(spark, tmp_path, name):
+    base = str(tmp_path)
+    write(tmp_path / "in", a__csv="id,v\n1,x\n")
+    spec = PipelineSpec.of({
+        "pipeline_metadata": {"name": "i", "layer": "bronze"},
+        "source": {"type": "cloudfiles", "properties": {"source_path": f"{base}/in", "format": "csv", "options": {"header": "true"}}},
+        "destination": {"table": name, "mode": "append", "location": f"{base}/out"}})
+    run_incremental(spark, spec, INFO, f"{base}/cp")
+    assert values(spark.table(name).select("id", "v", "file_name")) == [("1", "x", "a.csv")]
+
+
+def test_date_folders_as_of_the_start_of_the_run(spark, tmp_path, name):
+    for day in ("2024/04/29", "2024/04/30", "2024/05/01"):
+        write(tmp_path / "in" / day, a__csv=f"day\n{day}\n")
+    props = {"source_path": str(tmp_path / "in"), "format": "csv", "extension": ".csv", "options": {"header": True},
+             "discover": {"type": "date_hierarchy", "last_n_days": 2}}
+    run(spark, bronze("", name, source={"type": "file", "properties": props}), INFO)
+    assert values(spark.table(name).select("day")) == [("2024/04/30",), ("2024/05/01",)]

@@ -14,7 +14,7 @@ transform:
 data_quality:
   - check:
       function: sql_expression
-      arguments: {expression: 'run_id rlike "^[A-Za-z]+$"', msg: run id should not be numeric, name: run_id_invalid}
+      arguments: {expression: "mail like '%@%'", msg: no mail address, name: mail_form}
       criticality: warn
 destination: {mode: overwrite, table: lake.refined.mails}
 security:
