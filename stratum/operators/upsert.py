@@ -27,9 +27,13 @@ TARGET = "tgt"
 SOURCE = "src"
 _HIT = "__hit"
 _ROW = "__row"
+_COUNT = "__rows"
 _NAME = r"(?:`((?:[^`]|``)+)`|(\w+))"
 _EQUALITY = re.compile(rf"(tgt|src)\.{_NAME}\s*==?\s*(tgt|src)\.{_NAME}", re.IGNORECASE)
 
+_CONNECTIVE = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`|[()]|(?<!\.)\b(?:and|or|case|end)\b""", re.IGNORECASE)
+
 
 @dataclass(frozen=True)
 class Match:
@@ -66,12 +70,11 @@ class Match:
     def _equalities(condition: str) -> tuple[tuple[tuple[str, str], ...], int]:
         """The equality pairs and the number of AND-ed parts."""
         pairs = []
-        parts = re.split(r"\band\b", condition, flags=re.IGNORECASE)
+        parts = _and_parts(condition)
         for part in parts:
             part = part.strip()
-            if re.search(r"\bor\b", part, re.IGNORECASE) and not (part[0] == "(" and part[-1] == ")"):
-                pairs = []
-                break
+            if part[:1] == "(" and part[-1:] == ")" and part.count("(") == 1:
+                part = part[1:-1].strip()
             found = _EQUALITY.fullmatch(part)
             if found:
                 left, right = found[1].lower(), found[4].lower()
@@ -84,6 +87,24 @@ class Match:
         return tuple(pairs), len(parts)
 
 
+def _and_parts(condition: str) -> list[str]:
+    """The parts a condition ANDs outside parentheses, CASE and quotes; none if it ORs there."""
+    depth = start = 0
+    parts = []
+    for token in _CONNECTIVE.finditer(condition):
+        word = token[0].lower()
+        if word in ("(", "case"):
+            depth += 1
+        elif word in (")", "end"):
+            depth -= 1
+        elif depth == 0 and word == "or":
+            return []
+        elif depth == 0 and word == "and":
+            parts.append(condition[start:token.start()])
+            start = token.end()
+    return [*parts, condition[start:]]
+
+
 def upserted(
     target: DataFrame,
     source: DataFrame,
@@ -180,8 +201,8 @@ def _known(target: DataFrame, mapping: Mapping[str, str]) -> None:
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys without NULLs that occur more than once; counts combine on the map side."""
-    counts = df.where(_has_all(keys)).groupBy(refs(keys)).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where("rows > 1")
+    counts = df.where(_has_all(keys)).groupBy(refs(keys)).agg(F.count(F.lit(1)).alias(_COUNT))
+    return counts.where(ref(_COUNT) > 1)
 
 
 def ambiguous_matches(target: DataFrame, source: DataFrame, on: str | Sequence[str],
@@ -198,7 +219,7 @@ def ambiguous_matches(target: DataFrame, source: DataFrame, on: str | Sequence[s
         keys = [F.col(f"{SOURCE}.{quoted(s)}") for s in match.source_keys]
         hits = repeated.alias(SOURCE).join(
             _target_keys(target, repeated, match).alias(TARGET), F.expr(match.condition), "left_semi")
-        return hits.select(*keys, F.col("rows").alias("source_rows"))
+        return hits.select(*keys, F.col(_COUNT).alias("source_rows"))
     suspects = source.join(repeated, match.source_keys, "left_semi").alias(SOURCE)
     numbered = target.withColumn(_ROW, F.monotonically_increasing_id()).alias(TARGET)
     hits = numbered.join(suspects, _update_match(match, update_condition), "inner")

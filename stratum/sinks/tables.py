@@ -218,10 +218,10 @@ def merge(
         inserting = loose is not None and (insert is None or insert)
         return result.unionByName(as_inserts(target, loose, insert)) if inserting else result
 
-    same_name = {t for t, s in match.pairs if t == s}
     touched = None
-    if info.partitions and set(info.partitions) <= same_name:
-        touched = staged_source.select([ref(p) for p in info.partitions]).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if info.partitions and all(_stays_in_place(p, match, update, insert) for p in info.partitions):
+        values = [ref(p).cast(target.schema[p].dataType).alias(p) for p in info.partitions]
+        touched = staged_source.select(values).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     if touched is not None and len(touched) <= MAX_LISTED_PARTITIONS:
         part = target.where(_partition_filter(info.partitions, touched))
         rewritten = staged(merged(part), "merge-result")
@@ -236,6 +236,15 @@ def merge(
     return True
 
 
+def _stays_in_place(partition: str, match: Match, update, insert) -> bool:
+    """True if merged rows land in the partition of the source row: the column is a merge key, no update
+    changes it, and inserts take it from the source."""
+    own = (f"src.{partition}", f"src.{quoted(partition)}")
+    kept = update is None or update.get(partition, own[0]) in own
+    taken = insert is None or not insert or insert.get(partition) in own
+    return (partition, partition) in match.pairs and kept and taken
+
+
 def _merge_natively(source, table, on, update, insert, update_condition) -> None:
     columns = source.sparkSession.table(table).columns
     shared = {c: f"src.{quoted(c)}" for c in columns if c in source.columns}

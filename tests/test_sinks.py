@@ -112,6 +112,22 @@ def test_merge_rewrites_touched_partitions_only(spark, name):
     assert files("p = 'x'") == untouched
 
 
+def test_merge_that_moves_rows_between_partitions(spark, name):
+    schema = "k int, v string, p string"
+    tables.create(frame(spark, [(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], schema), name, ["p"])
+    # Both maps send rows to partitions the source does not name: their other rows must survive.
+    tables.merge(frame(spark, [(1, "A", "x"), (7, "n", "x")], schema), name, ["k", "p"],
+                 update={"p": "'y'"}, insert={"k": "src.k", "p": "'z'"})
+    assert values(spark.table(name)) == sorted(
+        [(1, "a", "y"), (2, "b", "y"), (3, "c", "z"), (7, None, "z")], key=repr)
+
+
+def test_merge_partitions_of_another_type(spark, name):
+    tables.create(frame(spark, [(1, "a", 1), (2, "b", 2)], "k int, v string, p int"), name, ["p"])
+    tables.merge(frame(spark, [(2, "B", "02"), (3, "c", "01")], "k int, v string, p string"), name, ["k", "p"])
+    assert values(spark.table(name)) == [(1, "a", 1), (2, "B", 2), (3, "c", 1)]
+
+
 def test_merge_with_two_partition_columns(spark, name):
     schema = "k int, v string, p string, q int"
     tables.create(frame(spark, [(1, "a", "x", 1), (2, "b", "x", 2), (3, "c", "y", 1)], schema), name, ["p", "q"])

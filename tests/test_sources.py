@@ -111,7 +111,7 @@ def test_narrow_and_wide_headerless_rows(spark, tmp_path):
 
 
 def test_first_rows_of_compressed_and_odd_files(spark, tmp_path):
-    base = write(tmp_path / "s", a__csv="﻿id,v\r\n1,2\r\n", b__csv="\n\nid,v\n", c__csv="")
+    base = write(tmp_path / "s", a__csv="\ufeffid,v\r\n1,2\r\n", b__csv="\n\nid,v\n", c__csv="")
     with gzip.open(tmp_path / "s" / "d.csv.gz", "wt") as stream:
         stream.write("id,v\n1,2\n")
     assert first_rows(spark, files_in(spark, base), {}) == [["id", "v"], ["id", "v"], None, ["id", "v"]]

@@ -106,12 +106,16 @@ def test_null_keys_are_never_repeated_keys(spark):
     ("SRC.b == TGT.a and tgt.x > src.y", (("a", "b"),)),
     ("tgt.`a b` = src.`c``d` AND tgt.e = src.e", (("a b", "c`d"), ("e", "e"))),
     ("tgt.a = src.a AND (tgt.x = 1 OR src.y = 2)", (("a", "a"),)),
+    ("(tgt.a = src.a) AND tgt.n <> 'x or (y and z' AND tgt.end = src.end", (("a", "a"), ("end", "end"))),
 ])
 def test_equalities(condition, pairs):
     assert Match.on(condition).pairs == pairs
 
 
-@pytest.mark.parametrize("condition", ["tgt.a > src.a", "tgt.a = src.a OR tgt.b = src.b", "tgt.a = tgt.b", "tgt.a = 1"])
+@pytest.mark.parametrize("condition", ["tgt.a > src.a", "tgt.a = src.a OR tgt.b = src.b", "tgt.a = tgt.b", "tgt.a = 1",
+                                       "(tgt.x = 1) OR (tgt.y = 2) AND tgt.a = src.a",
+                                       "if(tgt.x = 1 AND tgt.a = src.a AND tgt.y = 2, true, false)",
+                                       "case when tgt.x = 1 AND tgt.a = src.a AND tgt.y = 2 then true end"])
 def test_conditions_without_equality_are_refused(condition):
     with pytest.raises(ValueError):
         Match.on(condition)
