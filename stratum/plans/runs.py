@@ -97,8 +97,9 @@ def _file_history(spark, spec, info, started, frame: DataFrame, files: list[File
     loaded = loaded_per_file(spark.table(spec.target.table), info.run_id, names.run, names.file).persist()
     try:
         found = loaded.agg(F.coalesce(F.sum("records_succeeded"), F.lit(0))).first()[0]
-        if found == rows:
-            # Every row written was found again, so the totals per file are those of the target.
+        if found == rows and spec.target.mode != "merge":
+            # Every row written was found again, so the totals per file are those of the target. After a
+            # merge, rows left alone and rows of a reused run id could cancel out, and the frame is staged.
             totals = loaded.withColumnRenamed("records_succeeded", "records_total")
         else:
             totals = rows_per_file(frame, names.file, "records_total")

@@ -120,7 +120,7 @@ def first_rows(spark: SparkSession, files: Sequence[FileRef],
                 stream.close()
         except Exception:
             return None
-        lines = head.decode(encoding, errors="replace").lstrip("\ufeff").splitlines()
+        lines = re.split(r"\r\n|\r|\n", head.decode(encoding, errors="replace").lstrip("\ufeff"))
         line = next((text for text in lines if text.strip()), None)
         if line is None:
             return None
