@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.sizing import fits_broadcast
@@ -28,6 +28,8 @@ SOURCE = "src"
 _HIT = "__hit"
 _ROW = "__row"
 _COUNT = "__rows"
+_RANK = "__rank"
+_KEY = "__key"
 _NAME = r"(?:`((?:[^`]|``)+)`|(\w+))"
 _EQUALITY = re.compile(rf"(tgt|src)\.{_NAME}\s*==?\s*(tgt|src)\.{_NAME}", re.IGNORECASE)
 
@@ -239,7 +241,8 @@ def snapshot_applied(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
                      stamp: str = "deleted_at") -> DataFrame:
     """Upsert a full snapshot; target rows it no longer holds are flagged, not removed.
 
-    A row already flagged keeps its first time stamp; a row that returns is unflagged.
+    A row already flagged keeps its first time stamp; a row that returns is unflagged. Keys of the snapshot
+    must be unique: see ``repeated_keys``, which layer runs check first.
     """
     moment = at if isinstance(at, Column) else F.lit(at)
     for name, kind in ((flag, "boolean"), (stamp, "timestamp")):
@@ -268,7 +271,8 @@ def snapshot_applied(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   hash_column: str | None = None) -> DataFrame:
-    """Rows inserted, updated or deleted between two snapshots with unique keys (NULL is a key).
+    """Rows inserted, updated or deleted between two snapshots with unique keys (NULL is a key). A
+    repeated key fails the job.
 
     Deleted rows carry the old values, the others the new ones, plus a ``change`` column. Columns are
     those of ``after``; one that ``before`` lacks counts as NULL there. With
@@ -310,10 +314,23 @@ def _diff_by_hash(before: DataFrame, after: DataFrame, keys: Sequence[str], hash
 
 
 def _full_join(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    old = before.select(F.struct(refs(columns)).alias("old"), *[ref(k).alias(f"__b{i}") for i, k in enumerate(keys)])
-    new = after.select(F.struct(refs(columns)).alias("new"), *[ref(k).alias(f"__a{i}") for i, k in enumerate(keys)])
-    same_key = [F.col(f"__b{i}").eqNullSafe(F.col(f"__a{i}")) for i in range(len(keys))]
-    return old.join(new, same_key, "full_outer")
+    """Columns ``old`` and ``new``. The key is joined as one struct, in which NULLs equal each other."""
+    old = _unique(before, keys).select(F.struct(refs(columns)).alias("old"), ref(_KEY).alias("__b"))
+    new = _unique(after, keys).select(F.struct(refs(columns)).alias("new"), ref(_KEY).alias("__a"))
+    return old.join(new, F.col("__b") == F.col("__a"), "full_outer")
+
+
+def _unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with their key, failing at a second row of one key instead of letting the join pair all
+    of them.
+
+    Ranks are limited to two per key before the shuffle, and the shuffle is the one the join needs.
+    """
+    rank = F.row_number().over(Window.partitionBy(ref(_KEY)).orderBy(ref(_KEY)))
+    keyed = df.withColumn(_KEY, F.struct(refs(keys)))
+    limited = keyed.withColumn(_RANK, rank).where(ref(_RANK) <= 2)
+    problem = F.raise_error(F.lit(f"repeated key ({', '.join(keys)}) in a snapshot"))
+    return limited.where(F.when(ref(_RANK) == 2, problem).otherwise(F.lit(True))).drop(_RANK)
 
 
 def _change(same_values: Sequence[Column]) -> Column:

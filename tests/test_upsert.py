@@ -188,3 +188,19 @@ def test_soft_delete_and_return(spark):
     assert values(second) == [(1, 10, True, day[1]), (2, 2, True, day[0]), (3, 31, False, None)]
     third = snapshot_applied(second, frame(spark, [(2, 22)], "k int, v int"), ["k"], day[2])
     assert values(third) == [(1, 10, True, day[1]), (2, 22, False, None), (3, 31, True, day[2])]
+
+
+@pytest.mark.parametrize("hash_column", [None, "s"])
+@pytest.mark.parametrize("side", [0, 1])
+def test_repeated_keys_fail_a_diff(spark, hash_column, side):
+    frames = [frame(spark, [(1, 1, "h"), (2, 1, "h")]), frame(spark, [(1, 1, "h"), (2, 2, "i")])]
+    frames[side] = frames[side].unionByName(frame(spark, [(2, 5, "j")]))
+    with pytest.raises(Exception, match="repeated key"):
+        snapshot_diff(*frames, ["k"], hash_column).collect()
+
+
+def test_diff_shuffles_each_side_once_and_limits_hot_keys_first(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = snapshot_diff(orders, orders.where("o_custkey > 5"), ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+    assert plan.count("row_number(), 2, Partial") == 2
