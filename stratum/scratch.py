@@ -1,12 +1,11 @@
 """Where intermediate tables go.
 
 A cluster names a shared folder in ``spark.checkpoint.dir``; executors on any machine can reach it, so
-a staged table outlives the executor that wrote it. A machine-local folder is used in local mode only.
+a staged table outlives the executor that wrote it. Where it is unset, the folder is below the warehouse.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared scratch folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="stratum-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/stratum/{label}-{uuid.uuid4().hex}"
 
 
