@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency
+from stratum.llm import line_frequency, token_transducer
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,14 @@ def query(function):
 @query
 def op3_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.verdicts(read(spark, folder, "documents"))
+
+
+@query
+def op4_token_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    return token_transducer.token_counts(read(spark, folder, "documents"), vocabulary_path())
+
+
+def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
