@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -16,6 +17,7 @@ from stratum.scratch import staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_SQL = r"[^\x20\x09-\x0D]+"
+PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows a Python worker holds as Python objects at a time.
 SLICE = 256
 
@@ -39,6 +41,14 @@ def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[list[list]]:
         yield [column.to_pylist() for column in batch.slice(start, rows).columns]
 
 
+def arrow_mapped(df: DataFrame, work: Callable, result: T.StructType) -> DataFrame:
+    """``mapInArrow`` by workers that look for this package where the driver found it."""
+    places = df.sparkSession.sparkContext.environment
+    if PACKAGE_HOME not in places.get("PYTHONPATH", "").split(os.pathsep):
+        places["PYTHONPATH"] = os.pathsep.join(filter(None, [PACKAGE_HOME, places.get("PYTHONPATH")]))
+    return df.mapInArrow(work, result)
+
+
 def mapped_slices(df: DataFrame, ddl: str, function: Callable[[list[list]], Iterable[tuple]]) -> DataFrame:
     """``function`` gets the columns of a few hundred rows as lists and gives result rows."""
     spark_schema = schema(ddl)
@@ -52,7 +62,7 @@ def mapped_slices(df: DataFrame, ddl: str, function: Callable[[list[list]], Iter
                     arrays = [pa.array(values, type=field.type) for values, field in zip(zip(*rows), arrow_schema)]
                     yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
-    return df.mapInArrow(work, spark_schema)
+    return arrow_mapped(df, work, spark_schema)
 
 
 def mapped_rows(df: DataFrame, ddl: str, function: Callable[..., Iterable[tuple]]) -> DataFrame:

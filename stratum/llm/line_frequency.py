@@ -16,10 +16,12 @@ import dataclasses
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.llm.common import WORD, hash64, mapped_rows, numbered
+from stratum.llm.common import WORD, arrow_mapped, hash64, mapped_rows, numbered
 from stratum.scratch import staged
 
 SYMBOLS = "#*$%&|<>"
@@ -152,20 +154,17 @@ def filtered(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -
     columns = docs.columns
 
     def digests(batches):
-        import pyarrow as pa
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, type=pa.binary())],
                                              names=[*columns, "__key"])
 
-    from pyspark.sql import types as T
-    keyed = docs.mapInArrow(digests, T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+    keyed = arrow_mapped(docs, digests, T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
     joined = keyed.join(changes, (F.col("__key") == F.col("__digest")) & keyed[host].eqNullSafe(F.col("__host")), "left")
     kept = joined.filter(F.coalesce("__kept", F.lit(True))).select(*columns, "__lines")
 
     def stripped(batches):
-        import pyarrow as pa
         at = columns.index("text")
         for batch in batches:
             texts, lists = batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()
@@ -174,7 +173,7 @@ def filtered(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -
             arrays[at] = pa.array(texts, type=arrays[at].type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    result = kept.mapInArrow(stripped, docs.schema)
+    result = arrow_mapped(kept, stripped, docs.schema)
     return with_length(result)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency, token_transducer
+from stratum.llm import line_frequency, positional_index, token_transducer
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+@query
+def op7_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    return positional_index.report(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("digest")
