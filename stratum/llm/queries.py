@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency, positional_index, token_transducer
+from stratum.llm import line_frequency, pareto_mix, positional_index, secret_scan, token_transducer
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,13 @@ def vocabulary_path(name: str = "piece_bpe_32k.model") -> str:
 @query
 def op7_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     return positional_index.report(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("digest")
+
+
+@query
+def op9_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return pareto_mix.report(read(spark, folder, "documents"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(read(spark, folder, "documents"))
