@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency, pareto_mix, positional_index, secret_scan, token_transducer
+from stratum.llm import line_frequency, pareto_mix, positional_index, secret_scan, tensored_minhash, token_transducer
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op9_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.report(read(spark, folder, "documents"))
+
+
+@query
+def op5_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return tensored_minhash.report(read(spark, folder, "documents"))
