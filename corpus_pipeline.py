@@ -8,16 +8,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency
+from stratum.llm import line_frequency, pareto_mix, positional_index, segment_join, tensored_minhash
 from stratum.llm.common import read
 from stratum.scratch import staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, without the lines that too many documents of their source hold."""
     return line_frequency.filtered(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Only the first of lines that are at most a few edits apart; documents left without a word go."""
+    return segment_join.cleaned(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return tensored_minhash.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no large part of a benchmark item."""
+    return positional_index.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents the mix takes, with the words it takes of each (copies counted)."""
+    return pareto_mix.mixed(docs).filter("taken > 0")
+
+
+STAGES = [
+    ("quality rules", quality), ("line dedup", lines), ("near-duplicates", near_duplicates),
+    ("benchmark decontamination", decontamination), ("mixing", mix),
+]
 
 #: Several stages have no SQL form; tests hold each one against a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency, pareto_mix, positional_index, repeated_spans, secret_scan, tensored_minhash, token_transducer
+from stratum.llm import line_frequency, pareto_mix, positional_index, repeated_spans, secret_scan, segment_join, tensored_minhash, token_transducer
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op5_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_bwt_intervals(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_spans.report(read(spark, folder, "documents"))
+
+
+@query
+def op1_segment_join(spark: SparkSession, folder: str) -> DataFrame:
+    return segment_join.report(read(spark, folder, "documents"))

@@ -6,9 +6,8 @@ in two collections meet in a table, so 32 minhashes serve 120 tables of four row
 0.85 agree in at least two of 16 collections but for a chance of 5e-8.
 
 Documents with equal sets are one class from then on. Tables in which the same classes meet are one bucket. A bucket's
-candidates are confirmed on the full sets from a centre, one at a time: the classes that are not yet connected with the
-centre are compared with it. A bucket is done when all its classes are connected or each has been a centre, so no link
-between components is lost and pairs inside one are not formed.
+candidates are confirmed on the full sets, as bucket_links tells: no link between components is lost, and pairs inside
+one are not formed.
 
 Defined results: without words or text, the set is empty, the document stands alone and is kept. Rows with equal ids
 have equal marks if their sets are equal. A NULL id never names a component unless all of its ids are NULL. An empty
@@ -23,11 +22,11 @@ from collections import OrderedDict
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.bucket_links import connected
 from stratum.llm.common import WORD, hash64, mapped_rows, numbered
-from stratum.llm.components import components
 from stratum.scratch import staged
 
 SHINGLE = 3
@@ -144,49 +143,9 @@ def candidate_texts(docs: DataFrame, representatives: DataFrame, met: DataFrame)
     return staged(found.select("class_id", F.col("full_text").alias("text")).dropDuplicates(["class_id"]), "class-texts")
 
 
-def connected(docs: DataFrame, representatives: DataFrame) -> DataFrame:
-    """(class_id, label) of the classes that meet others: the smallest class each is connected with."""
-    open_ = buckets(representatives)
-    labels = staged(open_.select("class_id", F.col("class_id").alias("label")).distinct(), "labels")
-    if labels.isEmpty():
-        return labels
-    texts = candidate_texts(docs, representatives, open_)
-    tested = None
-    while True:
-        members = open_.join(labels, "class_id")
-        groups = members.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.min(F.struct("class_id", "n")).alias("first"))
-        # The centre comes from the bucket's smallest component: it has the most classes to meet.
-        centres = (
-            groups.groupBy("bucket").agg(F.min(F.struct("size", "label", "first")).alias("best"), F.count("*").alias("labels"))
-            .filter("labels > 1")
-            .select("bucket", F.col("best.label").alias("of_label"), F.col("best.first.class_id").alias("centre"),
-                    F.col("best.first.n").alias("of_n"))
-        )
-        members = staged(members.join(centres, "bucket"), "members")
-        near = THRESHOLD_PERCENT * F.greatest("n", "of_n") <= 100 * F.least("n", "of_n")
-        pairs = members.filter((F.col("label") != F.col("of_label")) & near).select(
-            F.least("class_id", "centre").alias("a"), F.greatest("class_id", "centre").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if not pairs.isEmpty():
-            full = pairs.join(texts.withColumnsRenamed({"class_id": "a", "text": "text_a"}), "a").join(
-                texts.withColumnsRenamed({"class_id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-            links = staged(mapped_rows(full, "a long, b long", confirmed), "confirmed")
-            labels = relabelled(labels, links)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-        open_ = members.filter(F.col("class_id") != F.col("centre")).select("bucket", "class_id", "n")
-        if open_.isEmpty():
-            return labels
-
-
-def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    of = labels.select(F.col("class_id").alias("a"), F.col("label").alias("label_a"))
-    other = labels.select(F.col("class_id").alias("b"), F.col("label").alias("label_b"))
-    between = links.join(of, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    found = components(between)
-    return staged(labels.join(found, F.col("label") == F.col("node"), "left").select(
-        "class_id", F.coalesce("component", "label").alias("label")), "labels")
+def near(n: Column, m: Column) -> Column:
+    """The smaller set is the largest intersection possible, the larger one the smallest union."""
+    return THRESHOLD_PERCENT * F.greatest(n, m) <= 100 * F.least(n, m)
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -196,7 +155,10 @@ def marked(docs: DataFrame) -> DataFrame:
     distinct = classes(signatures)
     representatives = signatures.withColumnsRenamed({"row_id": "class_id", "n_shingles": "n"}).join(
         distinct.select("class_id"), "class_id", "left_semi")
-    labels = connected(docs, representatives)
+    met = buckets(representatives).withColumnRenamed("class_id", "member")
+    texts = candidate_texts(docs, representatives, met.select(F.col("member").alias("class_id")))
+    labels = connected(met, texts.withColumnRenamed("class_id", "member"), near, confirmed).withColumnRenamed(
+        "member", "class_id")
     named = distinct.join(labels, "class_id")
     smallest = named.groupBy("label").agg(F.min("class_doc").alias("component"))
     named = named.select("class_id", "label").join(smallest, "label").select("class_id", "component")
