@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import line_frequency, pareto_mix, positional_index, repeated_spans, secret_scan, segment_join, tensored_minhash, token_transducer
+from stratum.llm import (
+    cotraining,
+    line_frequency,
+    pareto_mix,
+    patience_scan,
+    positional_index,
+    repeated_spans,
+    secret_scan,
+    segment_join,
+    tensored_minhash,
+    token_transducer,
+)
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +73,13 @@ def op6_bwt_intervals(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_segment_join(spark: SparkSession, folder: str) -> DataFrame:
     return segment_join.report(read(spark, folder, "documents"))
+
+
+@query
+def op2_patience_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return patience_scan.report(read(spark, folder, "documents"))
+
+
+@query
+def op10_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    return cotraining.scored(read(spark, folder, "documents"), read(spark, folder, "labels"))
