@@ -19,28 +19,26 @@ from stratum.llm.components import components
 from stratum.scratch import staged
 
 
-def with_centre(members: DataFrame) -> DataFrame:
-    """Members beside the one centre of their bucket (of_label, centre, of_n); done buckets are left out."""
+def one_centre(members: DataFrame) -> DataFrame:
+    """(bucket, of_label, centre, of_n): a centre of each bucket that is not done."""
     groups = members.groupBy("bucket", "label").agg(F.count("*").alias("size"),
                                                     F.min(F.struct("member", "n")).alias("first"))
-    centres = (
+    return (
         groups.groupBy("bucket").agg(F.min(F.struct("size", "label", "first")).alias("best"), F.count("*").alias("labels"))
         .filter("labels > 1")
         .select("bucket", F.col("best.label").alias("of_label"), F.col("best.first.member").alias("centre"),
                 F.col("best.first.n").alias("of_n"))
     )
-    return members.join(centres, "bucket")
 
 
-def with_centres(members: DataFrame, count: int) -> DataFrame:
-    """The same for ``count`` centres in each bucket."""
+def more_centres(members: DataFrame, count: int) -> DataFrame:
+    """The same with up to ``count`` centres of each bucket."""
     labels = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     open_ = members.join(labels.select("bucket"), "bucket", "left_semi")
     ranked = open_.withColumn("size", F.count("*").over(W.partitionBy("bucket", "label"))).withColumn(
         "rank", F.row_number().over(W.partitionBy("bucket").orderBy("size", "label", "member")))
-    centres = ranked.filter(F.col("rank") <= count).select(
+    return ranked.filter(F.col("rank") <= count).select(
         "bucket", F.col("label").alias("of_label"), F.col("member").alias("centre"), F.col("n").alias("of_n"))
-    return open_.join(centres, "bucket")
 
 
 def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Column], Column],
@@ -50,12 +48,14 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
     ``near`` says of two values of n whether members can be linked at all; ``confirm(a, b, text_a, text_b)`` gives
     (a, b) if they are. ``texts`` has member and text.
     """
-    labels = staged(buckets.select("member", F.col("member").alias("label")).distinct(), "labels")
-    open_, tested, count = buckets, None, 1
+    start = staged(buckets.select("member", F.col("member").alias("label")).distinct(), "labels")
+    labels, open_, tested, links, count = start, buckets, None, None, 1
     while not open_.isEmpty():
-        members = open_.join(labels, "member")
-        members = staged(with_centre(members) if count == 1 else with_centres(members, count), "members")
-        pairs = members.filter((F.col("label") != F.col("of_label")) & near(F.col("n"), F.col("of_n"))).select(
+        members = staged(open_.join(labels, "member"), "members")
+        centres = staged(one_centre(members) if count == 1 else more_centres(members, count), "centres").withColumnRenamed(
+            "bucket", "of_bucket")
+        apart = (F.col("bucket") == F.col("of_bucket")) & (F.col("label") != F.col("of_label"))
+        pairs = members.join(centres, apart & near(F.col("n"), F.col("of_n"))).select(
             F.least("member", "centre").alias("a"), F.greatest("member", "centre").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -63,18 +63,36 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
         if not pairs.isEmpty():
             full = pairs.join(texts.withColumnsRenamed({"member": "a", "text": "text_a"}), "a").join(
                 texts.withColumnsRenamed({"member": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-            labels = relabelled(labels, staged(mapped_rows(full, "a long, b long", confirm), "confirmed"))
+            found = staged(mapped_rows(full, "a long, b long", confirm), "confirmed")
+            labels = hooked(labels, found)
             tested = pairs if tested is None else tested.unionByName(pairs)
-        used = members.select("bucket", F.col("centre").alias("member")).distinct()
-        open_ = staged(members.select("bucket", "member", "n").distinct().join(used, ["bucket", "member"], "left_anti"), "open")
+            links = found if links is None else links.unionByName(found)
+        # Centres leave their buckets; buckets without a centre were done.
+        open_ = members.join(centres.select("of_bucket").distinct(), F.col("bucket") == F.col("of_bucket"), "left_semi").join(
+            centres, (F.col("bucket") == F.col("of_bucket")) & (F.col("member") == F.col("centre")), "left_anti").select(
+            "bucket", "member", "n")
         count *= 4
-    return labels
+    if links is None:
+        return start
+    final = components(links)
+    return start.select("member").join(final, F.col("member") == F.col("node"), "left").select(
+        "member", F.coalesce("component", "member").alias("label"))
 
 
-def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+def hooked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after one step: each takes the smallest label it is linked with, and then that one's, twice.
+
+    Connected members may still have different labels after it, never the other way round. That costs comparisons
+    that were not needed, but no link; the components proper are computed once, at the end.
+    """
     of = labels.select(F.col("member").alias("a"), F.col("label").alias("label_a"))
     other = labels.select(F.col("member").alias("b"), F.col("label").alias("label_b"))
-    between = links.join(of, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    found = components(between)
-    return staged(labels.join(found, F.col("label") == F.col("node"), "left").select(
-        "member", F.coalesce("component", "label").alias("label")), "labels")
+    between = links.join(of, "a").join(other, "b").select("label_a", "label_b").filter("label_a != label_b").distinct()
+    both = between.unionByName(between.select(F.col("label_b").alias("label_a"), F.col("label_a").alias("label_b")))
+    hooks = both.groupBy(F.col("label_a").alias("from")).agg(F.min("label_b").alias("to")).filter("to < from")
+    hooks = staged(hooks, "hooks")
+    for _ in range(2):
+        onward = hooks.select(F.col("from").alias("to"), F.col("to").alias("further"))
+        hooks = hooks.join(onward, "to", "left").select("from", F.coalesce("further", "to").alias("to"))
+    return staged(labels.join(hooks, F.col("label") == F.col("from"), "left").select(
+        "member", F.coalesce("to", "label").alias("label")), "labels")

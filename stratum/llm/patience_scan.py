@@ -110,18 +110,20 @@ def matches(text: str, known: list[Template], least: float = LEAST_COVERAGE) ->
                 continue
             start = max(0, place - reach)
             pairs = aligned(template.words, words[start:place + reach])
-            pairs = nearest(pairs, place - start, len(template.words))
+            pairs = nearest(pairs, len(template.words))
             coverage = len(pairs) / len(template.words)
             if coverage >= least:
                 first, last = start + pairs[0][1], start + pairs[-1][1]
+                if any(first < b and a <= last for a, b in covered):
+                    continue  # found from another place
                 taken.append((template.name, found[first].start(), found[last].end(), round(coverage, 4)))
                 covered.append((first, last + 1))
                 done = last
     return sorted(taken, key=lambda m: (m[1], m[0]))
 
 
-def nearest(pairs: list[tuple[int, int]], centre: int, size: int) -> list[tuple[int, int]]:
-    """Without stray pairs: the run around ``centre`` whose neighbours are at most a quarter of the template apart."""
+def nearest(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """Without stray pairs: the largest run whose neighbours are at most a quarter of the template apart."""
     gap = max(3, size // 4)
     run: list[tuple[int, int]] = []
     best: list[tuple[int, int]] = []

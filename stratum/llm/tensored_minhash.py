@@ -2,8 +2,9 @@
 
 A document is the set of its distinct three-word shingles. ``COLLECTIONS`` collections of ``ROWS`` minhashes are
 computed; every pair of collections is a table, and its key combines the two collections' values. Documents that agree
-in two collections meet in a table, so 32 minhashes serve 120 tables of four rows each. Two sets at the threshold
-0.85 agree in at least two of 16 collections but for a chance of 5e-8.
+in two collections meet in a table, so 24 minhashes serve 66 tables of four rows each. Two sets at the threshold 0.85
+agree in at least two of 12 collections but for a chance of 7e-6. A table is split into bands of set sizes, each set
+being in two of them, as sets of very different size cannot be alike enough.
 
 Documents with equal sets are one class from then on. Tables in which the same classes meet are one bucket. A bucket's
 candidates are confirmed on the full sets, as bucket_links tells: no link between components is lost, and pairs inside
@@ -17,6 +18,7 @@ table gives no rows. Only doc_id and text are read by ``report``; ``deduplicated
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import OrderedDict
 from collections.abc import Iterable
@@ -31,7 +33,7 @@ from stratum.scratch import staged
 
 SHINGLE = 3
 THRESHOLD_PERCENT = 85
-COLLECTIONS, ROWS = 16, 2
+COLLECTIONS, ROWS = 12, 2
 UPPER = re.compile("[A-Z]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _seeds = np.random.RandomState(20).randint(1, 2**63 - 1, size=(2, COLLECTIONS * ROWS, 1), dtype=np.int64).astype(np.uint64)
@@ -106,7 +108,11 @@ def buckets(representatives: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("i", "value"))).alias("v")).filter(F.size("v") > 1)
     pairs = F.expr("filter(flatten(transform(v, x -> transform(v, y -> if(x.i < y.i, xxhash64(x.i, y.i, x.value, y.value), "
                    "null)))), k -> k is not null)")
-    keys = staged(usable.select("class_id", "n", F.explode(pairs).alias("bucket")), "table-keys")
+    # Sizes of sets to be linked differ by one band at most.
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / THRESHOLD_PERCENT)))
+    keys = usable.select("class_id", "n", F.explode(pairs).alias("key"))
+    keys = staged(keys.withColumn("band", F.explode(F.array(band, band + 1))).select(
+        "class_id", "n", F.xxhash64("key", "band").alias("bucket")), "table-keys")
     met = keys.groupBy("bucket").agg(F.count("*").alias("met"), F.sum(F.xxhash64("class_id").cast("decimal(20,0)")).alias("s"),
                                      F.bit_xor(F.xxhash64(F.lit(1), "class_id")).alias("x"))
     chosen = met.filter("met > 1").groupBy("met", "s", "x").agg(F.min("bucket").alias("bucket"))
