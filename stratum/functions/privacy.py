@@ -15,9 +15,11 @@ POLICIES: dict[str, str] = {
     "mask_text": "mask({col})",
     "mask_digits": "regexp_replace({col}, '[0-9]', '#')",
     "mask_email": r"regexp_replace({col}, '([A-Za-z0-9._%+-]+)@([A-Za-z0-9.-]+)', '***@$2')",
-    "mask_hash": "sha2(concat_ws('', {col}, ''), 256)",
-    "mask_null": "cast(null as string)",
+    "mask_hash": "sha2(cast({col} as string), 256)",
+    "mask_null": "if(false, {col}, null)",  # NULL of the column's own type
 }
+#: Policies that make text of text and are refused for other types.
+TEXT_POLICIES = frozenset({"mask_text", "mask_digits", "mask_email"})
 
 
 def masked_columns(columns: Sequence[str], masks: Iterable[Mapping[str, str]],
@@ -35,12 +37,25 @@ def masked_columns(columns: Sequence[str], masks: Iterable[Mapping[str, str]],
 
 def masked(df: DataFrame, masks: Iterable[Mapping[str, str]],
            policies: Mapping[str, str] = POLICIES) -> DataFrame:
+    masks = list(masks)
+    _refuse_other_types(df, masks, policies)
     return df.selectExpr(*masked_columns(df.columns, masks, policies))
 
 
+def _refuse_other_types(df: DataFrame, masks: Sequence[Mapping[str, str]], policies: Mapping[str, str]) -> None:
+    types = dict(df.dtypes)
+    for mask in masks:
+        policy = mask["policy"]
+        own = policy in TEXT_POLICIES and policies.get(policy) == POLICIES[policy]
+        if own and not types.get(mask["column"], "string").startswith(("string", "varchar", "char")):
+            raise ValueError(f"{policy} masks text, but {mask['column']} is {types[mask['column']]}")
+
+
 def publish_masked_view(spark: SparkSession, table: str, view: str, masks: Iterable[Mapping[str, str]],
                         policies: Mapping[str, str] = POLICIES) -> DataFrame:
     """Create or replace the view through which readers see ``table``."""
+    masks = list(masks)
+    _refuse_other_types(spark.table(table), masks, policies)
     select = ", ".join(masked_columns(spark.table(table).columns, masks, policies))
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {select} FROM {table}")
     return spark.table(view)

@@ -23,7 +23,7 @@ def where_in(df: DataFrame, column: str, values: Iterable[object]) -> DataFrame:
 
 
 def where_run(df: DataFrame, run_id: str | None, column: str = "run_id") -> DataFrame:
-    return df.filter(ref(column) == F.lit(run_id))
+    return df.filter(ref(column).eqNullSafe(F.lit(run_id)))
 
 
 def where_null(df: DataFrame, column: str) -> DataFrame:

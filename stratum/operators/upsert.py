@@ -123,11 +123,10 @@ def upserted(
     not match the same target row twice: see ``ambiguous_matches``.
     """
     match = Match.on(on)
+    source = named_as(source, target)
     shared = {c: f"{SOURCE}.{quoted(c)}" for c in target.columns if c in source.columns}
-    update = shared if update is None else update
-    insert = shared if insert is None else insert
-    _known(target, update)
-    _known(target, insert)
+    update = shared if update is None else _known(target, update)
+    insert = shared if insert is None else _known(target, insert)
     rows = target
     if update:
         rows = _updated(target, source, match, update, update_condition)
@@ -159,8 +158,11 @@ def _inserted(target: DataFrame, source: DataFrame, match: Match, insert: Mappin
 
 def as_inserts(target: DataFrame, rows: DataFrame, insert: Mapping[str, str] | None = None) -> DataFrame:
     """Source rows in the shape they are inserted into the target."""
+    rows = named_as(rows, target)
     if insert is None:
         insert = {c: f"{SOURCE}.{quoted(c)}" for c in target.columns if c in rows.columns}
+    else:
+        insert = _known(target, insert)
     return rows.alias(SOURCE).select([
         _typed(F.expr(insert[f.name]) if f.name in insert else F.lit(None), f) for f in target.schema.fields
     ])
@@ -195,10 +197,20 @@ def _typed(value: Column, field) -> Column:
     return value.cast(field.dataType).alias(field.name)
 
 
-def _known(target: DataFrame, mapping: Mapping[str, str]) -> None:
-    unknown = sorted(set(mapping) - set(target.columns))
+def _known(target: DataFrame, mapping: Mapping[str, str]) -> Mapping[str, str]:
+    """The mapping with the target's spelling of its columns."""
+    names = {c.lower(): c for c in target.columns}
+    unknown = sorted(c for c in mapping if c.lower() not in names)
     if unknown:
         raise ValueError(f"not columns of the target: {', '.join(unknown)}")
+    return {names[c.lower()]: expression for c, expression in mapping.items()}
+
+
+def named_as(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``source`` with the target's spelling of the columns both have; names differ by more than case."""
+    names = {c.lower(): c for c in target.columns}
+    changed = {c: names[c.lower()] for c in source.columns if names.get(c.lower(), c) != c}
+    return source.withColumnsRenamed(changed) if changed else source
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -245,10 +257,8 @@ def snapshot_applied(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
     must be unique: see ``repeated_keys``, which layer runs check first.
     """
     moment = at if isinstance(at, Column) else F.lit(at)
-    for name, kind in ((flag, "boolean"), (stamp, "timestamp")):
-        if name not in target.columns:
-            value = F.lit(False) if name == flag else F.lit(None).cast(kind)
-            target = target.withColumn(name, value)
+    target = with_deletion_columns(target, flag, stamp)
+    snapshot = named_as(snapshot, target)
     live = snapshot.withColumns({flag: F.lit(False), stamp: F.lit(None).cast("timestamp")})
     match = Match.on(keys)
     values = {c: f"{SOURCE}.{quoted(c)}" for c in target.columns if c in live.columns}
@@ -269,6 +279,14 @@ def snapshot_applied(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
     return kept.unionByName(_inserted(target, live, match, values))
 
 
+def with_deletion_columns(target: DataFrame, flag: str = "is_deleted", stamp: str = "deleted_at") -> DataFrame:
+    """``target`` with the columns of a soft delete, where it lacks them."""
+    for name, value in ((flag, F.lit(False)), (stamp, F.lit(None).cast("timestamp"))):
+        if name not in target.columns:
+            target = target.withColumn(name, value)
+    return target
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   hash_column: str | None = None) -> DataFrame:
     """Rows inserted, updated or deleted between two snapshots with unique keys (NULL is a key). A

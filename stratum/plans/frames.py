@@ -23,8 +23,8 @@ from stratum.operators.columns import (
 from stratum.operators.names import with_replaced_in_names
 from stratum.operators.rows import deduplicated, where_all
 from stratum.quoting import quoted
-from stratum.sources.files import scan_folder, scan_with_corrupt
-from stratum.sources.listing import FileRef, discovered
+from stratum.sources.files import scan_folder
+from stratum.sources.listing import FileRef
 from stratum.sources.tables import scan_jdbc, scan_table
 from stratum.spec import AggregateSpec, PipelineSpec, TransformSpec
 
@@ -41,15 +41,9 @@ def extracted(spark: SparkSession, spec: PipelineSpec,
         return scan_jdbc(spark, source.url, source.table, source.partition_column, source.bounds,
                          source.options), []
     if source.kind == "file":
-        if spec.target.corrupt_record and source.schema:
-            files = discovered(spark, source.path, source.extension, source.last_n_days, as_of)
-            if not files:
-                return None, files
-            schema = spark.createDataFrame([], source.schema).schema
-            return scan_with_corrupt(spark, [f.path for f in files], source.format, schema, source.options), files
         return scan_folder(spark, source.path, source.format, source.options, source.extension,
                            source.last_n_days, as_of, source.split_enabled, source.header_mode, source.layout,
-                           source.compat_names)
+                           source.compat_names, source.schema, bool(spec.target.corrupt_record))
     raise ValueError(f"source type {source.kind} is read by the streaming module")
 
 
@@ -87,14 +81,22 @@ def gold_frame(df: DataFrame, spec: PipelineSpec, aggregations: AggregateSpec |
     return aggregated(df, chosen.group_by, chosen.metrics, chosen.whole_table)
 
 
-def gold_select(spec: PipelineSpec, aggregations: AggregateSpec | None = None) -> str:
+def gold_select(spark: SparkSession, spec: PipelineSpec, aggregations: AggregateSpec | None = None) -> str:
     """The same as SQL text over the source table, for targets published as views."""
     if spec.source.kind != "table":
         raise ValueError("a view needs a table as its source")
     chosen = aggregations or spec.transform.aggregations
     body = spec.source.table
+    df = spark.table(body)
     for name, expression in spec.transform.with_columns:
-        body = f"(SELECT *, ({expression}) AS {quoted(name)} FROM {body})"
+        after = with_expressions(df, [(name, expression)], spec.transform.on_column_error)
+        if after.columns == df.columns and name.lower() not in {c.lower() for c in df.columns}:
+            continue  # it does not resolve and is to be skipped
+        if after is not df:
+            listed = ", ".join(f"({expression}) AS {quoted(c)}" if c.lower() == name.lower() else quoted(c)
+                               for c in after.columns)
+            body = f"(SELECT {listed} FROM {body})"
+        df = after
     where = " AND ".join(f"({c})" for c in spec.transform.filters)
     groups = [quoted(c) for c in chosen.group_by]
     metrics = [f"{m['expr']} AS {quoted(m['name'])}" for m in chosen.metrics if m.get("name") and m.get("expr")]

@@ -24,9 +24,9 @@ from stratum.operators import quality
 from stratum.operators.aggregate import rows_per_file
 from stratum.operators.columns import RunInfo
 from stratum.operators.reconcile import loaded_per_file, reconciled
-from stratum.operators.upsert import repeated_keys, snapshot_applied
+from stratum.operators.upsert import repeated_keys, snapshot_applied, with_deletion_columns
 from stratum.plans.frames import bronze_frame, extracted, gold_frame, gold_select, silver_frame
-from stratum.quoting import ref
+from stratum.quoting import quoted, ref
 from stratum.scratch import staged
 from stratum.sinks import tables
 from stratum.sources.files import CORRUPT, corrupt_records, good_records
@@ -69,11 +69,10 @@ def _run_bronze(spark, spec, info, started, as_of) -> RunResult:
         screened = Observation() if target.corrupt_record and CORRUPT in df.columns else None
         good = df
         if screened:
-            df = df.observe(screened, F.count(ref(CORRUPT)).alias("corrupt"))
-            good = good_records(df)
+            good = good_records(df.observe(screened, F.count(ref(CORRUPT)).alias("corrupt")))
         counted = Observation()
         written = bronze_frame(good, spec, info).observe(counted, F.count(F.lit(1)).alias("rows"))
-        if target.mode == "merge":
+        if _read_again(target):
             written = staged(written, "bronze-input")
         _write(spark, written, target, started)
         if screened and screened.get["corrupt"]:
@@ -133,7 +132,7 @@ def _run_silver(spark, spec, info, started, as_of) -> RunResult:
     counted = Observation()
     frame = frame.observe(counted, F.count(F.lit(1)).alias("rows"),
                           F.count_if(quality.any_failure(rules)).alias("failing"))
-    if spec.stage_input or target.mode == "merge":
+    if spec.stage_input or _read_again(target):
         frame = staged(frame, "silver-input")
     checked = quality.annotated(frame, rules) if rules else frame
     written = quality.passed(checked) if rules and spec.on_fail == "drop" else frame
@@ -181,11 +180,11 @@ def _run_gold(spark, spec, info, started, as_of) -> RunResult:
     total = 0
     for target in spec.targets:
         if target.materialization == "view":
-            tables.replace_view(spark, target.table, gold_select(spec, target.aggregations))
+            tables.replace_view(spark, target.table, gold_select(spark, spec, target.aggregations))
             continue
         counted = Observation()
         frame = gold_frame(df, spec, target.aggregations).observe(counted, F.count(F.lit(1)).alias("rows"))
-        if target.mode == "merge":
+        if _read_again(target):
             frame = staged(frame, "gold-input")
         _write(spark, frame, target, started)
         total += counted.get["rows"]
@@ -194,15 +193,14 @@ def _run_gold(spark, spec, info, started, as_of) -> RunResult:
 
 
 def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.datetime) -> None:
-    """Write by mode. A frame to merge comes staged: the merge reads it several times."""
+    """Write by mode. A frame that is read several times here (``_read_again``) comes staged."""
     if target.mode == "merge":
-        if not spark.catalog.tableExists(target.table):
-            tables.create(df, target.table, target.partition_by, target.location)
-        elif target.soft_deletes:
+        prepare_merge(df, target)
+        if target.soft_deletes:
             _apply_snapshot(spark, df, target, started)
         else:
             tables.merge(df, target.table, target.on, target.update, target.insert, target.update_condition,
-                         stage=False)
+                         stage=False, evolve=target.schema_evolution)
     elif target.mode == "overwrite":
         tables.overwrite(df, target.table, target.partition_by, target.location, target.empty_result)
     elif target.mode == "append":
@@ -213,6 +211,27 @@ def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.d
         raise ValueError(f"unknown write mode: {target.mode}")
 
 
+def _read_again(target: TargetSpec) -> bool:
+    """Whether writing takes more than one action. Observations count the first one, so it must be the staging."""
+    return target.mode == "merge" or (target.mode == "append" and target.empty_result == "fail")
+
+
+def prepare_merge(df: DataFrame, target: TargetSpec) -> None:
+    """Create the table a first merge needs, empty, so that it is merged like any other."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(target.table):
+        return
+    shape = df.limit(0)
+    if target.insert:
+        names = [*df.columns, *(c for c in target.insert if c not in df.columns)]
+        shape = shape.alias("src").select([
+            F.expr(target.insert[c]).alias(c) if c in target.insert else F.col(f"src.{quoted(c)}") for c in names])
+    if target.soft_deletes:
+        shape = with_deletion_columns(shape)
+    empty = spark.createDataFrame([], shape.schema)
+    tables.create(empty, target.table, target.partition_by, target.location)
+
+
 def _apply_snapshot(spark, snapshot: DataFrame, target: TargetSpec, started: dt.datetime) -> None:
     if not repeated_keys(snapshot, list(target.keys)).isEmpty():
         raise tables.AmbiguousMerge(f"repeated keys in the snapshot for {target.table}")

@@ -1,7 +1,9 @@
 """Catalog-table sinks on plain file tables: append with new columns, overwrite, merge, views.
 
 File tables have no transactions, so the writes are arranged to publish complete data only: new data
-goes to a new folder and the catalog is switched to it afterwards. One writer per table is assumed.
+goes to a new folder and the catalog is switched to it afterwards. The exception is a merge that stays within
+partitions: it replaces the files of the touched partitions where they are, so a reader of those may have to start
+again. One writer per table is assumed.
 """
 
 from __future__ import annotations
@@ -16,14 +18,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratum.operators.upsert import Match, ambiguous_matches, as_inserts, repeated_keys, upserted
+from stratum.operators.upsert import (
+    Match,
+    ambiguous_matches,
+    as_inserts,
+    named_as,
+    repeated_keys,
+    upserted,
+)
 from stratum.quoting import quoted, ref
 from stratum.scratch import staged
 
 TRANSACTIONAL = ("delta", "iceberg", "hudi")
 _VERSION = re.compile(r"__v[0-9a-f]{32}$")
-# Above this many touched partitions a merge rewrites the table instead of listing them in a filter.
-MAX_LISTED_PARTITIONS = 5000
 
 
 class AmbiguousMerge(ValueError):
@@ -184,23 +191,29 @@ def merge(
     insert: Mapping[str, str] | None = None,
     update_condition: str | None = None,
     stage: bool = True,
+    evolve: bool = True,
 ) -> bool:
     """Merge into a table; True if anything was written. An empty source changes nothing.
 
     The source is staged once, because several steps read it; pass ``stage=False`` for a source that is
     a written table already. If the table is partitioned by merge
-    keys, only the partitions the source touches are read and rewritten.
+    keys, only the partitions the source touches are rewritten, and only those within the range of its values are
+    read. Columns that only the source has are added to the table, or refused without ``evolve``; they are left out
+    where ``update`` and ``insert`` both say what is written.
     """
     spark = source.sparkSession
     if stage:
         source = staged(source, "merge-source")
     if source.isEmpty():
         return False
-    target = spark.table(table)
     info = table_info(spark, table)
     if info.transactional:
         _merge_natively(source, table, on, update, insert, update_condition)
         return True
+    if update is None or insert is None:
+        add_missing_columns(source, table, evolve)
+    target = spark.table(table)
+    source = named_as(source, target)
     match = Match.on(on)
     staged_source, loose = source, None
     repeated = repeated_keys(source, match.source_keys)
@@ -218,12 +231,8 @@ def merge(
         inserting = loose is not None and (insert is None or insert)
         return result.unionByName(as_inserts(target, loose, insert)) if inserting else result
 
-    touched = None
     if info.partitions and all(_stays_in_place(p, match, update, insert) for p in info.partitions):
-        values = [ref(p).cast(target.schema[p].dataType).alias(p) for p in info.partitions]
-        touched = staged_source.select(values).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if touched is not None and len(touched) <= MAX_LISTED_PARTITIONS:
-        part = target.where(_partition_filter(info.partitions, touched))
+        part = _touched(target, staged_source, info.partitions)
         rewritten = staged(merged(part), "merge-result")
         # By path: an insert by table name ignores the option and would empty the other partitions.
         (_balanced(rewritten, info.partitions)
@@ -246,36 +255,48 @@ def _stays_in_place(partition: str, match: Match, update, insert) -> bool:
 
 
 def _merge_natively(source, table, on, update, insert, update_condition) -> None:
-    columns = source.sparkSession.table(table).columns
-    shared = {c: f"src.{quoted(c)}" for c in columns if c in source.columns}
-
-    def values(mapping):
-        return {c: F.expr(e) for c, e in (shared if mapping is None else mapping).items()}
-
-    condition = Match.on(on).condition.replace("tgt.", f"{table}.")
-    writer = source.alias("src").mergeInto(table, F.expr(condition))
-    if update is None or update:
-        matched = writer.whenMatched() if update_condition is None else writer.whenMatched(F.expr(update_condition))
-        writer = matched.update(values(update))
-    if insert is None or insert:
-        writer = writer.whenNotMatched().insert(values(insert))
-    writer.merge()
-
-
-def _partition_filter(columns: Sequence[str], rows):
-    """Condition on partition columns only, so that Spark prunes partitions before reading. NULL
-    partitions are read too if the source adds rows to them: they are rewritten as a whole."""
-    if len(columns) == 1:
-        values = [r[0] for r in rows if r[0] is not None]
-        condition = ref(columns[0]).isin(values)
-        return condition | ref(columns[0]).isNull() if len(values) < len(rows) else condition
-    condition = F.lit(False)
-    for row in rows:
-        each = F.lit(True)
-        for name, value in zip(columns, row):
-            each = each & (ref(name).isNull() if value is None else ref(name) == F.lit(value))
-        condition = condition | each
-    return condition
+    view = f"stratum_merge_{uuid.uuid4().hex}"
+    source.createOrReplaceTempView(view)
+    try:
+        spark = source.sparkSession
+        spark.sql(merge_text(spark.table(table).columns, source.columns, table, view, on, update, insert, update_condition))
+    finally:
+        source.sparkSession.catalog.dropTempView(view)
+
+
+def merge_text(columns: Sequence[str], source_columns: Sequence[str], table: str, view: str, on: str | Sequence[str],
+               update: Mapping[str, str] | None = None, insert: Mapping[str, str] | None = None,
+               update_condition: str | None = None) -> str:
+    """The merge as one SQL statement, in which the conditions' names for both sides are the statement's own."""
+    have = {c.lower(): c for c in source_columns}
+    shared = {c: f"src.{quoted(have[c.lower()])}" for c in columns if c.lower() in have}
+    update, insert = (shared if m is None else m for m in (update, insert))
+    text = f"MERGE INTO {table} AS tgt USING {quoted(view)} AS src ON {Match.on(on).condition}"
+    if update:
+        condition = f" AND ({update_condition})" if update_condition else ""
+        text += f" WHEN MATCHED{condition} THEN UPDATE SET " + ", ".join(
+            f"tgt.{quoted(c)} = {value}" for c, value in update.items())
+    if insert:
+        text += (f" WHEN NOT MATCHED THEN INSERT ({', '.join(map(quoted, insert))}) "
+                 f"VALUES ({', '.join(insert.values())})")
+    return text
+
+
+def _touched(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The target's rows in the partitions the source has rows for, a NULL partition among them.
+
+    The range of each column prunes partitions before reading; the join with the distinct values is exact.
+    """
+    values = source.select([ref(p).cast(target.schema[p].dataType).alias(f"__t{i}") for i, p in enumerate(partitions)])
+    ends = values.agg(*[f(f"__t{i}").alias(f"{name}{i}") for i in range(len(partitions))
+                        for name, f in (("low", F.min), ("high", F.max), ("known", F.count))],
+                      F.count(F.lit(1)).alias("rows")).first()
+    part = target
+    for i, name in enumerate(partitions):
+        inside = F.lit(False) if ends[f"low{i}"] is None else ref(name).between(ends[f"low{i}"], ends[f"high{i}"])
+        part = part.where(inside | ref(name).isNull() if ends[f"known{i}"] < ends["rows"] else inside)
+    same = [ref(p).eqNullSafe(F.col(f"__t{i}")) for i, p in enumerate(partitions)]
+    return part.join(values.distinct(), same, "left_semi")
 
 
 def replace_view(spark: SparkSession, view: str, select: str) -> None:

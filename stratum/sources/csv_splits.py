@@ -15,12 +15,10 @@ from pyspark.sql.types import StructType
 from stratum.operators.names import illegal_names
 from stratum.sources.listing import FileRef
 
+# The header modes, and below the name pattern of the first file.
 HEADER_MODES = ("auto", "no_header", "all_header", "one_header")
-_HONOURED = ("quote", "escape", "columnNameOfCorruptRecord")
 _PEEK_THREADS = 16
 _PEEK_BYTES = 4 * 1024
-# A file without a line end in its first megabyte has no header line.
-_PEEK_LIMIT = 1024 * 1024
 
 
 def is_split(files: Sequence[FileRef]) -> bool:
@@ -42,9 +40,11 @@ def numbered_first(files: Sequence[FileRef], extension: str = "") -> list[FileRe
 
 
 def scan_splits(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object],
-                mode: str = "auto", extension: str = "") -> DataFrame:
+                mode: str = "auto", extension: str = "", schema: StructType | str | None = None) -> DataFrame:
     """At most two scans: files with a header, and files without one read by position under its schema.
 
+    A given ``schema`` is that of both, by position.
+
     ``no_header``, ``all_header`` and ``one_header`` look at no file before the scan. ``auto`` looks at
     the first line of each file.
     """
@@ -63,8 +63,8 @@ def scan_splits(spark: SparkSession, files: Sequence[FileRef], options: Mapping[
         with_header, bare = classified(spark, files, options, extension)
 
     if not with_header:
-        return _with_file_name(_read(spark, bare, options, header=False))
-    headed = _read(spark, with_header, options, header=True)
+        return _with_file_name(_read(spark, bare, options, header=False, schema=schema))
+    headed = _read(spark, with_header, options, header=True, schema=schema)
     result = _with_file_name(headed)
     if bare:
         result = result.unionByName(_with_file_name(_read(spark, bare, options, header=False, schema=headed.schema)))
@@ -99,7 +99,7 @@ def _others(files: Sequence[FileRef], chosen: Sequence[FileRef]) -> list[FileRef
 
 def first_rows(spark: SparkSession, files: Sequence[FileRef],
                options: Mapping[str, object]) -> list[list[str] | None]:
-    """Column values of each file's first line; None for an empty or unreadable file.
+    """Column values of each file's first line; None for an empty file. A file that cannot be read is an error.
 
     This costs one small read per file, whatever the file sizes.
     """
@@ -110,16 +110,13 @@ def first_rows(spark: SparkSession, files: Sequence[FileRef],
     quote = str(options.get("quote", '"')) or None
 
     def peek(file: FileRef) -> list[str] | None:
+        path = jvm.org.apache.hadoop.fs.Path(file.path)
+        stream = path.getFileSystem(conf).open(path)
         try:
-            path = jvm.org.apache.hadoop.fs.Path(file.path)
-            stream = path.getFileSystem(conf).open(path)
-            try:
-                codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-                head = _first_bytes(stream if codec is None else codec.createInputStream(stream))
-            finally:
-                stream.close()
-        except Exception:
-            return None
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+            head = _first_bytes(stream if codec is None else codec.createInputStream(stream))
+        finally:
+            stream.close()
         lines = re.split(r"\r\n|\r|\n", head.decode(encoding, errors="replace").lstrip("\ufeff"))
         line = next((text for text in lines if text.strip()), None)
         if line is None:
@@ -136,30 +133,24 @@ def first_rows(spark: SparkSession, files: Sequence[FileRef],
 
 def _first_bytes(stream) -> bytes:
     """Bytes up to the end of the first line with text in it, or a little more."""
-    head = b""
-    while len(head) < _PEEK_LIMIT:
+    parts, text = [], False
+    while True:
         more = bytes(stream.readNBytes(_PEEK_BYTES))
-        head += more
-        if len(more) < _PEEK_BYTES or b"\n" in head.lstrip():
-            break
-    return head
+        parts.append(more)
+        # Line ends before the first text are no end of the first line.
+        if len(more) < _PEEK_BYTES or b"\n" in (more if text else more.lstrip()):
+            return b"".join(parts)
+        text = text or bool(more.strip())
 
 
 def _read(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object], header: bool,
-          schema: StructType | None = None) -> DataFrame:
-    chosen = {
-        "encoding": options.get("encoding", "UTF-8"),
-        "delimiter": options.get("delimiter", options.get("sep", ",")),
-        "mode": options.get("mode", "PERMISSIVE"),
-        "header": header,
-    }
-    chosen.update({name: options[name] for name in _HONOURED if name in options})
-    if schema is None:
-        chosen["inferSchema"] = options.get("inferSchema", "false")
-        reader = spark.read.options(**chosen)
-    else:
-        reader = spark.read.options(**chosen).schema(schema)
-    return reader.csv([f.path for f in files])
+          schema: StructType | str | None = None) -> DataFrame:
+    """All reader options pass through; only the header is decided here, and the types of headerless parts."""
+    chosen = {k: v for k, v in options.items() if k.lower() != "header"}
+    if schema is not None:
+        chosen = {k: v for k, v in chosen.items() if k.lower() != "inferschema"}
+    reader = spark.read.options(**chosen).option("header", header)
+    return (reader if schema is None else reader.schema(schema)).csv([f.path for f in files])
 
 
 def _with_file_name(df: DataFrame) -> DataFrame:

@@ -36,13 +36,20 @@ def scan_files(spark: SparkSession, files: Sequence[FileRef], file_format: str,
 
 def scan_csv(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object] | None = None,
              split_enabled: bool = True, header_mode: str = "auto", extension: str = "",
-             compat_names: bool = False) -> DataFrame:
-    """CSV scan with legal column names; several files in a folder count as parts of one split file."""
+             compat_names: bool = False, schema: StructType | str | None = None, keep_corrupt: bool = False) -> DataFrame:
+    """CSV scan with legal column names; several files in a folder count as parts of one split file.
+
+    With ``keep_corrupt``, which needs a schema, the text of malformed records is in ``_corrupt_record``.
+    """
+    if keep_corrupt:
+        full, options = corrupt_schema(spark, schema), _corrupt_options("csv", options)
+    else:
+        full = schema
     if split_enabled and is_split(files):
-        df = scan_splits(spark, files, options or {}, header_mode, extension)
+        df = scan_splits(spark, files, options or {}, header_mode, extension, full)
     else:
-        df = scan_files(spark, files, "csv", options)
-    return with_clean_names(df, compat_names)
+        df = scan_files(spark, files, "csv", options, full)
+    return with_clean_names(_with_corrupt_text(df) if keep_corrupt else df, compat_names)
 
 
 def scan_folder(
@@ -57,6 +64,8 @@ def scan_folder(
     header_mode: str = "auto",
     layout: Sequence[Field] = (),
     compat_names: bool = False,
+    schema: StructType | str | None = None,
+    keep_corrupt: bool = False,
 ) -> tuple[DataFrame | None, list[FileRef]]:
     """Discover and scan. Returns the frame, or None if there is nothing to read, and the files."""
     file_format = ALIASES.get(file_format, file_format)
@@ -66,10 +75,14 @@ def scan_folder(
     if not files:
         return None, files
     if file_format == "csv":
-        return scan_csv(spark, files, options, split_enabled, header_mode, extension, compat_names), files
+        return scan_csv(spark, files, options, split_enabled, header_mode, extension, compat_names, schema,
+                        keep_corrupt), files
+    if keep_corrupt:
+        full = spark.createDataFrame([], schema).schema
+        return scan_with_corrupt(spark, [f.path for f in files], file_format, full, options), files
     if file_format == "fixed_width":
         return scan_fixed_width(spark, [f.path for f in files], layout, **dict(options or {})), files
-    return scan_files(spark, files, file_format, options), files
+    return scan_files(spark, files, file_format, options, schema), files
 
 
 CORRUPT = "_corrupt_record"
@@ -82,19 +95,29 @@ def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_form
     Column pruning is off inside the CSV parser: with it, a record counts as malformed or not depending
     on the columns a query happens to use.
     """
-    full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    reader = spark.read.format(file_format).options(**_corrupt_options(file_format, options))
+    df = reader.schema(corrupt_schema(spark, schema)).load(paths)
+    return _with_corrupt_text(df.select("*", F.col("_metadata.file_name").alias("file_name")))
+
+
+def corrupt_schema(spark: SparkSession, schema: StructType | str) -> StructType:
+    """``schema`` with the column of malformed records."""
+    known = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    return StructType(known.fields + [StructField(CORRUPT, StringType())])
+
+
+def _corrupt_options(file_format: str, options: Mapping[str, object] | None) -> dict[str, object]:
     chosen = {**_reader_options(options), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if file_format == "csv":
         chosen["columnPruning"] = "false"
-    df = spark.read.format(file_format).options(**chosen).schema(full).load(paths)
-    # Spark refuses a scan pruned to the corrupt-record column alone, so the text is joined with nothing
-    # from a data column, which keeps that column in the scan whatever a query selects.
+    return chosen
+
+
+def _with_corrupt_text(df: DataFrame) -> DataFrame:
+    """Spark refuses a scan pruned to the corrupt-record column alone, so the text is joined with nothing
+    from a data column, which keeps that column in the scan whatever a query selects."""
     nothing = F.left(F.coalesce(ref(df.columns[0]).cast("string"), F.lit("")), F.lit(0))
-    return df.select(
-        *refs(schema.names),
-        F.concat(ref(CORRUPT), nothing).alias(CORRUPT),
-        F.col("_metadata.file_name").alias("file_name"),
-    )
+    return df.withColumn(CORRUPT, F.concat(ref(CORRUPT), nothing))
 
 
 def good_records(df: DataFrame) -> DataFrame:

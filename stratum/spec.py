@@ -21,6 +21,14 @@ SOURCE_TYPES = {
     "cloudfiles": "incremental",
     "incremental": "incremental",
 }
+SOURCE_SETTINGS = ("type name table source_path format options extension discover multi_split schema layout compat_names "
+                   "url partition_column bounds")
+TRANSFORM_SETTINGS = ("with_columns on_column_error standardize casts on_cast_error filters aggregations fill_nulls "
+                      "replace_in_names all_to_string select drop deduplicate hash_mode hash_all_columns")
+STANDARDIZE_SETTINGS = "rename_map case trim_strings strip_whitespace lowercase uppercase"
+TARGET_SETTINGS = ("table target name mode write_mode primary_keys merge_condition update insert update_condition "
+                   "enable_soft_deletes schema_evolution corrupt_record partition_by location materialization "
+                   "empty_result aggregations")
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("append", "overwrite", "merge")
 MATERIALIZATIONS = ("table", "view")
@@ -46,6 +54,13 @@ def _one_of(value: str, allowed: Sequence[str], what: str) -> str:
     return value
 
 
+def _only(entry: Mapping[str, Any], known: str, where: str) -> None:
+    """A setting that is not known is a mistake: it would have no effect."""
+    unknown = sorted(set(entry) - set(known.split()))
+    if unknown:
+        raise ValueError(f"{where}: unknown setting {', '.join(map(str, unknown))}")
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     kind: str
@@ -70,6 +85,9 @@ class SourceSpec:
         if kind is None:
             raise ValueError(f"source: unknown type {source.get('type')!r}")
         props = source.get("properties", source)
+        _only(source if props is source else {k: v for k, v in source.items() if k != "properties"},
+              SOURCE_SETTINGS if props is source else "type name", "source")
+        _only(props, SOURCE_SETTINGS, "source")
         if kind in ("file", "incremental"):
             required(props, "source_path", "source")
             required(props, "format", "source")
@@ -77,6 +95,8 @@ class SourceSpec:
             required(props, "table", "source")
         if kind == "jdbc":
             required(props, "url", "source")
+        if props.get("bounds") and not props.get("partition_column"):
+            raise ValueError("source: bounds need a partition_column")
         discover = props.get("discover") or {}
         dated = discover.get("type") == "date_hierarchy"
         split = props.get("multi_split", discover.get("multi_split", True))
@@ -135,6 +155,11 @@ class TransformSpec:
     def of(cls, entry: Mapping[str, Any] | None) -> TransformSpec:
         entry = entry or {}
         std = entry.get("standardize") or {}
+        _only(entry, TRANSFORM_SETTINGS, "transform")
+        _only(std, STANDARDIZE_SETTINGS, "standardize")
+        _one_of(entry.get("on_column_error", "fail"), ("fail", "skip"), "on_column_error")
+        _one_of(entry.get("on_cast_error", "fail"), ("fail", "null"), "on_cast_error")
+        _one_of(entry.get("hash_mode", "compat"), ("compat", "strict"), "hash_mode")
         return cls(
             with_columns=tuple((c["name"], c["expr"]) for c in entry.get("with_columns") or ()
                                if c.get("name") and c.get("expr")),
@@ -184,6 +209,7 @@ class TargetSpec:
 
     @classmethod
     def of(cls, entry: Mapping[str, Any]) -> TargetSpec:
+        _only(entry, TARGET_SETTINGS, "destination")
         table = entry.get("table") or entry.get("target")
         if not table:
             raise ValueError("destination: missing table")

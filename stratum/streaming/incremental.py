@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.operators.columns import RunInfo
+from stratum.operators.upsert import Match
 from stratum.plans.frames import bronze_frame, silver_frame
-from stratum.plans.runs import RunResult, checked_batch, publish_masks, record_status
+from stratum.plans.runs import RunResult, checked_batch, prepare_merge, publish_masks, record_status
+from stratum.quoting import quoted
+from stratum.scratch import staged
 from stratum.sinks import tables
 from stratum.sources.listing import exists
-from stratum.spec import PipelineSpec
+from stratum.spec import PipelineSpec, SourceSpec, TargetSpec
 
 BATCH = "ingest_batch"
 
@@ -59,39 +63,60 @@ def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] = lamb
 def merge_batches(table: str, on, transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                   location: str | None = None, **merge_options) -> Callable[[DataFrame, int], None]:
     """Batch writer that merges by key; replaying a batch changes nothing. The first batch creates the
-    table if there is none, at ``location`` if given."""
+    table if there is none, at ``location`` if given, and is merged into it.
+
+    A row with a NULL key matches nothing, so a replay would insert it again: such a batch is refused.
+    """
+    keys = Match.on(on).source_keys
+    shape = TargetSpec(table, mode="merge", insert=merge_options.get("insert"), location=location)
+
     def write(batch: DataFrame, number: int) -> None:
-        rows = transform(batch)
-        if rows.sparkSession.catalog.tableExists(table):
-            tables.merge(rows, table, on, **merge_options)
-        else:
-            tables.create(rows, table, location=location)
+        rows = staged(transform(batch), "merge-batch")
+        if not rows.where(" OR ".join(f"{quoted(k)} IS NULL" for k in keys)).isEmpty():
+            raise ValueError(f"NULL in {', '.join(keys)}: an incremental merge into {table} needs complete keys")
+        prepare_merge(rows, shape)
+        tables.merge(rows, table, on, stage=False, **merge_options)
 
     return write
 
 
+def kept_schema(spark: SparkSession, source: SourceSpec, checkpoint: str) -> StructType:
+    """The schema of the files present at the first run, kept beside the checkpoint for all further runs."""
+    place = f"{checkpoint.rstrip('/')}_schema"
+    if not exists(spark, place):
+        found = spark.read.format(source.format).options(**source.options).load(source.path).schema
+        spark.createDataFrame([(found.json(),)], "schema string").coalesce(1).write.text(place)
+    return StructType.fromJson(json.loads(spark.read.text(place, wholetext=True).where("value <> ''").first()[0]))
+
+
 def run_incremental(spark: SparkSession, spec: PipelineSpec, info: RunInfo, checkpoint: str) -> None:
     """Run a bronze or silver spec over the files that are new since the last run.
 
     Append targets are folders of batches (``destination.location``), registered as a table; merge
     targets are tables. Silver rules are applied to each batch; a replayed batch loads its rows once but
-    may record its failures again. Without a schema in the spec, that of the files present is taken; give
-    one if it may change between runs.
+    may record its failures again. Without a schema in the spec, that of the files present at the first run
+    is kept beside the checkpoint. Settings an incremental run cannot honour are refused.
     """
     source, target = spec.source, spec.target
     if source.kind != "incremental":
         raise ValueError("an incremental run needs an incremental source")
+    unsupported = {"audit.load_history": spec.audit.load_history, "destination.corrupt_record": target.corrupt_record,
+                   "destination.enable_soft_deletes": target.soft_deletes}
+    refused = [name for name, value in unsupported.items() if value]
+    if refused:
+        raise ValueError(f"not possible in an incremental run: {', '.join(refused)}")
 
     def transform(batch: DataFrame) -> DataFrame:
         if spec.layer == "bronze":
             return bronze_frame(batch, spec, info)
         return checked_batch(silver_frame(batch, spec), spec, info)
 
-    schema = source.schema or spark.read.format(source.format).options(**source.options).load(source.path).schema
+    schema = source.schema or kept_schema(spark, source, checkpoint)
     stream = new_files(spark, source.path, source.format, schema, source.options)
     if target.mode == "merge":
         writer = merge_batches(target.table, target.on, transform, target.location, update=target.update,
-                               insert=target.insert, update_condition=target.update_condition)
+                               insert=target.insert, update_condition=target.update_condition,
+                               evolve=target.schema_evolution)
     elif target.mode == "append" and target.location:
         writer = append_batches(target.location, transform)
     else:

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from stratum import queries as registry
 from oracle import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,12 +14,12 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, FOLDER)
+    df = registry.QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [bad for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin") if bad in plan]
-    sql = entry_points.oracle_sql().get(name)
+    sql = registry.ORACLES.get(name)
     if sql is None:
         assert df.count() > 0
     else:
