@@ -128,3 +128,12 @@ def mask_missing_policies(spark, sf):
     applied = table(spark, sf, "orders").where("o_orderstatus <> 'F'").selectExpr(
         "'customer_' || o_custkey as table_name", "'name' as column", "'main.security.mask_text' as mask_name")
     return missing_masks(registered, applied, ["table_name", "column"])
+
+
+@query("SELECT c_custkey, c_name, CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer")
+def mask_typed(spark, sf):
+    """A column that is masked as NULL keeps its type."""
+    customers = table(spark, sf, "customer")
+    result = masked(customers, [{"column": c, "policy": "mask_null"} for c in ("c_nationkey", "c_acctbal")])
+    assert result.dtypes == customers.dtypes
+    return result

@@ -1,5 +1,7 @@
 """Whole layer runs, read back from their tables."""
 
+from pyspark.sql import functions as F
+
 from stratum.operators.aggregate import aggregated
 from stratum.operators.columns import RunInfo
 from stratum.plans.runs import run
@@ -87,10 +89,11 @@ def _silver_spec(source, name, base, **extra):
     })
 
 
-def _silver(spark, sf, **extra):
+def _silver(spark, sf, destination_mode="overwrite", empty_result="write", **extra):
     name, base = fresh_table("silver"), folder(spark, "silver")
     tables.create(table(spark, sf, "orders"), f"{name}_in", location=f"{base}/in")
-    run(spark, _silver_spec(f"{name}_in", name, base, **extra), RUN)
+    target = {"table": name, "mode": destination_mode, "location": f"{base}/table", "empty_result": empty_result}
+    run(spark, _silver_spec(f"{name}_in", name, base, destination=target, **extra), RUN)
     return name
 
 
@@ -191,3 +194,54 @@ def incremental_merge(spark, sf):
             "event_id", "ts", "user_id", "event_type", "value", "props").write.mode("append").parquet(f"{base}/in")
         run_incremental(spark, spec, RunInfo("corr-1", "job-1", run_id, "loader", RUN.started), f"{base}/checkpoint")
     return spark.table(name).select("event_id", "event_type", "value", "run_id")
+
+
+@query("""
+    SELECT 'rows' AS part, count(*) AS n FROM orders
+    UNION ALL SELECT 'exceptions', count(*) FROM orders WHERE o_totalprice < 20000 OR year(o_orderdate) < 1996
+""")
+def silver_append_fail_on_empty(spark, sf):
+    """An append that must not be empty still records every failing row."""
+    name = _silver(spark, sf, destination_mode="append", empty_result="fail")
+    count = F.count(F.lit(1)).alias("n")
+    return spark.table(name).select(F.lit("rows").alias("part")).groupBy("part").agg(count).unionByName(
+        spark.table(f"{name}_exceptions").select(F.lit("exceptions").alias("part")).groupBy("part").agg(count))
+
+
+@query("SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, o_totalprice * 2 + 1 AS next FROM orders WHERE o_totalprice * 2 > 50000")
+def gold_view_replaced_column(spark, sf):
+    """A derived column that replaces one of the source's, in a target published as a view."""
+    name, base = fresh_table("gold_view"), folder(spark, "gold_view")
+    tables.create(table(spark, sf, "orders"), f"{name}_in", location=f"{base}/in")
+    run(spark, PipelineSpec.of({
+        "pipeline_metadata": {"name": "orders_view", "layer": "gold"},
+        "source": {"type": "table", "properties": {"table": f"{name}_in"}},
+        "transform": {"with_columns": [{"name": "o_totalprice", "expr": "o_totalprice * 2"},
+                                       {"name": "next", "expr": "o_totalprice + 1"},
+                                       {"name": "lost", "expr": "no_such_column"}],
+                      "on_column_error": "skip", "filters": ["o_totalprice > 50000"]},
+        "target": {"table": name, "materialization": "view"},
+    }), RUN)
+    return spark.table(name).select("o_orderkey", "o_totalprice", "next")
+
+
+@query("""
+    SELECT 'good' AS part, CAST(event_id AS VARCHAR) AS value FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT 'corrupt', 'x' || event_id || ',' || event_type FROM events WHERE event_type = 'error'
+""")
+def bronze_corrupt_records(spark, sf):
+    """Malformed records of a split delivery with header lines, kept beside the table."""
+    name, base = fresh_table("corrupt"), folder(spark, "corrupt")
+    events = table(spark, sf, "events")
+    lines = events.selectExpr("if(event_type = 'error', concat('x', event_id), cast(event_id as string)) as event_id", "event_type")
+    write_parts(lines.where("event_type = 'error'"), f"{base}/in", "bad", "_1.csv", header=True)
+    write_parts(lines.where("event_type <> 'error'"), f"{base}/in", "good", "_2.csv", header=False)
+    run(spark, PipelineSpec.of({
+        "pipeline_metadata": {"name": "events_bronze", "layer": "bronze"},
+        "source": {"type": "file", "properties": {"source_path": f"{base}/in", "format": "csv", "extension": ".csv",
+                                                  "schema": "event_id bigint, event_type string"}},
+        "destination": {"table": name, "mode": "append", "location": f"{base}/table", "empty_result": "fail",
+                        "corrupt_record": f"{name}_corrupt"},
+    }), RUN, AS_OF)
+    return spark.table(name).selectExpr("'good' as part", "cast(event_id as string) as value").unionByName(
+        spark.table(f"{name}_corrupt").selectExpr("'corrupt' as part", "_corrupt_record as value"))

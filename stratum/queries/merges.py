@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from stratum.operators.upsert import ambiguous_matches, diff_applied, snapshot_applied, snapshot_diff, upserted
+from stratum.plans.runs import run
 from stratum.queries import query, table
 from stratum.queries.fixtures import RUN, folder, fresh_table
 from stratum.sinks import tables
+from stratum.spec import PipelineSpec
 
 COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 
@@ -131,3 +133,66 @@ def snapshot_difference(spark, sf):
 def snapshot_difference_replayed(spark, sf):
     before, after = _target(spark, sf), _source(spark, sf)
     return diff_applied(before, snapshot_diff(before, after, ["o_orderkey"]), ["o_orderkey"])
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderstatus IN ('F', 'P') THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders
+""")
+def merge_mixed_case(spark, sf):
+    """The source spells its columns in another case."""
+    name = fresh_table("merge_case")
+    tables.create(_target(spark, sf), name, location=folder(spark, name))
+    tables.merge(_source(spark, sf).toDF(*[c.upper() for c in COLUMNS]), name, ["o_orderkey"])
+    return spark.table(name)
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderstatus IN ('F', 'P') THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN o_orderstatus IN ('F', 'P') THEN 'seen ' || o_orderstatus END AS note
+    FROM orders
+""")
+def merge_new_column(spark, sf):
+    """A column only the source has becomes one of the table; rows it does not touch have NULL there."""
+    name = fresh_table("merge_column")
+    tables.create(_target(spark, sf), name, location=folder(spark, name))
+    tables.merge(_source(spark, sf).withColumn("note", F.concat(F.lit("seen "), "o_orderstatus")), name, ["o_orderkey"])
+    return spark.table(name)
+
+
+def _merged_by_spec(spark, frames, **destination):
+    name = fresh_table("merge_spec")
+    for number, frame in enumerate(frames):
+        tables.create(frame, f"{name}_in{number}", location=folder(spark, f"{name}_in{number}"))
+        run(spark, PipelineSpec.of({
+            "pipeline_metadata": {"name": "orders_silver", "layer": "silver"},
+            "source": {"type": "table", "properties": {"table": f"{name}_in{number}"}},
+            "destination": {"table": name, "mode": "merge", "primary_keys": ["o_orderkey"], "location": folder(spark, name),
+                            **destination}}), RUN)
+    return spark.table(name)
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           o_totalprice + 1 + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS o_totalprice
+    FROM orders
+""")
+def merge_first_load(spark, sf):
+    """The first load is inserted by the spec's expressions, as later rows are. A repeated load updates nothing."""
+    insert = {c: f"src.{c}" for c in COLUMNS[:3]} | {"o_totalprice": "src.o_totalprice + 1"}
+    return _merged_by_spec(spark, [_target(spark, sf), _source(spark, sf)], insert=insert, update={})
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderstatus IN ('F', 'P') THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           o_orderstatus NOT IN ('F', 'P') AS is_deleted,
+           CASE WHEN o_orderstatus NOT IN ('F', 'P') THEN '2024-05-01 06:00:00' END AS deleted_at
+    FROM orders
+""")
+def soft_delete_table(spark, sf):
+    """Two snapshots by spec; the first one already has the columns of a soft delete."""
+    result = _merged_by_spec(spark, [_target(spark, sf), _source(spark, sf)], enable_soft_deletes=True)
+    return result.withColumn("deleted_at", F.col("deleted_at").cast("string"))

@@ -218,3 +218,20 @@ def table_scan(spark, sf):
     name = fresh_table("supplier")
     tables.create(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), name, location=folder(spark, name))
     return scan_table(spark, name)
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus, o_totalprice,
+           CASE WHEN o_orderstatus = 'F' THEN 'first' ELSE 'other' END AS file_name
+    FROM orders
+""")
+def csv_split_options(spark, sf):
+    """Reader options reach every part of a split delivery: F stands for NULL, fields are separated by bars."""
+    path = folder(spark, "csv_options")
+    orders = _orders(spark, sf).select([F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS])
+    for kind, part, number in (("first", "o_orderstatus = 'F'", 1), ("other", "o_orderstatus <> 'F'", 2)):
+        rows = orders.where(part).select(F.concat_ws("|", *ORDER_COLUMNS).alias("|".join(ORDER_COLUMNS)))
+        write_parts(rows.select(F.col(rows.columns[0]).alias("value")), path, kind, f"_{number}.csv", header=False, fmt="text")
+    types = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
+    read, _ = scan_folder(spark, path, "csv", {"sep": "|", "nullValue": "F"}, ".csv", header_mode="no_header", schema=types)
+    return read.withColumn("file_name", F.regexp_extract("file_name", "^([a-z]+)", 1))

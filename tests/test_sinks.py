@@ -1,6 +1,7 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.sinks import tables
 
@@ -167,3 +168,33 @@ def test_failed_switch_leaves_the_table(spark, name, monkeypatch):
     with pytest.raises(RuntimeError):
         tables.overwrite(frame(spark, [(5, "z")]), name)
     assert values(spark.table(name)) == [(1, "a")]
+
+
+def test_merge_over_many_combinations_of_two_partition_columns(spark, tmp_path):
+    """More combinations than any list in a condition could hold, among them NULL ones; others keep their files."""
+    rows = spark.range(900).selectExpr("id", "cast(id % 30 as int) as a", "if(id % 7 = 0, null, cast(id div 30 as int)) as b",
+                                       "'old' as v")
+    name = "many_partitions"
+    tables.create(rows, name, ["a", "b"], f"{tmp_path}/{name}")
+    source = rows.where("a < 29").withColumn("v", F.lit("new"))
+    tables.merge(source, name, "tgt.id = src.id AND tgt.a = src.a AND tgt.b = src.b")
+    found = spark.table(name).groupBy("v").count().collect()
+    nulls = rows.where("a < 29 and b is null").count()
+    assert {r["v"]: r["count"] for r in found} == {"new": rows.where("a < 29").count(),
+                                                   "old": 30 + nulls}
+
+
+def test_native_merge_is_one_statement():
+    text = tables.merge_text(["id", "V"], ["id", "v", "x"], "db.t", "s", "TGT.id = src.id AND tgt.v <> 'tgt.x'",
+                             update={"V": "tgt.V + src.v"}, update_condition="src.x > 0")
+    assert text == ("MERGE INTO db.t AS tgt USING `s` AS src ON TGT.id = src.id AND tgt.v <> 'tgt.x' "
+                    "WHEN MATCHED AND (src.x > 0) THEN UPDATE SET tgt.`V` = tgt.V + src.v "
+                    "WHEN NOT MATCHED THEN INSERT (`id`, `V`) VALUES (src.`id`, src.`v`)")
+
+
+def test_merge_refuses_new_columns_without_evolution(spark, tmp_path):
+    name = "merge_refused"
+    tables.create(spark.createDataFrame([(1, "a")], "k int, v string"), name, location=f"{tmp_path}/{name}")
+    source = spark.createDataFrame([(1, "b", 2)], "k int, v string, w int")
+    with pytest.raises(ValueError, match="columns not in"):
+        tables.merge(source, name, ["k"], evolve=False)

@@ -97,3 +97,15 @@ def test_own_policies():
 def test_flags():
     assert [flag(v) for v in (True, "Yes", "1", 1, "on")] == [True] * 5
     assert [flag(v) for v in (False, "no", "0", 0, "", None)] == [False] * 6 and flag(None, True)
+
+
+@pytest.mark.parametrize("part, setting", [
+    ("source", {"typo": 1}), ("transform", {"filter": ["x"]}), ("transform", {"standardize": {"trim": True}}),
+    ("transform", {"on_column_error": "ignore"}), ("transform", {"hash_mode": "fast"}), ("destination", {"keys": ["k"]}),
+])
+def test_settings_without_effect_are_refused(part, setting):
+    config = {"pipeline_metadata": {"layer": "silver"}, "source": {"type": "table", "table": "t"},
+              "transform": {}, "destination": {"table": "u"}}
+    PipelineSpec.of(config)
+    with pytest.raises(ValueError):
+        PipelineSpec.of({**config, part: {**config[part], **setting}})
