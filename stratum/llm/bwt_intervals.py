@@ -6,24 +6,36 @@ import numpy as np
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes ordered by at least their first ``depth`` symbols (0..511), by doubling."""
+    """Suffixes ordered by at least their first ``depth`` symbols (0..511), by doubling.
+
+    Suffixes that already differ from all others keep their place and are not sorted again.
+    """
     size = len(symbols)
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(6, dtype=np.int64)])
-    rank = np.zeros(size, dtype=np.int64)
+    keys = np.zeros(size, dtype=np.int64)
     for i in range(6):
-        rank = (rank << 9) | padded[i:i + size]
+        keys = (keys << 9) | padded[i:i + size]
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.append(True, ordered[1:] != ordered[:-1])
+    rank = np.empty(size + 1, dtype=np.int64)  # place of the first suffix that is not told apart
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(size), 0))
+    rank[size] = -1
     known = 6
-    order = np.argsort(rank, kind="stable")
     while known < depth:
-        ordered = rank[order]
-        rank = np.empty(size, dtype=np.int64)
-        rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
-        if rank[order[-1]] == size - 1:
+        alone = first & np.append(first[1:], True)
+        places = np.flatnonzero(~alone)
+        if not len(places):
             break
-        after = np.zeros(size, dtype=np.int64)
-        after[:size - known] = rank[known:] + 1
-        rank = rank * (size + 1) + after
-        order = np.argsort(rank, kind="stable")
+        open_ = order[places]
+        own = rank[open_]
+        keys = own * (size + 2) + rank[np.minimum(open_ + known, size)] + 1
+        sorting = np.argsort(keys)
+        order[places] = open_ = open_[sorting]
+        keys = keys[sorting]
+        starts = np.append(True, keys[1:] != keys[:-1])
+        first[places] = starts
+        rank[open_] = places[np.maximum.accumulate(np.where(starts, np.arange(len(places)), 0))]
         known *= 2
     return order
 
@@ -50,19 +62,29 @@ def repeated(strings: list[bytes], length: int) -> list[np.ndarray]:
     grown = (transform[upper] == transform[lower]) & (transform[lower] != 0)
     unknown = np.flatnonzero(grown) + 1
     upper, lower = upper[grown], lower[grown]
-    frontier = np.setdiff1d(np.arange(size), unknown, assume_unique=True)
+    known = np.ones(size, dtype=bool)
+    known[unknown] = False
+    frontier = np.flatnonzero(known)
+    # Between neighbouring rows there is one boundary, which alone decides: it leads straight to the one it extends to.
+    near = lower == upper + 1
+    leads = np.zeros(size, dtype=np.int64)
+    leads[lower[near]] = unknown[near]
+    far, upper, lower = unknown[~near], upper[~near], lower[~near]
+    flags = np.zeros(size, dtype=np.int32)
     for _ in range(length - 1):
-        if not len(unknown) or not len(frontier):
+        if not len(frontier):
             break
-        if len(unknown) * 16 < size:
-            met = np.searchsorted(frontier, lower, side="right") > np.searchsorted(frontier, upper, side="right")
-        else:
-            flags = np.zeros(size, dtype=np.int32)
+        after = leads[frontier]
+        if len(far):
             flags[frontier] = 1
             passed = np.cumsum(flags, dtype=np.int32)
+            flags[frontier] = 0
             met = passed[lower] > passed[upper]
-        frontier = unknown[met]
-        unknown, upper, lower = unknown[~met], upper[~met], lower[~met]
+            after = np.concatenate([after, far[met]])
+            far, upper, lower = far[~met], upper[~met], lower[~met]
+        frontier = after[~known[after]]
+        known[frontier] = True
+    unknown = np.flatnonzero(~known)
     found = np.zeros(size, dtype=bool)
     found[order[unknown]] = True
     found[order[unknown - 1]] = True
