@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.llm import (
     cotraining,
     line_frequency,
+    oracles,
     pareto_mix,
     patience_scan,
     positional_index,
@@ -21,7 +22,11 @@ from stratum.llm import (
 from stratum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_frequency": oracles.LINE_FREQUENCY,
+    "op5_tensored_minhash": oracles.NEAR_DUPLICATES,
+    "op7_positional_index": oracles.CONTAMINATION,
+}
 
 
 def query(function):
