@@ -27,7 +27,7 @@ from stratum.operators.reconcile import loaded_per_file, reconciled
 from stratum.operators.upsert import repeated_keys, snapshot_applied, with_deletion_columns
 from stratum.plans.frames import bronze_frame, extracted, gold_frame, gold_select, silver_frame
 from stratum.quoting import quoted, ref
-from stratum.scratch import staged
+from stratum.scratch import released, staged
 from stratum.sinks import tables
 from stratum.sources.files import CORRUPT, corrupt_records, good_records
 from stratum.sources.listing import FileRef, files_frame
@@ -51,7 +51,8 @@ def run(spark: SparkSession, spec: PipelineSpec, info: RunInfo, as_of: dt.date |
     runner: Callable = {"bronze": _run_bronze, "silver": _run_silver, "gold": _run_gold}[spec.layer]
     started = dt.datetime.now(dt.timezone.utc) if info.started is None else info.started
     try:
-        result = runner(spark, spec, info, started, as_of or started.date())
+        with released(spark):
+            result = runner(spark, spec, info, started, as_of or started.date())
     except Exception as problem:
         log.exception("%s failed", spec.name)
         record_status(spark, spec, info, started, RunResult("failed"), str(problem))

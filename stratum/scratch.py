@@ -7,9 +7,14 @@ a staged table outlives the executor that wrote it. Where it is unset, the folde
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared scratch folder."""
@@ -24,4 +29,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    known = _written.get()
+    if known is not None:
+        known.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end. No frame that reads it may be used after that."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

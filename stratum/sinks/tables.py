@@ -8,6 +8,7 @@ again. One writer per table is assumed.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 import uuid
@@ -27,7 +28,7 @@ from stratum.operators.upsert import (
     upserted,
 )
 from stratum.quoting import quoted, ref
-from stratum.scratch import staged
+from stratum.scratch import remove, staged
 
 TRANSACTIONAL = ("delta", "iceberg", "hudi")
 _VERSION = re.compile(r"__v[0-9a-f]{32}$")
@@ -309,6 +310,28 @@ def _balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[ref(p) for p in partitions]) if partitions else df
 
 
+def drop_old_versions(spark: SparkSession, table: str, older_than: dt.timedelta = dt.timedelta(days=7)) -> list[str]:
+    """Remove the folders that overwrites of ``table`` left behind, if nothing was written there for so long.
+
+    The age has to exceed the longest run that may still read an earlier version.
+    """
+    current = table_info(spark, table).location.rstrip("/")
+    if not _VERSION.search(current):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(current)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    limit = (dt.datetime.now(dt.timezone.utc) - older_than).timestamp() * 1000
+    base = _VERSION.sub("", path.getName())
+    gone = []
+    for status in files.listStatus(path.getParent()):
+        name = status.getPath().getName()
+        version = _VERSION.search(name) and _VERSION.sub("", name) == base and name != path.getName()
+        if version and status.getModificationTime() < limit:
+            remove(spark, status.getPath().toString())
+            gone.append(name)
+    return gone
+
+
 def _new_version(location: str) -> str:
     return _VERSION.sub("", location.rstrip("/")) + f"__v{uuid.uuid4().hex}"
 

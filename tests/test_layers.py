@@ -305,3 +305,13 @@ def test_date_folders_as_of_the_start_of_the_run(spark, tmp_path, name):
              "discover": {"type": "date_hierarchy", "last_n_days": 2}}
     run(spark, bronze("", name, source={"type": "file", "properties": props}), INFO)
     assert values(spark.table(name).select("day")) == [("2024/04/30",), ("2024/05/01",)]
+
+
+def test_a_run_removes_what_it_staged(spark, name):
+    import os
+    tables.create(spark.createDataFrame([(1, "5"), (2, "0")], "k int, v string"), f"{name}_in")
+    base = spark.conf.get("spark.checkpoint.dir") + "/stratum"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    run(spark, silver(f"{name}_in", name, destination={"table": name, "mode": "merge", "primary_keys": ["k"]}), INFO)
+    assert spark.table(name).count() == 2 and spark.table(f"{name}_e").count() == 1
+    assert set(os.listdir(base)) == before

@@ -198,3 +198,15 @@ def test_merge_refuses_new_columns_without_evolution(spark, tmp_path):
     source = spark.createDataFrame([(1, "b", 2)], "k int, v string, w int")
     with pytest.raises(ValueError, match="columns not in"):
         tables.merge(source, name, ["k"], evolve=False)
+
+
+def test_old_versions_go(spark, tmp_path):
+    import datetime as dt
+    name = "versions"
+    for number in range(4):
+        tables.overwrite(spark.createDataFrame([(number,)], "k int"), name, location=f"{tmp_path}/{name}")
+    folders = lambda: [p.name for p in tmp_path.iterdir() if p.is_dir()]
+    assert len(folders()) == 4
+    assert tables.drop_old_versions(spark, name) == [] and len(folders()) == 4
+    assert len(tables.drop_old_versions(spark, name, dt.timedelta(0))) == 3 and len(folders()) == 1
+    assert [tuple(r) for r in spark.table(name).collect()] == [(3,)]
