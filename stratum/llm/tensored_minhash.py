@@ -56,9 +56,14 @@ def word_hash(word: str) -> int:
     return found
 
 
+def lowered(text: str) -> str:
+    """``text`` with A-Z in lower case, and nothing else changed."""
+    return text.lower() if text.isascii() else UPPER.sub(lambda m: m[0].lower(), text)
+
+
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
-    words = WORD.findall(UPPER.sub(lambda m: m[0].lower(), text)) if text else []
+    words = WORD.findall(lowered(text)) if text else []
     if not words:
         return np.empty(0, dtype=np.uint64)
     hashes = np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
@@ -120,20 +125,28 @@ def buckets(representatives: DataFrame) -> DataFrame:
 
 
 _sets: OrderedDict[str, np.ndarray] = OrderedDict()
+#: Hashes that a worker keeps of the sets it met last.
+MOST_KEPT = 2_000_000
+_kept = 0
 
 
 def cached_shingles(text: str) -> np.ndarray:
-    if text in _sets:
+    global _kept
+    found = _sets.get(text)
+    if found is not None:
         _sets.move_to_end(text)
-        return _sets[text]
-    found = _sets[text] = shingles(text)
-    while len(_sets) > 16:
-        _sets.popitem(last=False)
+        return found
+    found = shingles(text)
+    if len(found) < MOST_KEPT // 8:
+        _sets[text] = found
+        _kept += len(found)
+        while _kept > MOST_KEPT:
+            _kept -= len(_sets.popitem(last=False)[1])
     return found
 
 
 def confirmed(a: int, b: int, text_a: str, text_b: str) -> Iterable[tuple]:
-    x, y = cached_shingles(text_a), shingles(text_b)
+    x, y = cached_shingles(text_a), cached_shingles(text_b)
     same = len(np.intersect1d(x, y, assume_unique=True))
     if 100 * same >= THRESHOLD_PERCENT * (len(x) + len(y) - same):
         yield a, b
