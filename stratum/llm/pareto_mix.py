@@ -11,7 +11,7 @@ the table without row numbers. Random numbers are hashes of seed, id and text: r
 Defined results: a NULL text has size 0; documents of size 0 take 0 words. A NULL source is a source of its own and
 comes last. Rows alike in id and text are taken alike. If all sizes are 0, all targets are 0. An empty table gives an
 empty result. A weight that is NULL or not positive counts as 0: the document is never taken. Extra columns are kept by
-``mixed``; one that is named as a result column is an error.
+``mixed``; one that has the name of a result column gives way to it.
 """
 
 from __future__ import annotations
@@ -179,9 +179,11 @@ def cuts(narrow: DataFrame, sources: DataFrame, plan: Plan) -> DataFrame:
 
 def mixed(docs: DataFrame, source: str = "source", weight: str | None = None, plan: Plan = Plan()) -> DataFrame:
     """``docs`` with size, source_size, target and taken (words taken of the document, copies counted)."""
-    every = described(docs, source, weight, plan)
-    narrow = staged(every.select("__source", "__size", "__weight", "__u"), "sizes")
-    return decided(every, narrow, weight is not None, plan).select(*(f"`{c}`" for c in docs.columns), *RESULT)
+    narrow = ["__source", "__size", "__weight", "__u"]
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")  # apart from the names used here
+    every = described(docs, source, weight, plan).select(own, *narrow)
+    found = decided(every, staged(every.select(*narrow), "sizes"), weight is not None, plan)
+    return found.select(*(F.col("__row").getField(c).alias(c) for c in docs.columns if c not in RESULT), *RESULT)
 
 
 RESULT = ("size", "source_size", "target", "taken")

@@ -204,6 +204,14 @@ def test_mix(docs, texts):
     assert sorted(map(tuple, pareto_mix.report(docs.repartition(3)).collect())) == sorted(map(tuple, rows))
 
 
+def test_mix_keeps_columns(docs):
+    clashing = docs.withColumnsRenamed({"row_id": "target", "units": "rank", "line": "factor"})
+    found = pareto_mix.mixed(clashing)
+    assert set(found.columns) == set(clashing.columns) | {"source_size", "taken"}
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, pareto_mix.report(docs).collect()))
+
+
 def test_mix_limits_copies_and_weighs_documents(spark):
     rows = [(i, "w " * 10, "big", 1.0) for i in range(300)] + [(1000 + i, "w " * 10, "small", 1.0 + i % 2) for i in range(10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double")
