@@ -1,7 +1,7 @@
 """Line dedup by an edit join on segments.
 
 Lines within ``max_edits`` edits of each other are linked; of the lines that are linked directly or through others,
-the first one stays (by document id, digest of the text and place) and the others go. A line is split into one segment
+the first one stays (by document id, hash of the text and place) and the others go. A line is split into one segment
 more than there may be edits, so two linked lines have a whole segment in common. Each line is entered in an index
 under its length and each of its segments, and probes the indexes of its own and of the next smaller lengths with those
 substrings that a segment can equal if the edits before and after it are to suffice. Candidates are verified by an
@@ -21,9 +21,11 @@ import dataclasses
 import hashlib
 import os
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.bucket_links import connected
@@ -40,6 +42,10 @@ class Settings:
     most_broadcast: int = 1_000_000
 
 
+#: Letters counted in a line's profile, which keeps lines apart that share a segment by chance.
+LETTERS = " etanis"
+
+
 def encoded(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
@@ -109,13 +115,31 @@ def lines_of(text: str | None, least: int) -> Iterable[tuple[int, str]]:
             yield i, line
 
 
+def profile(line: str) -> int:
+    """The line's length and its counts of some letters, a byte each (of larger numbers the last byte)."""
+    packed = len(line) & 255
+    for i, letter in enumerate(LETTERS, 1):
+        packed |= (line.count(letter) & 255) << (8 * i)
+    return packed - (1 << 64) if packed >> 63 else packed
+
+
+def alike(edits: int):
+    """Whether two profiles can be of linked lines: an edit changes each number by one at most."""
+    def condition(n: Column, m: Column) -> Column:
+        apart = [(F.shiftright(n, 8 * i) - F.shiftright(m, 8 * i) + edits).bitwiseAND(255) for i in range(8)]
+        return reduce(and_, (x <= 2 * edits for x in apart))
+    return condition
+
+
 def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple:
-    found = [{"at": i, "line": hash64(encoded(line)), "n": len(line), "keys": keys(line, settings.max_edits)}
-             for i, line in lines_of(text, settings.min_chars)]
-    return doc_id, hashlib.md5(encoded(text or "")).hexdigest(), found
+    found = [{"at": i, "line": hash64(encoded(line)), "n": len(line), "profile": profile(line),
+              "keys": keys(line, settings.max_edits)} for i, line in lines_of(text, settings.min_chars)]
+    data = encoded(text or "")
+    return doc_id, hashlib.md5(data).hexdigest(), hash64(data), found
 
 
-LINES = "doc_id long, digest string, lines array<struct<at: int, line: long, n: int, keys: array<long>>>"
+LINES = ("doc_id long, digest string, tie long, "
+         "lines array<struct<at: int, line: long, n: int, profile: long, keys: array<long>>>")
 
 
 def line_texts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
@@ -144,14 +168,17 @@ def judged(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Rows (row_id, doc_id, digest, n_lines), and of those that lose lines row_id, removed, n_near, n_chars."""
     rows = numbered(mapped_rows(docs.selectExpr("cast(doc_id as long) doc_id", "text"), LINES,
                                 lambda *row: (described(*row, settings),)), "lines")
-    every = rows.select("row_id", "doc_id", "digest", F.inline("lines"))
-    keyed = every.select("line", "n", F.explode("keys").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low != high")
-    buckets = staged(keyed.join(shared.select("bucket"), "bucket", "left_semi").select(
-        "bucket", F.col("line").alias("member"), "n").distinct(), "line-buckets")
+    every = rows.select("row_id", "doc_id", "tie", F.inline("lines"))
+    keyed = every.select(F.col("line").alias("member"), F.explode("keys").alias("bucket"))
+    shared = keyed.groupBy("bucket").agg(F.min("member").alias("low"), F.max("member").alias("high")).filter("low != high")
+    met = staged(keyed.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "line-buckets")
+    profiles = every.select("line", "profile").join(
+        met.select(F.col("member").alias("line")).distinct(), "line", "left_semi").distinct()
+    buckets = staged(met.join(profiles, F.col("member") == F.col("line")).select(
+        "bucket", "member", F.col("profile").alias("n")), "profiled-buckets")
     edits = settings.max_edits
-    labels = connected(buckets, line_texts(docs, buckets, settings), lambda n, m: F.abs(n - m) <= edits, confirmer(edits))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "at")
+    labels = connected(buckets, line_texts(docs, buckets, settings), alike(edits), confirmer(edits))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "at")
     distinct = every.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     classed = staged(distinct.join(labels.withColumnRenamed("member", "line"), "line", "left").select(
         "line", "copies", F.coalesce("label", "line").alias("label"), F.col("first").alias("own")), "classes")
