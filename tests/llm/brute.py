@@ -122,10 +122,13 @@ def removed_lines(docs, edits=2, least=24):
         digest = hashlib.md5((text or "").encode()).hexdigest()
         places += [((i, digest, at), line) for at, line in enumerate((text or "").split("\n")) if len(line) >= least]
     lines = sorted({line for _, line in places})
-    groups = Groups(lines)
+    groups, bags = Groups(lines), {line: Counter(line) for line in lines}
     for n, a in enumerate(lines):
         for b in lines[n + 1:]:
-            if abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits:
+            # An edit changes the letters' counts by two at most.
+            if abs(len(a) - len(b)) > edits or (bags[a] - bags[b]).total() + (bags[b] - bags[a]).total() > 2 * edits:
+                continue
+            if edit_distance(a, b) <= edits:
                 groups.tie(a, b)
     first = {}
     for place, line in places:
