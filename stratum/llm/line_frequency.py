@@ -1,7 +1,7 @@
 """Quality rules by cross-document line frequency.
 
 Lines are normalised and hashed; for each host the distinct documents holding a line are counted. Lines above
-the host's limit are boilerplate and are removed; a document that loses most of its words is rejected, and so
+the host's limit are boilerplate, whatever their length, and are removed; a document that loses most of its words is rejected, and so
 is one that fails the base rules (too few words, too much internal repetition).
 
 Defined results: a NULL text counts as an empty one (no words, fails the base rules). A NULL host is a host of
@@ -37,8 +37,6 @@ class Limits:
     #: a line is removed if more of the host's distinct documents hold it than both of these say
     min_documents: int = 20
     host_percent: int = 5
-    #: longer lines are passages; near-duplicate operators judge those
-    max_line_words: int = 40
     #: a document is depleted if more of its words were removed
     depleted_percent: int = 70
 
@@ -68,7 +66,7 @@ def repeated_words(words: list[str], size: int = WINDOW) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-def described(doc_id: int | None, host: str | None, text: str | None, max_line_words: int) -> tuple:
+def described(doc_id: int | None, host: str | None, text: str | None) -> tuple:
     text = text or ""
     words = WORD.findall(text)
     lines: dict[int, int] = {}
@@ -80,9 +78,8 @@ def described(doc_id: int | None, host: str | None, text: str | None, max_line_w
             continue
         repeats += line in seen
         seen.add(line)
-        if count <= max_line_words:
-            key = hash64(normalised(line).encode("utf-8", "surrogatepass"))
-            lines[key] = lines.get(key, 0) + count
+        key = hash64(normalised(line).encode("utf-8", "surrogatepass"))
+        lines[key] = lines.get(key, 0) + count
     digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     return (doc_id, host, digest, len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), repeats,
             repeated_words(words), [{"line": k, "words": n} for k, n in lines.items()])
@@ -92,10 +89,9 @@ FEATURES = ("doc_id long, host string, digest binary, n_words long, word_chars l
             "n_repeat_words long, lines array<struct<line: long, words: long>>")
 
 
-def features(docs: DataFrame, host: str, limits: Limits) -> DataFrame:
-    most = limits.max_line_words
+def features(docs: DataFrame, host: str) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).alias("host"), "text")
-    return numbered(mapped_rows(narrow, FEATURES, lambda *row: (described(*row, most),)), "line-features")
+    return numbered(mapped_rows(narrow, FEATURES, lambda *row: (described(*row),)), "line-features")
 
 
 def frequent_lines(described_docs: DataFrame, limits: Limits) -> DataFrame:
@@ -116,7 +112,7 @@ def frequent_lines(described_docs: DataFrame, limits: Limits) -> DataFrame:
 
 def judged(docs: DataFrame, host: str, limits: Limits) -> DataFrame:
     """A row for each document: its figures, its lines to remove, and whether it is kept."""
-    found = features(docs, host, limits)
+    found = features(docs, host)
     frequent = staged(frequent_lines(found, limits), "frequent-lines").select(
         F.col("host").alias("of_host"), F.col("line").alias("of_line"))
     removed = (

@@ -73,6 +73,19 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert 0 not in left and left[1] == (rows[1][1].split("\n")[1],) and left[100] == (rows[60][1],)
 
 
+def test_frequent_lines_of_any_length_go(spark):
+    rng = random.Random(5)
+    for length in (40, 41, 400):
+        notice = sentence(rng, length)
+        rows = [(i, f"{notice}\n{sentence(rng, 3 * length)}" if i < 30 else sentence(rng, 30), "h") for i in range(60)]
+        rows.append((100, notice, "h"))
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = as_map(line_frequency.verdicts(docs), "n_removed_words", "kept")
+        assert got[0] == (length, True) and got[50] == (0, True) and got[100] == (length, False)
+        left = as_map(line_frequency.filtered(docs), "text")
+        assert 100 not in left and left[0] == (rows[0][1].split("\n")[1],)
+
+
 def test_near_duplicates(docs, texts):
     got = as_map(tensored_minhash.report(docs), "n_shingles", "component_id", "kept")
     assert got == {i: (n, c, i == c) for i, (n, c) in brute.near_duplicates(texts).items()}
