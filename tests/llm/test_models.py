@@ -106,6 +106,45 @@ def test_licenses_are_found(spark):
     assert patience_scan.report(docs.limit(0)).count() == 0
 
 
+def test_adjacent_licenses_are_all_found():
+    rng = random.Random(8)
+    prose = " ".join(rng.choice("the of this and license under work general any".split()) for _ in range(400))
+    known = patience_scan.templates(TEMPLATES)
+    for name, text in TEMPLATES.items():
+        for copies in (2, 3, 7, 40):
+            for before, between in (("", "\n"), (f"{prose}\n", "\n"), ("", "\n\nthird party\n"), (f"{prose}\n", " foo bar baz\n")):
+                whole = f"{before}{between.join([text] * copies)}\n{before}"
+                got = patience_scan.matches(whole, known)
+                assert [m[0] for m in got] == [name] * copies, (name, copies, before[:9], between)
+                starts = [len(before) + n * (len(text) + len(between)) for n in range(copies)]
+                assert [m[1] for m in got] == starts and all(m[3] == 1 for m in got)
+
+
+def test_changed_adjacent_licenses_are_found():
+    rng = random.Random(9)
+    known = patience_scan.templates(TEMPLATES)
+    for name in ("MIT", "BSD-2-Clause", "Apache-2.0", "GPL-3.0"):
+        for _ in range(20):
+            copies = []
+            for _ in range(5):
+                words = TEMPLATES[name].split()
+                for at in rng.sample(range(1, len(words) - 1), len(words) // 10):
+                    words[at] = "other"
+                copies.append(" ".join(words))
+            assert [m[0] for m in patience_scan.matches("\n".join(copies), known)] == [name] * 5
+
+
+def test_every_copy_of_enough_coverage_has_a_key():
+    for template in patience_scan.templates(TEMPLATES):
+        kept = sum(w not in template.keys for w in template.words)
+        assert kept / len(template.words) < patience_scan.LEAST_COVERAGE
+    # None of the three rarest words is left in this copy.
+    mit = next(t for t in patience_scan.templates(TEMPLATES) if t.name == "MIT")
+    rarest = list(mit.keys)[:3]
+    copy = " ".join("other" if w in rarest else w for w in mit.words)
+    assert [m[0] for m in patience_scan.matches(copy, [mit])] == ["MIT"]
+
+
 def test_classifier_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
