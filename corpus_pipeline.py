@@ -24,8 +24,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return tensored_minhash.deduplicated(docs)
+    """One document of each group of near-duplicates: 80% of the five-word shingles in common."""
+    return tensored_minhash.deduplicated(docs, tensored_minhash.Settings(shingle=5, threshold_percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Near-duplicates by MinHash with tensored banding.
 
-A document is the set of its distinct three-word shingles. ``COLLECTIONS`` collections of ``ROWS`` minhashes are
-computed; every pair of collections is a table, and its key combines the two collections' values. Documents that agree
-in two collections meet in a table, so 24 minhashes serve 66 tables of four rows each. Two sets at the threshold 0.85
-agree in at least two of 12 collections but for a chance of 7e-6. A table is split into bands of set sizes, each set
-being in two of them, as sets of very different size cannot be alike enough.
+A document is the set of its distinct shingles, of three words if ``Settings`` say nothing else. Collections of ``ROWS``
+minhashes are computed; every pair of collections is a table, and its key combines the two collections' values.
+Documents that agree in two collections meet in a table, so 24 minhashes serve 66 tables of four rows each. There are
+so many collections that two sets at the threshold agree in at least two but for a chance of 7e-6: 12 at 0.85, 15 at
+0.8. A table is split into bands of set sizes, each set being in two of them, as sets of very different size cannot be
+alike enough.
 
 Documents with equal sets are one class from then on. Tables in which the same classes meet are one bucket. A bucket's
 candidates are confirmed on the full sets, as bucket_links tells: no link between components is lost, and pairs inside
@@ -17,6 +18,8 @@ table gives no rows. Only doc_id and text are read by ``report``; ``deduplicated
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 import hashlib
 import math
 import re
@@ -33,14 +36,35 @@ from stratum.scratch import staged
 
 SHINGLE = 3
 THRESHOLD_PERCENT = 85
-COLLECTIONS, ROWS = 12, 2
+ROWS = 2
+#: Chance that two sets at the threshold meet in no table.
+MISSED = 7e-6
 UPPER = re.compile("[A-Z]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_seeds = np.random.RandomState(20).randint(1, 2**63 - 1, size=(2, COLLECTIONS * ROWS, 1), dtype=np.int64).astype(np.uint64)
-SALTS, FACTORS = _seeds[0], _seeds[1] | np.uint64(1)
 _words: dict[str, int] = {}
 
 
+@dataclasses.dataclass(frozen=True)
+class Settings:
+    """Words of a shingle, and from which similarity two sets are linked."""
+
+    shingle: int = SHINGLE
+    threshold_percent: int = THRESHOLD_PERCENT
+
+    @functools.cached_property
+    def collections(self) -> int:
+        agree, count = (self.threshold_percent / 100) ** ROWS, 2
+        while (1 - agree) ** count + count * agree * (1 - agree) ** (count - 1) > MISSED:
+            count += 1
+        return count
+
+
+@functools.cache
+def salts_and_factors(collections: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = np.random.RandomState(20).randint(1, 2**63 - 1, size=(2, collections * ROWS, 1), dtype=np.int64).astype(np.uint64)
+    return seeds[0], seeds[1] | np.uint64(1)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _MIX
     values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -74,25 +98,27 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(total)
 
 
-def collections_of(values: np.ndarray) -> list[int]:
-    least = np.full(COLLECTIONS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+def collections_of(values: np.ndarray, collections: int) -> list[int]:
+    salts, factors = salts_and_factors(collections)
+    least = np.full(collections * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(values), 4096):  # long texts a piece at a time
-        part = (values[None, start:start + 4096] ^ SALTS) * FACTORS
+        part = (values[None, start:start + 4096] ^ salts) * factors
         part ^= part >> np.uint64(31)
-        least = np.minimum(least, (part * FACTORS).min(axis=1))
-    rows = least.reshape(COLLECTIONS, ROWS)
-    value = np.arange(1, COLLECTIONS + 1, dtype=np.uint64)
+        least = np.minimum(least, (part * factors).min(axis=1))
+    rows = least.reshape(collections, ROWS)
+    value = np.arange(1, collections + 1, dtype=np.uint64)
     for i in range(ROWS):
         value = mixed(value + rows[:, i])
     return value.astype(np.int64).tolist()
 
 
-def described(doc_id: int | None, text: str | None) -> tuple:
-    values = shingles(text)
+def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple:
+    values = shingles(text, settings.shingle)
     key = hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest()
     if not len(values):
         return doc_id, key, 0, None, []
-    return doc_id, key, len(values), hashlib.blake2b(values.tobytes(), digest_size=16).digest(), collections_of(values)
+    digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+    return doc_id, key, len(values), digest, collections_of(values, settings.collections)
 
 
 SIGNATURE = "doc_id long, text_key string, n_shingles long, set_key binary, collections array<long>"
@@ -104,7 +130,7 @@ def classes(signatures: DataFrame) -> DataFrame:
         F.min("row_id").alias("class_id"), F.min("doc_id").alias("class_doc")), "classes")
 
 
-def buckets(representatives: DataFrame) -> DataFrame:
+def buckets(representatives: DataFrame, settings: Settings) -> DataFrame:
     """(bucket, class_id, n): classes that meet in a table; tables with equal classes are one bucket."""
     values = staged(representatives.select("class_id", "n", F.posexplode("collections").alias("i", "value")), "values")
     shared = values.groupBy("value").agg(F.count("*").alias("met")).filter("met > 1").select("value")
@@ -114,7 +140,7 @@ def buckets(representatives: DataFrame) -> DataFrame:
     pairs = F.expr("filter(flatten(transform(v, x -> transform(v, y -> if(x.i < y.i, xxhash64(x.i, y.i, x.value, y.value), "
                    "null)))), k -> k is not null)")
     # Sizes of sets to be linked differ by one band at most.
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / THRESHOLD_PERCENT)))
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / settings.threshold_percent)))
     keys = usable.select("class_id", "n", F.explode(pairs).alias("key"))
     keys = staged(keys.withColumn("band", F.explode(F.array(band, band + 1))).select(
         "class_id", "n", F.xxhash64("key", "band").alias("bucket")), "table-keys")
@@ -124,32 +150,35 @@ def buckets(representatives: DataFrame) -> DataFrame:
     return staged(keys.join(chosen.select("bucket"), "bucket", "left_semi"), "buckets")
 
 
-_sets: OrderedDict[str, np.ndarray] = OrderedDict()
+_sets: OrderedDict[tuple[int, str], np.ndarray] = OrderedDict()
 #: Hashes that a worker keeps of the sets it met last.
 MOST_KEPT = 2_000_000
 _kept = 0
 
 
-def cached_shingles(text: str) -> np.ndarray:
+def cached_shingles(text: str, size: int) -> np.ndarray:
     global _kept
-    found = _sets.get(text)
+    key = size, text
+    found = _sets.get(key)
     if found is not None:
-        _sets.move_to_end(text)
+        _sets.move_to_end(key)
         return found
-    found = shingles(text)
+    found = shingles(text, size)
     if len(found) < MOST_KEPT // 8:
-        _sets[text] = found
+        _sets[key] = found
         _kept += len(found)
         while _kept > MOST_KEPT:
             _kept -= len(_sets.popitem(last=False)[1])
     return found
 
 
-def confirmed(a: int, b: int, text_a: str, text_b: str) -> Iterable[tuple]:
-    x, y = cached_shingles(text_a), cached_shingles(text_b)
-    same = len(np.intersect1d(x, y, assume_unique=True))
-    if 100 * same >= THRESHOLD_PERCENT * (len(x) + len(y) - same):
-        yield a, b
+def confirmer(settings: Settings):
+    def confirmed(a: int, b: int, text_a: str, text_b: str) -> Iterable[tuple]:
+        x, y = cached_shingles(text_a, settings.shingle), cached_shingles(text_b, settings.shingle)
+        same = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * same >= settings.threshold_percent * (len(x) + len(y) - same):
+            yield a, b
+    return confirmed
 
 
 def candidate_texts(docs: DataFrame, representatives: DataFrame, met: DataFrame) -> DataFrame:
@@ -162,22 +191,24 @@ def candidate_texts(docs: DataFrame, representatives: DataFrame, met: DataFrame)
     return staged(found.select("class_id", F.col("full_text").alias("text")).dropDuplicates(["class_id"]), "class-texts")
 
 
-def near(n: Column, m: Column) -> Column:
+def near(threshold_percent: int):
     """The smaller set is the largest intersection possible, the larger one the smallest union."""
-    return THRESHOLD_PERCENT * F.greatest(n, m) <= 100 * F.least(n, m)
+    def condition(n: Column, m: Column) -> Column:
+        return threshold_percent * F.greatest(n, m) <= 100 * F.least(n, m)
+    return condition
 
 
-def marked(docs: DataFrame) -> DataFrame:
+def marked(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The signatures of all rows with component_id."""
     signatures = numbered(mapped_rows(docs.selectExpr("cast(doc_id as long) doc_id", "text"), SIGNATURE,
-                                      lambda *row: (described(*row),)), "signatures")
+                                      lambda *row: (described(*row, settings),)), "signatures")
     distinct = classes(signatures)
     representatives = signatures.withColumnsRenamed({"row_id": "class_id", "n_shingles": "n"}).join(
         distinct.select("class_id"), "class_id", "left_semi")
-    met = buckets(representatives).withColumnRenamed("class_id", "member")
+    met = buckets(representatives, settings).withColumnRenamed("class_id", "member")
     texts = candidate_texts(docs, representatives, met.select(F.col("member").alias("class_id")))
-    labels = connected(met, texts.withColumnRenamed("class_id", "member"), near, confirmed).withColumnRenamed(
-        "member", "class_id")
+    labels = connected(met, texts.withColumnRenamed("class_id", "member"), near(settings.threshold_percent),
+                       confirmer(settings)).withColumnRenamed("member", "class_id")
     named = distinct.join(labels, "class_id")
     smallest = named.groupBy("label").agg(F.min("class_doc").alias("component"))
     named = named.select("class_id", "label").join(smallest, "label").select("class_id", "component")
@@ -194,9 +225,9 @@ def report(docs: DataFrame) -> DataFrame:
                                F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that stand for their component, in its columns."""
-    gone = marked(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    gone = marked(docs, settings).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
     gone = staged(gone, "duplicates")
     alike = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (

@@ -41,5 +41,13 @@ def test_stages(spark, tmp_path):
     assert all(abs(taken[s] - target[s]) <= 1 for s in target)
 
 
+def test_near_copies_with_an_added_block_go(spark):
+    words = [f"w{i}" for i in range(244)]
+    rows = [(1, " ".join(words[:200])), (2, " ".join(words)), (3, " ".join(f"{w}x" for w in words)),
+            (4, " ".join([*(f"{w}x" for w in words[:120]), *words[120:180], *(f"{w}x" for w in words[180:])]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()) == [1, 3, 4]
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
