@@ -8,9 +8,9 @@ tokens fewer the text had there. A transition is annotated with the tokens it em
 far, less the count before (it can be negative where a longer piece replaces shorter ones).
 
 Two characters that stand together in no piece never share a token. There the transducer starts anew, so most chunks
-of a text map every entry state to one exit state. Texts are cut into chunks that step in parallel; the maps of
-chunks compose by a scan: each is evaluated at the entry state that its predecessor's exit gives, first at a guess
-and again only where the guess was wrong. States and transitions are made when first met, and dropped together when
+of a text map every entry state to one exit state. Texts are cut into chunks that step in parallel. No maps are
+built or composed: speculation with repair takes the place of a prefix scan. Each chunk is run from a guessed entry
+state, and again where its predecessor's exit differs; without fresh starts that can go on chunk after chunk. States and transitions are made when first met, and dropped together when
 there are too many, so memory is bounded.
 
 Defined results: a NULL text counts as an empty one (no bytes, no tokens). Any length of text is counted whole, with
