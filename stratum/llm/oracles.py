@@ -84,3 +84,71 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
        coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN items ON items.r = d.r
 """
+
+CONVERSATION_TRIE = f"""
+WITH own AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}}
+                         ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (
+    SELECT conv_id, turns, xor(list_reduce(
+        list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda h, c: list_reduce(range(8), lambda x, i: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)), xor(h, c)),
+        CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 4 AS h
+    FROM own),
+paths AS (
+    SELECT a.conv_id, list_concat(coalesce(list_slice(b.turns, 1, a.h), []), list_slice(a.turns, a.h + 1, len(a.turns))) AS p
+    FROM hashed AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 20),
+nodes AS (
+    SELECT k, len(k) AS depth, min(conv_id) AS conv_id, count(*) AS n,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends,
+           CASE WHEN len(k) > 0 THEN len(regexp_extract_all(k[len(k)].x, {WORDS})) ELSE 0 END AS words
+    FROM (SELECT conv_id, list_slice(p, 1, d) AS k, d = len(p) AS whole
+          FROM (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM paths) AS x) AS y GROUP BY k),
+children AS (SELECT list_slice(k, 1, depth - 1) AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+figures AS (
+    SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.k = nodes.k),
+subtrees AS (
+    SELECT list_slice(k, 1, d) AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM figures) AS x GROUP BY 1)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(f.n AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM figures AS f JOIN subtrees AS s ON s.k = f.k
+LEFT JOIN nodes AS up ON f.depth > 0 AND up.k = list_slice(f.k, 1, f.depth - 1)
+"""
+
+
+def centroid_clusters(rounds: int = 5, clusters: int = 40, size: int = 64) -> str:
+    """Every round is a pair of tables: the nearest centroid of each vector, and the floors of the means."""
+    steps = [f"""
+v AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), x) - 1 AS k, x
+    FROM v ORDER BY k LIMIT {clusters})"""]
+    nearest = """
+a{i} AS MATERIALIZED (
+    SELECT r, min(CAST(d AS BIGINT)) AS d, arg_min(k, (d, k)) AS k FROM (
+        SELECT v.r, c.k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM v CROSS JOIN c{i} AS c) AS y GROUP BY r)"""
+    means = """
+c{j} AS MATERIALIZED (
+    SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} AS c LEFT JOIN (
+        SELECT k, list(CAST(divide(s - ((s % n) + n) % n, n) AS BIGINT) ORDER BY place) AS x FROM (
+            SELECT k, place, CAST(sum(e) AS BIGINT) AS s, count(*) AS n FROM (
+                SELECT a.k, unnest(v.x) AS e, generate_subscripts(v.x, 1) AS place FROM v JOIN a{i} AS a ON a.r = v.r) AS y
+            GROUP BY k, place) AS z GROUP BY k) AS m ON m.k = c.k)"""
+    for i in range(rounds):
+        steps += [nearest.format(i=i), means.format(i=i, j=i + 1)]
+    steps.append(nearest.format(i=rounds))
+    return f"""
+WITH {','.join(steps)}
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN v ON v.r = a.r JOIN c{rounds} AS c ON c.k = a.k
+"""

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import (
+    centroid_clusters,
+    conversation_trie,
     cotraining,
     line_frequency,
     oracles,
@@ -26,6 +28,8 @@ ORACLES: dict[str, str] = {
     "op3_line_frequency": oracles.LINE_FREQUENCY,
     "op5_tensored_minhash": oracles.NEAR_DUPLICATES,
     "op7_positional_index": oracles.CONTAMINATION,
+    "op12_paren_trie": oracles.CONVERSATION_TRIE,
+    "op13_centroid_clusters": oracles.centroid_clusters(),
 }
 
 
@@ -88,3 +92,13 @@ def op2_patience_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.scored(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op12_paren_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, folder, "conversations"))
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.report(read(spark, folder, "embeddings"))
