@@ -63,7 +63,7 @@ def starting(rows: DataFrame, settings: Settings) -> Centroids:
         found = rows.filter(F.col("start") < cut).orderBy(*order).limit(settings.clusters).collect()
         if len(found) == settings.clusters:
             return [list(r.x) for r in found]
-        wanted *= settings.margin
+        wanted *= max(2, settings.margin)
     return [list(r.x) for r in rows.orderBy(*order).limit(settings.clusters).collect()]
 
 

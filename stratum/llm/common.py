@@ -31,8 +31,8 @@ def hash64(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def schema(ddl: str) -> T.StructType:
-    return T.DataType.fromDDL(ddl)
+def schema(ddl: str | T.StructType) -> T.StructType:
+    return ddl if isinstance(ddl, T.StructType) else T.DataType.fromDDL(ddl)
 
 
 def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[list[list]]:
@@ -49,7 +49,7 @@ def arrow_mapped(df: DataFrame, work: Callable, result: T.StructType) -> DataFra
     return df.mapInArrow(work, result)
 
 
-def mapped_slices(df: DataFrame, ddl: str, function: Callable[[list[list]], Iterable[tuple]]) -> DataFrame:
+def mapped_slices(df: DataFrame, ddl: str | T.StructType, function: Callable[[list[list]], Iterable[tuple]]) -> DataFrame:
     """``function`` gets the columns of a few hundred rows as lists and gives result rows."""
     spark_schema = schema(ddl)
     arrow_schema = to_arrow_schema(spark_schema)

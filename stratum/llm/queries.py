@@ -14,6 +14,8 @@ from stratum.llm import (
     oracles,
     pareto_mix,
     patience_scan,
+    pii_examples,
+    pii_spans,
     positional_index,
     repeated_spans,
     secret_scan,
@@ -94,6 +96,11 @@ def op10_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.scored(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+@query
+def op11_shape_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_spans.report(read(spark, folder, "documents"), pii_spans.fitted(pii_examples.examples(spark)))
+
+
 @query
 def op12_paren_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(read(spark, folder, "conversations"))
