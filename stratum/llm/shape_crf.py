@@ -294,4 +294,4 @@ class Decoder:
                         while end > start + 1 and chunk[end - 1] in TRAILING:
                             end -= 1
                         found[i].append((self.tagger.labels[label], offset + start, offset + end))
-        return found
+        return [sorted(spans, key=lambda s: s[1]) for spans in found]
