@@ -235,3 +235,35 @@ def csv_split_options(spark, sf):
     types = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
     read, _ = scan_folder(spark, path, "csv", {"sep": "|", "nullValue": "F"}, ".csv", header_mode="no_header", schema=types)
     return read.withColumn("file_name", F.regexp_extract("file_name", "^([a-z]+)", 1))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def csv_auto_many_files(spark, sf):
+    """Forty files, the header in every second one: which equal the first row of part_1.csv is found by a scan of first lines."""
+    path = folder(spark, "csv_many")
+    orders = table(spark, sf, "orders").select(*ORDER_COLUMNS, "o_orderpriority")
+    write_parts(orders.where("o_orderstatus = 'F'").repartition(20), path, "part_", ".csv", header=True)
+    write_parts(orders.where("o_orderstatus <> 'F'").repartition(20), path, "rest", "_n.csv", header=False)
+    return converted(scan_folder(spark, path, "csv", {}, ".csv")[0].drop("file_name"), ORDER_TYPES)
+
+
+@query("""
+    SELECT CASE WHEN o_orderstatus = 'O' THEN 'corrupt' ELSE 'good' END AS kind,
+           CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END AS o_orderkey,
+           CASE WHEN o_orderstatus = 'O' THEN 'x' || o_orderkey || ',' || o_custkey END AS record,
+           CASE WHEN o_orderstatus = 'F' THEN 'head' ELSE 'bare' END AS file_name
+    FROM orders
+""")
+def csv_split_corrupt(spark, sf):
+    """Malformed records of a split delivery, its headers told from data."""
+    path = folder(spark, "csv_corrupt")
+    line = F.expr("concat_ws(',', if(o_orderstatus = 'O', concat('x', o_orderkey), cast(o_orderkey as string)), o_custkey)")
+    orders = _orders(spark, sf).select("o_orderstatus", line.alias("value"))
+    heads = _orders(spark, sf).where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    write_parts(heads, path, "head", "_1.csv", header=True)
+    write_parts(orders.where("o_orderstatus <> 'F'").select("value"), path, "bare", "_2.csv", header=False, fmt="text")
+    df, _ = scan_folder(spark, path, "csv", {}, ".csv", schema="o_orderkey bigint, o_custkey bigint", keep_corrupt=True)
+    kind = F.regexp_extract("file_name", "^([a-z]+)", 1).alias("file_name")
+    good = good_records(df).select(F.lit("good").alias("kind"), "o_orderkey", F.lit(None).cast("string").alias("record"), kind)
+    return good.unionByName(corrupt_records(df).select(
+        F.lit("corrupt").alias("kind"), F.lit(None).cast("bigint").alias("o_orderkey"), F.col("_corrupt_record").alias("record"), kind))

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections import Counter
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratum.operators.names import illegal_names
-from stratum.sources.listing import FileRef
+from stratum.operators.names import ILLEGAL, illegal_names
+from stratum.sources.listing import FileRef, loaded
 
 # The header modes, and below the name pattern of the first file.
 HEADER_MODES = ("auto", "no_header", "all_header", "one_header")
-_PEEK_THREADS = 16
-_PEEK_BYTES = 4 * 1024
 
 
 def is_split(files: Sequence[FileRef]) -> bool:
@@ -73,23 +70,32 @@ def scan_splits(spark: SparkSession, files: Sequence[FileRef], options: Mapping[
 
 def classified(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object],
                extension: str = "") -> tuple[list[FileRef], list[FileRef]]:
-    """Split files into (with header, without) by their first lines.
+    """Split files into (with header, without) by their first rows.
 
     With a ``*_1`` file, its first row is the reference: if it is no legal header, no file has one;
     else the files whose first row equals it have one. Without a ``*_1`` file, a legal first row
-    counts as a header.
+    counts as a header. Rows are compared on the executors; only the paths of files with a header come back.
     """
+    files = list(files)
     first = numbered_first(files, extension)
-    heads = dict(zip((f.path for f in files), first_rows(spark, files, options)))
     if first:
-        reference = heads[first[0].path]
+        reference = first_rows(spark, first[:1], options)[0]
         if reference is None or illegal_names(reference):
-            return [], list(files)
-        named = set(first)
-        with_header = [f for f in files if f in named or heads[f.path] == reference]
+            return [], files
+        others = _others(files, first)
+        same = F.col("row") == F.lit(reference)
+        known = {*first, *_with(same, spark, others, options)}
     else:
-        with_header = [f for f in files if heads[f.path] is not None and not illegal_names(heads[f.path])]
-    return with_header, _others(files, with_header)
+        known = set(_with(~F.exists("row", lambda name: name.rlike(ILLEGAL.pattern)), spark, files, options))
+    return [f for f in files if f in known], [f for f in files if f not in known]
+
+
+def _with(condition: Column, spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object]) -> list[FileRef]:
+    """The files for whose first row the condition holds."""
+    if not files:
+        return []
+    found = {_plain(r.path) for r in head_rows(spark, files, options).where(condition).select("path").collect()}
+    return [f for f in files if f.path in found]
 
 
 def _others(files: Sequence[FileRef], chosen: Sequence[FileRef]) -> list[FileRef]:
@@ -97,50 +103,68 @@ def _others(files: Sequence[FileRef], chosen: Sequence[FileRef]) -> list[FileRef
     return [f for f in files if f not in taken]
 
 
-def first_rows(spark: SparkSession, files: Sequence[FileRef],
-               options: Mapping[str, object]) -> list[list[str] | None]:
-    """Column values of each file's first line; None for an empty file. A file that cannot be read is an error.
+def head_rows(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object]) -> DataFrame:
+    """(path, row): the values of each file's first row with text, by Spark's own text scan.
 
-    This costs one small read per file, whatever the file sizes.
+    Each file, or block of a large one, is a task of its own, and a task stops after the row: it reads one buffer,
+    whatever the file's size. Files without text have no row. With the option ``multiLine`` a quoted value goes on
+    over line ends. Paths are as the scan's metadata have them.
     """
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    jvm = spark.sparkContext._jvm
-    delimiter = str(options.get("delimiter", options.get("sep", ",")))
-    encoding = str(options.get("encoding", "UTF-8"))
-    quote = str(options.get("quote", '"')) or None
-
-    def peek(file: FileRef) -> list[str] | None:
-        path = jvm.org.apache.hadoop.fs.Path(file.path)
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-            head = _first_bytes(stream if codec is None else codec.createInputStream(stream))
-        finally:
-            stream.close()
-        lines = re.split(r"\r\n|\r|\n", head.decode(encoding, errors="replace").lstrip("\ufeff"))
-        line = next((text for text in lines if text.strip()), None)
+    chosen = {k.lower(): str(v) for k, v in options.items() if v is not None}
+    delimiter = chosen.get("delimiter", chosen.get("sep", ","))
+    encoding, quote = chosen.get("encoding", chosen.get("charset", "UTF-8")), chosen.get("quote", '"')
+    many_lines = chosen.get("multiline", "false").lower() == "true"
+
+    def first_of_file(batches):
+        import csv
+        import itertools
+
+        import pyarrow
+
+        rows = ((v, p, s) for batch in batches for v, p, s in zip(*(batch.column(i).to_pylist() for i in range(3))))
+        head = next(rows, None)
+        if head is None or head[2] > 0:  # a later block of the file
+            return
+        wide = 2 if "16" in encoding else 4 if "32" in encoding else 1
+        texts = (v[:len(v) - len(v) % wide].decode(encoding, errors="replace") for v, _, _ in itertools.chain([head], rows))
+        lines = itertools.dropwhile(lambda text: not text.strip("\ufeff\x00 \t\r\n"), texts)
+        line = next(lines, None)
         if line is None:
-            return None
+            return
+        line = line.lstrip("\ufeff").rstrip("\r")
         if len(delimiter) != 1:
-            return line.split(delimiter)
-        if quote is None:
-            return next(csv.reader([line], delimiter=delimiter, quoting=csv.QUOTE_NONE))
-        return next(csv.reader([line], delimiter=delimiter, quotechar=quote))
-
-    with ThreadPoolExecutor(_PEEK_THREADS) as pool:
-        return list(pool.map(peek, files))
+            values = line.split(delimiter)
+        else:
+            quoting = {"quotechar": quote} if len(quote) == 1 else {"quoting": csv.QUOTE_NONE}
+            more = lines if many_lines else ()
+            values = next(csv.reader((text + "\n" * many_lines for text in itertools.chain([line], more)), delimiter=delimiter, **quoting))
+        yield pyarrow.RecordBatch.from_arrays(
+            [pyarrow.array([head[1]]), pyarrow.array([values], type=pyarrow.list_(pyarrow.string()))], names=["path", "row"])
+
+    own = spark.newSession()  # settings of this scan only: one file a task, few rows a batch
+    for name, value in (("spark.sql.files.openCostInBytes", "128m"), ("spark.sql.files.maxPartitionBytes", "128m"),
+                        ("spark.sql.files.minPartitionNum", "1"), ("spark.sql.execution.arrow.maxRecordsPerBatch", "4")):
+        own.conf.set(name, value)
+    reader = own.read.format("text")
+    if "linesep" in chosen:
+        reader = reader.option("lineSep", chosen["linesep"])
+    lines = loaded(reader, [f.path for f in files]).select(
+        F.col("value").cast("binary"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    return lines.mapInArrow(first_of_file, "path string, row array<string>")
+
+
+def _plain(path: str) -> str:
+    """A path of the scan's metadata, in which some characters are escaped, as a listing has it."""
+    return unquote(path)
 
 
-def _first_bytes(stream) -> bytes:
-    """Bytes up to the end of the first line with text in it, or a little more."""
-    parts, text = [], False
-    while True:
-        more = bytes(stream.readNBytes(_PEEK_BYTES))
-        parts.append(more)
-        # Line ends before the first text are no end of the first line.
-        if len(more) < _PEEK_BYTES or b"\n" in (more if text else more.lstrip()):
-            return b"".join(parts)
-        text = text or bool(more.strip())
+def first_rows(spark: SparkSession, files: Sequence[FileRef],
+               options: Mapping[str, object]) -> list[list[str] | None]:
+    """Column values of each file's first row; None for a file without text. A file that cannot be read is an error."""
+    if not files:
+        return []
+    found = {_plain(r.path): list(r.row) for r in head_rows(spark, files, options).collect()}
+    return [found.get(f.path) for f in files]
 
 
 def _read(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object], header: bool,
@@ -150,7 +174,7 @@ def _read(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, o
     if schema is not None:
         chosen = {k: v for k, v in chosen.items() if k.lower() != "inferschema"}
     reader = spark.read.options(**chosen).option("header", header)
-    return (reader if schema is None else reader.schema(schema)).csv([f.path for f in files])
+    return loaded((reader if schema is None else reader.schema(schema)).format("csv"), [f.path for f in files])
 
 
 def _with_file_name(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from stratum.operators.names import with_clean_names
 from stratum.quoting import ref, refs
 from stratum.sources.csv_splits import is_split, scan_splits
 from stratum.sources.fixed_width import Field, scan_fixed_width
-from stratum.sources.listing import FileRef, discovered
+from stratum.sources.listing import FileRef, discovered, loaded
 
 # Fixed value: formats Spark reads by itself here. Table formats need their package on the class path.
 FORMATS = ("csv", "parquet", "json", "orc", "text", "xml", "binaryFile", "delta", "fixed_width")
@@ -28,7 +28,7 @@ def scan_files(spark: SparkSession, files: Sequence[FileRef], file_format: str,
     reader = spark.read.format(file_format).options(**_reader_options(options))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load([f.path for f in files])
+    df = loaded(reader, [f.path for f in files])
     if not with_file_name or "file_name" in df.columns:
         return df
     return df.select("*", F.col("_metadata.file_name").alias("file_name"))
@@ -96,7 +96,7 @@ def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_form
     on the columns a query happens to use.
     """
     reader = spark.read.format(file_format).options(**_corrupt_options(file_format, options))
-    df = reader.schema(corrupt_schema(spark, schema)).load(paths)
+    df = loaded(reader.schema(corrupt_schema(spark, schema)), [paths] if isinstance(paths, str) else paths)
     return _with_corrupt_text(df.select("*", F.col("_metadata.file_name").alias("file_name")))
 
 

@@ -117,6 +117,49 @@ def test_first_rows_of_compressed_and_odd_files(spark, tmp_path):
     assert first_rows(spark, files_in(spark, base), {}) == [["id", "v"], ["id", "v"], None, ["id", "v"]]
 
 
+def test_first_rows_with_line_breaks_encodings_and_odd_paths(spark, tmp_path):
+    os.makedirs(tmp_path / "s p%20+é#")
+    base = tmp_path / "s p%20+é#"
+    (base / "a b%,é.csv").write_text('"id\nno","v""w"\n1,2\n', encoding="utf-8")
+    (base / "b.csv").write_text("x" * 100_000 + ",y\n1,2\n" * 50_000, encoding="utf-8")
+    files = files_in(spark, str(base))
+    assert first_rows(spark, files, {"multiLine": True}) == [["id\nno", 'v"w'], ["x" * 100_000, "y"]]
+    assert scan_folder(spark, str(base), "csv", {"multiLine": True}, header_mode="all_header")[0].count() > 0
+    (tmp_path / "u").mkdir()
+    for name, encoding in (("l.csv", "utf-16-le"), ("b.csv", "utf-16-be"), ("w.csv", "utf-16")):
+        (tmp_path / "u" / name).write_bytes("é,v\n1,2\n".encode(encoding))
+        assert first_rows(spark, [f for f in files_in(spark, str(tmp_path / "u")) if f.name == name], {"encoding": encoding}) == [["é", "v"]]
+
+
+def test_gateway_calls_do_not_grow_with_the_files(spark, tmp_path):
+    from py4j.clientserver import JavaClient
+
+    counts = []
+    for n in (5, 80):
+        base = write(tmp_path / f"n{n}", **{f"x_{i}__csv": f"id,v\n{i},a\n" for i in range(1, n + 1)})
+        calls, send = [0], JavaClient.send_command
+
+        def counted(self, command, *args, **options):
+            calls[0] += not command.startswith("m\n")  # releases of objects come at any time
+            return send(self, command, *args, **options)
+
+        JavaClient.send_command = counted
+        try:
+            df, files = scan_folder(spark, base, "csv", {}, ".csv")
+        finally:
+            JavaClient.send_command = send
+        counts.append(calls[0])
+        assert len(files) == n and df.count() == n
+    assert counts[1] <= counts[0] + 10
+
+
+def test_split_parts_keep_corrupt_records(spark, tmp_path):
+    base = write(tmp_path / "c", x_1__csv="id,v\n1,a\n", x_2__csv="id,v\n2,b\nz,b\n", x_3__csv="3,c\n4,d,more\n")
+    df, _ = scan_folder(spark, base, "csv", {}, ".csv", schema="id int, v string", keep_corrupt=True)
+    assert rows(good_records(df)) == [(1, "a", "x_1.csv"), (2, "b", "x_2.csv"), (3, "c", "x_3.csv")]
+    assert rows(corrupt_records(df)) == [("x_2.csv", "z,b"), ("x_3.csv", "4,d,more")]
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.booleans(), st.integers(0, 4)), min_size=1, max_size=4), st.sampled_from(["auto", "mixed"]))
 def test_split_modes_keep_every_row(spark, tmp_path_factory, parts, _):
