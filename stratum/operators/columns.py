@@ -46,10 +46,12 @@ class LineageNames:
     updated_by: str = "load_update_user_id"
     created_at: str = "load_create_dtm"
     updated_at: str = "load_update_dtm"
+    #: column for the source file's full path; without one files of one name count together
+    path: str = ""
 
     def all(self) -> tuple[str, ...]:
-        return (self.file, self.correlation, self.job, self.run, self.created_by, self.updated_by,
-                self.created_at, self.updated_at)
+        return tuple(filter(None, (self.file, self.correlation, self.job, self.run, self.created_by, self.updated_by,
+                                   self.created_at, self.updated_at, self.path)))
 
 
 @dataclass(frozen=True)

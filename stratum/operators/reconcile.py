@@ -22,22 +22,23 @@ def loaded_per_file(target: DataFrame, run_id: str | None, run_column: str = "ru
 def reconciled(totals: DataFrame, succeeded: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Compare rows read with rows loaded per file.
 
-    ``totals`` has (file_name, records_total), ``succeeded`` (file_name, records_succeeded) and
-    ``files`` (file_name, path). A file with no loaded rows counts zero; status is Success only if
-    both counts agree.
+    ``totals`` has (file_name, records_total), ``succeeded`` (file_name, records_succeeded) and ``files`` the
+    discovered files as (file_name, path). ``file_name`` may hold names or, to tell files of one name apart, paths.
+    A file with no loaded rows counts zero, and so does a discovered one that no row was read from; status is
+    Success only if both counts agree.
     """
     joined = totals.join(succeeded, "file_name", "left")
     source_name = ref("file_name")
     if files is not None:
         paths = files.groupBy("file_name").agg(F.min("path").alias("path"))
-        joined = joined.join(paths, "file_name", "left")
+        joined = joined.join(paths, "file_name", "full_outer")
         source_name = F.coalesce(ref("path"), source_name)
-    loaded = F.coalesce(ref("records_succeeded"), F.lit(0).cast("bigint"))
+    total, loaded = (F.coalesce(ref(c), F.lit(0).cast("bigint")) for c in ("records_total", "records_succeeded"))
     return joined.select(
         source_name.alias("source_name"),
-        "records_total",
+        total.alias("records_total"),
         loaded.alias("records_succeeded"),
-        F.when(ref("records_total") == loaded, "Success").otherwise("Failed").alias("load_status"),
+        F.when(total == loaded, "Success").otherwise("Failed").alias("load_status"),
     )
 
 

@@ -43,7 +43,7 @@ def extracted(spark: SparkSession, spec: PipelineSpec,
     if source.kind == "file":
         return scan_folder(spark, source.path, source.format, source.options, source.extension,
                            source.last_n_days, as_of, source.split_enabled, source.header_mode, source.layout,
-                           source.compat_names, source.schema, bool(spec.target.corrupt_record))
+                           source.compat_names, source.schema, bool(spec.target.corrupt_record), spec.lineage.path)
     raise ValueError(f"source type {source.kind} is read by the streaming module")
 
 
@@ -55,7 +55,7 @@ def bronze_frame(df: DataFrame, spec: PipelineSpec, run: RunInfo) -> DataFrame:
     """
     transform = spec.transform
     names = spec.lineage
-    hashed = [c for c in df.columns if transform.hash_all_columns or c != names.file]
+    hashed = [c for c in df.columns if transform.hash_all_columns or c not in (names.file, names.path)]
     df = with_row_hash(df, hashed, transform.hash_mode, ROW_HASH)
     df = with_expressions(df, transform.with_columns, transform.on_column_error)
     df = with_lineage(df, run, names=names)

@@ -94,7 +94,8 @@ def _run_bronze(spark, spec, info, started, as_of) -> RunResult:
 
 def _file_history(spark, spec, info, started, frame: DataFrame, files: list[FileRef], rows: int) -> DataFrame:
     names = spec.lineage
-    loaded = loaded_per_file(spark.table(spec.target.table), info.run_id, names.run, names.file).persist()
+    key = names.path or names.file
+    loaded = loaded_per_file(spark.table(spec.target.table), info.run_id, names.run, key).persist()
     try:
         found = loaded.agg(F.coalesce(F.sum("records_succeeded"), F.lit(0))).first()[0]
         if found == rows and spec.target.mode != "merge":
@@ -102,8 +103,10 @@ def _file_history(spark, spec, info, started, frame: DataFrame, files: list[File
             # merge, rows left alone and rows of a reused run id could cancel out, and the frame is staged.
             totals = loaded.withColumnRenamed("records_succeeded", "records_total")
         else:
-            totals = rows_per_file(frame, names.file, "records_total")
+            totals = rows_per_file(frame, key, "records_total")
         known = files_frame(spark, files) if files else None
+        if known is not None and names.path:
+            known = known.withColumn("file_name", ref("path"))
         result = reconciled(totals, loaded, known)
         # One row per file: written out before the small cached counts are released.
         return staged(result.select("source_name", *_history_columns(

@@ -57,6 +57,37 @@ def bronze_load_history(spark, sf):
         "file_kind", "operation_type", "load_status", "records_total", "records_succeeded")
 
 
+@query("""
+    SELECT CASE WHEN event_type = 'error' THEN '09/part0.csv' ELSE '10/part0.csv' END AS file, count(*) AS records_total,
+           count(*) AS records_succeeded, 'Success' AS load_status
+    FROM events GROUP BY 1
+    UNION ALL SELECT '10/void0.csv', 0, 0, 'Success'
+""")
+def bronze_history_by_path(spark, sf):
+    """Files of one name in two day folders, and one without a row, in a raw table partitioned by load."""
+    name, base = fresh_table("bronze"), folder(spark, "bronze")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    for day, rows in (("09", events.where("event_type = 'error'")), ("10", events.where("event_type <> 'error'"))):
+        write_parts(rows.coalesce(1), f"{base}/in/2024/05/{day}", "part", ".csv", header=True)
+    write_parts(events.limit(0), f"{base}/in/2024/05/10", "void", ".csv", header=True)
+    spec = PipelineSpec.of({
+        "pipeline_metadata": {"name": "events_by_path", "layer": "bronze"},
+        "source": {"type": "file", "properties": {
+            "source_path": f"{base}/in", "format": "csv", "extension": ".csv", "options": {"header": True},
+            "discover": {"type": "date_hierarchy", "last_n_days": 2}, "multi_split": {"enabled": False}}},
+        "transform": {},
+        "lineage": {"path": "source_path"},
+        "destination": {"table": name, "mode": "append", "location": f"{base}/table", "partition_by": ["run_id"]},
+        "audit": {"load_history": f"{name}_history", "location": base},
+    })
+    for run_id in ("run-0", "run-1"):
+        run(spark, spec, RunInfo("corr-1", "job-1", run_id, "loader", RUN.started), AS_OF)
+    history = spark.table(f"{name}_history")
+    assert history.count() == 6
+    return history.selectExpr("regexp_extract(source_name, '([0-9]+/[a-z]+[0-9]+.csv)$', 1) as file", "records_total",
+                              "records_succeeded", "load_status").distinct()
+
+
 @query("""
     SELECT 'run-1' AS run_id, 'events_bronze' AS pipeline, 'bronze' AS layer, 'success' AS status, count(*) AS rows,
            '2024-05-01 06:00:00' AS start_dtm, CAST(NULL AS VARCHAR) AS error

@@ -213,6 +213,41 @@ def fixed_width_cp037(spark, sf):
     return df.select("c_name", "c_custkey", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_nationkey")
 
 
+WIDE = [Field("share", 0, 9, "zoned", scale=9), Field("fine", 9, 20, "zoned", scale=18), Field("wide", 29, 16, "packed"),
+        Field("small", 45, 4, "packed", scale=12), Field("number", 49, 4, "binary", scale=11)]
+
+
+@query("""
+    SELECT c_name, '0.' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS share,
+           (CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END) || '12.' || lpad(CAST(c_custkey AS VARCHAR), 18, '0') AS fine,
+           CAST(CAST(c_custkey AS HUGEINT) * CAST('1000000000000000000001' AS HUGEINT) AS VARCHAR) AS wide,
+           '0.00000' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS small,
+           '0.0' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS number
+    FROM customer
+""")
+def fixed_width_decimals(spark, sf):
+    """Numbers with 0 to 18 decimals and of up to 31 digits keep every digit."""
+    path = folder(spark, "decimals")
+    key = F.col("c_custkey").cast("string")
+
+    def zoned(digits, minus=F.lit(False)):
+        zones = F.regexp_replace(F.expr("left(d, length(d) - 1)"), "([0-9])", "F$1")
+        return F.unhex(F.concat(zones, F.when(minus, "D").otherwise("C"), F.expr("right(d, 1)"))), digits
+
+    rows = table(spark, sf, "customer").select("c_name", "c_custkey", "c_acctbal")
+    for name, digits, minus in (("share", F.lpad(key, 9, "0"), F.lit(False)),
+                                ("fine", F.concat(F.lit("12"), F.lpad(key, 18, "0")), F.col("c_acctbal") < 0)):
+        coded, text = zoned(digits, minus)
+        rows = rows.withColumn("d", text).withColumn(name, coded)
+    wide = F.unhex(F.concat(F.lpad(F.concat(key, F.lpad(key, 21, "0")), 31, "0"), F.lit("C")))
+    small, number = F.unhex(F.concat(F.lpad(key, 7, "0"), F.lit("F"))), F.unhex(F.lpad(F.hex("c_custkey"), 8, "0"))
+    rows.select(F.concat("share", "fine", wide, small, number, F.encode("c_name", "ISO-8859-1")).cast("string").alias(
+        "value")).write.text(path)
+    layout = [*WIDE, Field("c_name", 53, 18, "text")]
+    df = scan_fixed_width(spark, [f.path for f in files_in(spark, path, ".txt")], layout, record_length=72, code_page="latin-1")
+    return df.select("c_name", *(F.col(f.name).cast("string").alias(f.name) for f in WIDE))
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def table_scan(spark, sf):
     name = fresh_table("supplier")

@@ -5,14 +5,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.operators.names import ILLEGAL, illegal_names
-from stratum.sources.listing import FileRef, loaded
+from stratum.sources.listing import FileRef, loaded, plain_path, source_columns
 
 # The header modes, and below the name pattern of the first file.
 HEADER_MODES = ("auto", "no_header", "all_header", "one_header")
@@ -37,7 +36,8 @@ def numbered_first(files: Sequence[FileRef], extension: str = "") -> list[FileRe
 
 
 def scan_splits(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object],
-                mode: str = "auto", extension: str = "", schema: StructType | str | None = None) -> DataFrame:
+                mode: str = "auto", extension: str = "", schema: StructType | str | None = None,
+                path_column: str = "") -> DataFrame:
     """At most two scans: files with a header, and files without one read by position under its schema.
 
     A given ``schema`` is that of both, by position.
@@ -60,11 +60,12 @@ def scan_splits(spark: SparkSession, files: Sequence[FileRef], options: Mapping[
         with_header, bare = classified(spark, files, options, extension)
 
     if not with_header:
-        return _with_file_name(_read(spark, bare, options, header=False, schema=schema))
+        return _read(spark, bare, options, header=False, schema=schema).select("*", *source_columns(path_column))
     headed = _read(spark, with_header, options, header=True, schema=schema)
-    result = _with_file_name(headed)
+    result = headed.select("*", *source_columns(path_column))
     if bare:
-        result = result.unionByName(_with_file_name(_read(spark, bare, options, header=False, schema=headed.schema)))
+        rest = _read(spark, bare, options, header=False, schema=headed.schema)
+        result = result.unionByName(rest.select("*", *source_columns(path_column)))
     return result
 
 
@@ -94,7 +95,7 @@ def _with(condition: Column, spark: SparkSession, files: Sequence[FileRef], opti
     """The files for whose first row the condition holds."""
     if not files:
         return []
-    found = {_plain(r.path) for r in head_rows(spark, files, options).where(condition).select("path").collect()}
+    found = {r.path for r in head_rows(spark, files, options).where(condition).select("path").collect()}
     return [f for f in files if f.path in found]
 
 
@@ -108,7 +109,7 @@ def head_rows(spark: SparkSession, files: Sequence[FileRef], options: Mapping[st
 
     Each file, or block of a large one, is a task of its own, and a task stops after the row: it reads one buffer,
     whatever the file's size. Files without text have no row. With the option ``multiLine`` a quoted value goes on
-    over line ends. Paths are as the scan's metadata have them.
+    over line ends.
     """
     chosen = {k.lower(): str(v) for k, v in options.items() if v is not None}
     delimiter = chosen.get("delimiter", chosen.get("sep", ","))
@@ -149,21 +150,16 @@ def head_rows(spark: SparkSession, files: Sequence[FileRef], options: Mapping[st
     if "linesep" in chosen:
         reader = reader.option("lineSep", chosen["linesep"])
     lines = loaded(reader, [f.path for f in files]).select(
-        F.col("value").cast("binary"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+        F.col("value").cast("binary"), plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"))
     return lines.mapInArrow(first_of_file, "path string, row array<string>")
 
 
-def _plain(path: str) -> str:
-    """A path of the scan's metadata, in which some characters are escaped, as a listing has it."""
-    return unquote(path)
-
-
 def first_rows(spark: SparkSession, files: Sequence[FileRef],
                options: Mapping[str, object]) -> list[list[str] | None]:
     """Column values of each file's first row; None for a file without text. A file that cannot be read is an error."""
     if not files:
         return []
-    found = {_plain(r.path): list(r.row) for r in head_rows(spark, files, options).collect()}
+    found = {r.path: list(r.row) for r in head_rows(spark, files, options).collect()}
     return [found.get(f.path) for f in files]
 
 
@@ -175,7 +171,3 @@ def _read(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, o
         chosen = {k: v for k, v in chosen.items() if k.lower() != "inferschema"}
     reader = spark.read.options(**chosen).option("header", header)
     return loaded((reader if schema is None else reader.schema(schema)).format("csv"), [f.path for f in files])
-
-
-def _with_file_name(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))

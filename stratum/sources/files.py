@@ -13,7 +13,7 @@ from stratum.operators.names import with_clean_names
 from stratum.quoting import ref, refs
 from stratum.sources.csv_splits import is_split, scan_splits
 from stratum.sources.fixed_width import Field, scan_fixed_width
-from stratum.sources.listing import FileRef, discovered, loaded
+from stratum.sources.listing import FileRef, discovered, loaded, source_columns
 
 # Fixed value: formats Spark reads by itself here. Table formats need their package on the class path.
 FORMATS = ("csv", "parquet", "json", "orc", "text", "xml", "binaryFile", "delta", "fixed_width")
@@ -23,20 +23,22 @@ ALIASES = {"cobol": "fixed_width"}
 
 def scan_files(spark: SparkSession, files: Sequence[FileRef], file_format: str,
                options: Mapping[str, object] | None = None, schema: StructType | str | None = None,
-               with_file_name: bool = True) -> DataFrame:
+               with_file_name: bool = True, path_column: str = "") -> DataFrame:
     """One scan over all files. The file name is attached here: later unions and groupings lose it."""
     reader = spark.read.format(file_format).options(**_reader_options(options))
     if schema is not None:
         reader = reader.schema(schema)
     df = loaded(reader, [f.path for f in files])
-    if not with_file_name or "file_name" in df.columns:
+    if not with_file_name:
         return df
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    name, *path = source_columns(path_column)
+    return df.select("*", *([] if "file_name" in df.columns else [name]), *path)
 
 
 def scan_csv(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object] | None = None,
              split_enabled: bool = True, header_mode: str = "auto", extension: str = "",
-             compat_names: bool = False, schema: StructType | str | None = None, keep_corrupt: bool = False) -> DataFrame:
+             compat_names: bool = False, schema: StructType | str | None = None, keep_corrupt: bool = False,
+             path_column: str = "") -> DataFrame:
     """CSV scan with legal column names; several files in a folder count as parts of one split file.
 
     With ``keep_corrupt``, which needs a schema, the text of malformed records is in ``_corrupt_record``.
@@ -46,9 +48,9 @@ def scan_csv(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str
     else:
         full = schema
     if split_enabled and is_split(files):
-        df = scan_splits(spark, files, options or {}, header_mode, extension, full)
+        df = scan_splits(spark, files, options or {}, header_mode, extension, full, path_column)
     else:
-        df = scan_files(spark, files, "csv", options, full)
+        df = scan_files(spark, files, "csv", options, full, path_column=path_column)
     return with_clean_names(_with_corrupt_text(df) if keep_corrupt else df, compat_names)
 
 
@@ -66,6 +68,7 @@ def scan_folder(
     compat_names: bool = False,
     schema: StructType | str | None = None,
     keep_corrupt: bool = False,
+    path_column: str = "",
 ) -> tuple[DataFrame | None, list[FileRef]]:
     """Discover and scan. Returns the frame, or None if there is nothing to read, and the files."""
     file_format = ALIASES.get(file_format, file_format)
@@ -76,20 +79,21 @@ def scan_folder(
         return None, files
     if file_format == "csv":
         return scan_csv(spark, files, options, split_enabled, header_mode, extension, compat_names, schema,
-                        keep_corrupt), files
+                        keep_corrupt, path_column), files
     if keep_corrupt:
         full = spark.createDataFrame([], schema).schema
-        return scan_with_corrupt(spark, [f.path for f in files], file_format, full, options), files
+        return scan_with_corrupt(spark, [f.path for f in files], file_format, full, options, path_column), files
     if file_format == "fixed_width":
-        return scan_fixed_width(spark, [f.path for f in files], layout, **dict(options or {})), files
-    return scan_files(spark, files, file_format, options, schema), files
+        return scan_fixed_width(spark, [f.path for f in files], layout, path_column=path_column,
+                                **dict(options or {})), files
+    return scan_files(spark, files, file_format, options, schema, path_column=path_column), files
 
 
 CORRUPT = "_corrupt_record"
 
 
 def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_format: str,
-                      schema: StructType, options: Mapping[str, object] | None = None) -> DataFrame:
+                      schema: StructType, options: Mapping[str, object] | None = None, path_column: str = "") -> DataFrame:
     """Permissive CSV or JSON scan that keeps the text of malformed records in ``_corrupt_record``.
 
     Column pruning is off inside the CSV parser: with it, a record counts as malformed or not depending
@@ -97,7 +101,7 @@ def scan_with_corrupt(spark: SparkSession, paths: str | Sequence[str], file_form
     """
     reader = spark.read.format(file_format).options(**_corrupt_options(file_format, options))
     df = loaded(reader.schema(corrupt_schema(spark, schema)), [paths] if isinstance(paths, str) else paths)
-    return _with_corrupt_text(df.select("*", F.col("_metadata.file_name").alias("file_name")))
+    return _with_corrupt_text(df.select("*", *source_columns(path_column)))
 
 
 def corrupt_schema(spark: SparkSession, schema: StructType | str) -> StructType:

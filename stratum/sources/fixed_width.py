@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.sources.listing import plain_path
+
 _RECORD = "value"
 
 
@@ -32,8 +34,8 @@ class Field:
 
 def scan_fixed_width(spark: SparkSession, paths: Sequence[str], layout: Sequence[Field],
                      record_length: int | None = None, code_page: str = "cp037",
-                     trim: bool = True) -> DataFrame:
-    """Rows of the layout's fields plus ``file_name``."""
+                     trim: bool = True, path_column: str = "") -> DataFrame:
+    """Rows of the layout's fields plus ``file_name``, and the file's path if a column is named for it."""
     if not layout:
         raise ValueError("a fixed-width scan needs a layout")
     length = int(record_length or max(f.start + f.length for f in layout))
@@ -44,7 +46,8 @@ def scan_fixed_width(spark: SparkSession, paths: Sequence[str], layout: Sequence
     raw = DataFrame(spark._jsparkSession.createDataset(records, encoder).toDF(), spark)
     columns = [decoded(f, code_page, trim).alias(f.name) for f in layout]
     name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return raw.select(*columns, name.alias("file_name"))
+    path = F.regexp_replace(plain_path(F.input_file_name()), "^file:///", "file:/")
+    return raw.select(*columns, name.alias("file_name"), *([path.alias(path_column)] if path_column else []))
 
 
 def _as_pattern(path: str) -> str:
@@ -60,22 +63,22 @@ def decoded(field: Field, code_page: str = "cp037", trim: bool = True) -> Column
         text = as_text(raw, code_page)
         return F.rtrim(text) if trim else text
     if field.kind == "binary":
-        return _scaled(_integer(raw, field.length), field.scale)
+        return _scaled(_integer(raw, field.length).cast("string"), field.scale, 19)
     # Both number kinds in hexadecimal: each byte is two half bytes, digits are 0-9, the sign D or B is minus.
     halves = F.hex(raw)
     if field.kind == "packed":
-        digits = F.substring(halves, 1, 2 * field.length - 1)
+        digits, most = F.substring(halves, 1, 2 * field.length - 1), 2 * field.length - 1
         sign = F.substring(halves, 2 * field.length, 1)
         valid = "^[0-9]*[A-F]$"
     elif field.kind == "zoned":
-        digits = F.regexp_replace(halves, "[0-9A-F]([0-9A-F])", "$1")
+        digits, most = F.regexp_replace(halves, "[0-9A-F]([0-9A-F])", "$1"), field.length
         sign = F.substring(halves, 2 * field.length - 1, 1)
         valid = "^(F[0-9])*[A-F][0-9]$"
     else:
         raise ValueError(f"unknown field kind: {field.kind}")
     signed = F.concat(F.when(sign.isin("B", "D"), F.lit("-")).otherwise(F.lit("")), digits)
     # A field of blanks or other bytes holds no number.
-    return _scaled(F.when(halves.rlike(valid), signed), field.scale)
+    return _scaled(F.when(halves.rlike(valid), signed), field.scale, most)
 
 
 def as_text(raw: Column, code_page: str) -> Column:
@@ -101,7 +104,17 @@ def _integer(raw: Column, length: int) -> Column:
     return F.when(value >= F.lit(half).cast("decimal(20,0)"), value - F.lit(2 * half).cast("decimal(21,0)")).otherwise(value)
 
 
-def _scaled(value: Column, scale: int) -> Column:
+def _scaled(number: Column, scale: int, most: int) -> Column:
+    """Signed digits as text to a number with ``scale`` decimals, exactly: the point is put into the text.
+
+    Numbers of up to 18 digits without decimals are bigints, all others decimals of 38 digits.
+    """
+    if max(most, scale) > 38:
+        raise ValueError(f"a number of {max(most, scale)} digits does not fit a decimal; read the field as text")
     if scale == 0:
-        return value.cast("bigint")
-    return (value.cast("decimal(31,0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
+        return number.cast("bigint" if most <= 19 else "decimal(38,0)")
+    sign = F.when(number.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.ltrim(number, F.lit("-"))
+    digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(scale + 1)), F.lit("0"))
+    whole = F.substring(digits, F.lit(1), F.length(digits) - scale)
+    return F.concat(sign, whole, F.lit("."), F.right(digits, F.lit(scale))).cast(f"decimal(38,{scale})")

@@ -7,7 +7,8 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 
 #: No path holds this character.
 _BETWEEN = "\x01"
@@ -60,6 +61,17 @@ def loaded(reader: DataFrameReader, paths: Sequence[str]) -> DataFrame:
     return DataFrame(reader._jreader.load(array), spark)
 
 
+def plain_path(path: Column) -> Column:
+    """A path of a scan's metadata, in which some characters are escaped, as a listing has it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def source_columns(path_column: str = "") -> list[Column]:
+    """The scan's file name, and the file's full path if a column is named for it."""
+    path = [plain_path(F.col("_metadata.file_path")).alias(path_column)] if path_column else []
+    return [F.col("_metadata.file_name").alias("file_name"), *path]
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     fs, path = _file_system(spark, folder)
     return fs.exists(path)

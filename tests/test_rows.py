@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from stratum.functions.hashing import detokenized, token_table, with_row_hash, with_token
 from stratum.operators.aggregate import aggregated
-from stratum.operators.reconcile import parsed_log, reconciled
+from stratum.operators.reconcile import loaded_per_file, parsed_log, reconciled
 from stratum.operators.rows import deduplicated, deduplicated_counted, union_all, where_all
 
 
@@ -110,6 +110,21 @@ def test_reconcile(spark):
     files = spark.createDataFrame([("a", "/x/a"), ("a", "/y/a")], "file_name string, path string")
     rows = {r.source_name: (r.records_succeeded, r.load_status) for r in reconciled(totals, done, files).collect()}
     assert rows == {"/x/a": (3, "Success"), "b": (2, "Failed"), "c": (0, "Failed")}
+    files = spark.createDataFrame([("/x/a", "/x/a"), ("/y/a", "/y/a"), ("/y/void", "/y/void")], "file_name string, path string")
+    totals = spark.createDataFrame([("/x/a", 3), ("/y/a", 4)], "file_name string, records_total bigint")
+    done = spark.createDataFrame([("/x/a", 3), ("/y/a", 1)], "file_name string, records_succeeded bigint")
+    rows = {r.source_name: tuple(r)[1:] for r in reconciled(totals, done, files).collect()}
+    assert rows == {"/x/a": (3, 3, "Success"), "/y/a": (4, 1, "Failed"), "/y/void": (0, 0, "Success")}
+
+
+def test_counts_of_a_load_read_its_partition_only(spark):
+    name = "loads_by_partition"
+    df = spark.range(40).selectExpr("id", "concat('run-', id % 4) as run_id", "'p' as source_path")
+    df.write.partitionBy("run_id").saveAsTable(name)
+    counts = loaded_per_file(spark.table(name), "run-1", "run_id", "source_path")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert counts.collect()[0].records_succeeded == 10
+    assert "run_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_log_lines(spark):
