@@ -233,7 +233,8 @@ def prepare_merge(df: DataFrame, target: TargetSpec) -> None:
     if target.soft_deletes:
         shape = with_deletion_columns(shape)
     empty = spark.createDataFrame([], shape.schema)
-    tables.create(empty, target.table, target.partition_by, target.location)
+    buckets = tables.Buckets(target.buckets, target.keys) if target.buckets else None
+    tables.create(empty, target.table, target.partition_by, target.location, buckets)
 
 
 def _apply_snapshot(spark, snapshot: DataFrame, target: TargetSpec, started: dt.datetime) -> None:

@@ -196,3 +196,20 @@ def soft_delete_table(spark, sf):
     """Two snapshots by spec; the first one already has the columns of a soft delete."""
     result = _merged_by_spec(spark, [_target(spark, sf), _source(spark, sf)], enable_soft_deletes=True)
     return result.withColumn("deleted_at", F.col("deleted_at").cast("string"))
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderstatus IN ('F', 'P') THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice, o_orderpriority
+    FROM orders
+""")
+def merge_bucketed(spark, sf):
+    """A target dealt by its key: two merges update and insert, the second over the first one's files."""
+    name = fresh_table("bucketed")
+    orders = table(spark, sf, "orders").select(*COLUMNS, "o_orderpriority")
+    tables.create(orders.where("o_orderstatus <> 'P'"), name, location=folder(spark, name),
+                  buckets=tables.Buckets(8, ("o_orderkey",)))
+    changes = orders.where("o_orderstatus IN ('F', 'P')")
+    for more in (1, 2):
+        tables.merge(changes.withColumn("o_totalprice", F.col("o_totalprice") + more), name, ["o_orderkey"])
+    return spark.table(name)

@@ -42,12 +42,22 @@ class EmptyResult(ValueError):
     """A target that must not be empty would be."""
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows with equal values of the columns share one of ``number`` files, sorted by them. Joins and groupings on the
+    columns need no shuffle of the table."""
+
+    number: int
+    columns: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class TableInfo:
     name: str
     provider: str
     location: str
     partitions: tuple[str, ...]
+    buckets: Buckets | None = None
 
     @property
     def transactional(self) -> bool:
@@ -56,12 +66,20 @@ class TableInfo:
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
     details = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    number = int(details.get("num_buckets") or 0)
     return TableInfo(table, details.get("provider") or "", details.get("location") or "",
-                     tuple(details.get("partition_columns") or ()))
-
-
-def create(df: DataFrame, table: str, partition_by: Sequence[str] = (), location: str | None = None) -> None:
-    writer = _balanced(df, partition_by).write.format("parquet").partitionBy(*partition_by)
+                     tuple(details.get("partition_columns") or ()),
+                     Buckets(number, tuple(details["bucket_columns"])) if number else None)
+
+
+def create(df: DataFrame, table: str, partition_by: Sequence[str] = (), location: str | None = None,
+           buckets: Buckets | None = None) -> None:
+    if buckets:
+        # One task a bucket, so that a bucket is one file. A table is dealt once like this; merges then keep the deal.
+        df = df.repartition(buckets.number, *[ref(c) for c in buckets.columns])
+    writer = _balanced(df, () if buckets else partition_by).write.format("parquet").partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(table)
@@ -79,7 +97,9 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = (), location
         df.write.format(info.provider).mode("append").option("mergeSchema", str(evolve)).saveAsTable(table)
         return
     add_missing_columns(df, table, evolve)
-    aligned(_balanced(df, info.partitions), spark.table(table).schema).write.insertInto(table)
+    if info.buckets:
+        df = df.repartition(info.buckets.number, *[ref(c) for c in info.buckets.columns])
+    aligned(df if info.buckets else _balanced(df, info.partitions), spark.table(table).schema).write.insertInto(table)
 
 
 def add_missing_columns(df: DataFrame, table: str, evolve: bool = True) -> None:
@@ -124,16 +144,40 @@ def overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = (), locat
             return written.get["rows"]
         partitions = tuple(partition_by) or info.partitions
         fresh = _new_version(info.location)
+        if info.buckets:
+            return _overwrite_buckets(df, info, fresh, partitions, written, on_empty)
         _balanced(df, partitions).write.partitionBy(*partitions).parquet(fresh)
     rows = written.get["rows"]
-    if rows == 0 and on_empty == "skip":
+    if rows == 0 and on_empty != "write":
+        remove(spark, fresh)
+        if on_empty == "fail":
+            raise EmptyResult(f"nothing to write to {table}")
         return 0
-    if rows == 0 and on_empty == "fail":
-        raise EmptyResult(f"nothing to write to {table}")
     _switch(spark, table, fresh, df.schema, partitions)
     return rows
 
 
+def _overwrite_buckets(df: DataFrame, info: TableInfo, fresh: str, partitions: Sequence[str], written: Observation,
+                       on_empty: str) -> int:
+    """The new rows go to a table of their own with the same buckets, which then takes the name over.
+
+    Rows are not shuffled for this: a merge into the buckets' columns leaves them dealt as they were.
+    """
+    spark = df.sparkSession
+    new = sibling(info.name, f"__v{uuid.uuid4().hex}")
+    (df.write.format("parquet").partitionBy(*partitions).option("path", fresh)
+     .bucketBy(info.buckets.number, *info.buckets.columns).sortBy(*info.buckets.columns).saveAsTable(new))
+    rows = written.get["rows"]
+    if rows == 0 and on_empty != "write":
+        spark.sql(f"DROP TABLE {new}")
+        remove(spark, fresh)
+        if on_empty == "fail":
+            raise EmptyResult(f"nothing to write to {info.name}")
+        return 0
+    _take_over(spark, new, info.name)
+    return rows
+
+
 def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
             partitions: Sequence[str]) -> None:
     """Point the catalog at the new folder.
@@ -157,6 +201,11 @@ def _switch(spark: SparkSession, table: str, location: str, schema: StructType,
     if not spark.catalog.tableExists(table):
         _rename(spark, new, table)
         return
+    _take_over(spark, new, table)
+
+
+def _take_over(spark: SparkSession, new: str, table: str) -> None:
+    """Give ``table``'s name to ``new``; what had it before is dropped last."""
     old = sibling(table, f"__old{uuid.uuid4().hex}")
     _rename(spark, table, old)
     try:
@@ -325,7 +374,8 @@ def drop_old_versions(spark: SparkSession, table: str, older_than: dt.timedelta
     gone = []
     for status in files.listStatus(path.getParent()):
         name = status.getPath().getName()
-        version = _VERSION.search(name) and _VERSION.sub("", name) == base and name != path.getName()
+        # The first copy has the bare name.
+        version = _VERSION.sub("", name) == base and name != path.getName()
         if version and status.getModificationTime() < limit:
             remove(spark, status.getPath().toString())
             gone.append(name)

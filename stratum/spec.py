@@ -27,7 +27,7 @@ TRANSFORM_SETTINGS = ("with_columns on_column_error standardize casts on_cast_er
                       "replace_in_names all_to_string select drop deduplicate hash_mode hash_all_columns")
 STANDARDIZE_SETTINGS = "rename_map case trim_strings strip_whitespace lowercase uppercase"
 TARGET_SETTINGS = ("table target name mode write_mode primary_keys merge_condition update insert update_condition "
-                   "enable_soft_deletes schema_evolution corrupt_record partition_by location materialization "
+                   "enable_soft_deletes schema_evolution corrupt_record partition_by buckets location materialization "
                    "empty_result aggregations")
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("append", "overwrite", "merge")
@@ -202,6 +202,8 @@ class TargetSpec:
     schema_evolution: bool = True
     corrupt_record: str | None = None
     partition_by: tuple[str, ...] = ()
+    #: files a table is dealt into by its merge keys when it is created, so that merges need not shuffle it
+    buckets: int = 0
     location: str | None = None
     materialization: str = "table"
     empty_result: str = "write"
@@ -221,6 +223,8 @@ class TargetSpec:
         soft_deletes = flag(entry.get("enable_soft_deletes"))
         if soft_deletes and not (mode == "merge" and keys):
             raise ValueError("destination: soft deletes need mode merge and primary_keys")
+        if entry.get("buckets") and not (mode == "merge" and keys):
+            raise ValueError("destination: buckets need mode merge and primary_keys")
         own = entry.get("aggregations")
         return cls(
             table=table,
@@ -235,6 +239,7 @@ class TargetSpec:
             schema_evolution=flag(entry.get("schema_evolution"), default=True),
             corrupt_record=entry.get("corrupt_record"),
             partition_by=tuple(entry.get("partition_by") or ()),
+            buckets=int(entry.get("buckets") or 0),
             location=entry.get("location"),
             materialization=_one_of(entry.get("materialization") or "table", MATERIALIZATIONS, "materialization"),
             empty_result=_one_of(entry.get("empty_result") or "write", EMPTY_RESULTS, "empty_result"),

@@ -210,3 +210,74 @@ def test_old_versions_go(spark, tmp_path):
     assert tables.drop_old_versions(spark, name) == [] and len(folders()) == 4
     assert len(tables.drop_old_versions(spark, name, dt.timedelta(0))) == 3 and len(folders()) == 1
     assert [tuple(r) for r in spark.table(name).collect()] == [(3,)]
+
+
+def _shuffled_scans(plan):
+    """Lines of the scans below an exchange."""
+    lines, found, depths = plan.split("\n"), [], []
+    for line in lines:
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        depths = [d for d in depths if d < depth]
+        if "Exchange" in line:
+            depths.append(depth)
+        elif "FileScan" in line and depths:
+            found.append(line)
+    return found
+
+
+def test_merge_into_buckets_does_not_shuffle_the_target(spark, tmp_path):
+    from stratum.operators.upsert import upserted
+    name = "dealt"
+    rows = spark.range(5000).selectExpr("id", "id % 7 as v", "cast(id as string) as s")
+    tables.create(rows, name, location=f"{tmp_path}/{name}", buckets=tables.Buckets(6, ("id",)))
+    source = spark.range(4000, 9000).selectExpr("id", "cast(-1 as bigint) as v", "'new' as s")
+    source.write.parquet(f"{tmp_path}/source")
+    source = spark.read.parquet(f"{tmp_path}/source")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for _ in range(2):  # the second merge reads what the first one wrote
+            plan = upserted(spark.table(name), source, ["id"])._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Bucketed: true") == 2 and [s for s in _shuffled_scans(plan) if "Bucketed: true" in s] == []
+            assert len([s for s in _shuffled_scans(plan) if "/source]" in s]) == 2  # for updates and for inserts
+            assert tables.merge(source, name, ["id"])
+            assert tables.table_info(spark, name).buckets == tables.Buckets(6, ("id",))
+            assert sorted(tuple(r) for r in spark.table(name).collect()) == [
+                (i, i % 7, str(i)) if i < 4000 else (i, -1, "new") for i in range(9000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tables.append(spark.createDataFrame([(10 ** 6, 1, "x")], "id long, v long, s string"), name)
+    tables.overwrite(spark.table(name).where("id >= 8999"), name)
+    assert tables.overwrite(spark.table(name).where("false"), name, on_empty="skip") == 0
+    assert {r.id for r in spark.table(name).collect()} == {8999, 10 ** 6}
+    assert tables.table_info(spark, name).buckets.number == 6
+
+
+def test_buckets_by_spec(spark, tmp_path):
+    from stratum.operators.columns import RunInfo
+    from stratum.plans.runs import run
+    from stratum.spec import PipelineSpec
+    spark.range(100).selectExpr("id as k", "1 as v").write.saveAsTable("bucket_source")
+    spec = {"pipeline_metadata": {"name": "b", "layer": "silver"},
+            "source": {"type": "table", "properties": {"table": "bucket_source"}},
+            "destination": {"table": "bucket_target", "mode": "merge", "primary_keys": ["k"], "buckets": 3,
+                            "location": f"{tmp_path}/t"}}
+    for _ in range(2):
+        run(spark, PipelineSpec.of(spec), RunInfo())
+    assert tables.table_info(spark, "bucket_target").buckets == tables.Buckets(3, ("k",))
+    assert spark.table("bucket_target").count() == 100
+    del spec["destination"]["primary_keys"]
+    spec["destination"]["merge_condition"] = "tgt.k = src.k"
+    with pytest.raises(ValueError, match="buckets"):
+        PipelineSpec.of(spec)
+
+
+def test_first_copies_and_skipped_versions_go(spark, tmp_path):
+    import datetime as dt
+    name = "first_copy"
+    tables.create(spark.createDataFrame([(0,)], "k int"), name, location=f"{tmp_path}/{name}")
+    tables.overwrite(spark.createDataFrame([(1,)], "k int"), name)
+    assert tables.overwrite(spark.createDataFrame([], "k int"), name, on_empty="skip") == 0
+    assert len(list(tmp_path.iterdir())) == 2
+    assert tables.drop_old_versions(spark, name, dt.timedelta(0)) == [name]
+    assert len(list(tmp_path.iterdir())) == 1 and [r.k for r in spark.table(name).collect()] == [1]
