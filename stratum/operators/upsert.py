@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +31,14 @@ _ROW = "__row"
 _COUNT = "__rows"
 _RANK = "__rank"
 _KEY = "__key"
+_END = "__end"
 _NAME = r"(?:`((?:[^`]|``)+)`|(\w+))"
 _EQUALITY = re.compile(rf"(tgt|src)\.{_NAME}\s*==?\s*(tgt|src)\.{_NAME}", re.IGNORECASE)
 
+_COMPARISON = re.compile(rf"(tgt|src)\.{_NAME}\s*(<=|>=|<|>)\s*(tgt|src)\.{_NAME}", re.IGNORECASE)
+_SIDE = re.compile(r"\b(tgt|src)\.", re.IGNORECASE)
+_TURNED = {"<": ">", ">": "<", "<=": ">=", ">=": "<="}
+
 _CONNECTIVE = re.compile(
     r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`|[()]|(?<!\.)\b(?:and|or|case|end)\b""", re.IGNORECASE)
 
@@ -74,21 +80,106 @@ class Match:
         pairs = []
         parts = _and_parts(condition)
         for part in parts:
-            part = part.strip()
-            if part[:1] == "(" and part[-1:] == ")" and part.count("(") == 1:
-                part = part[1:-1].strip()
-            found = _EQUALITY.fullmatch(part)
-            if found:
-                left, right = found[1].lower(), found[4].lower()
-                a = (found[2] or found[3]).replace("``", "`")
-                b = (found[5] or found[6]).replace("``", "`")
-                if left != right:
-                    pairs.append((a, b) if left == TARGET else (b, a))
+            pair = _pair(part)
+            if pair:
+                pairs.append(pair)
         if not pairs:
             raise ValueError(f"no equality between tgt and src in merge condition: {condition}")
         return tuple(pairs), len(parts)
 
 
+def _bare(part: str) -> str:
+    """A part without the parentheses around it, where those are all it has."""
+    part = part.strip()
+    return part[1:-1].strip() if part[:1] == "(" and part[-1:] == ")" and part.count("(") == 1 else part
+
+
+def _name(quoted_name: str | None, plain: str | None) -> str:
+    return (quoted_name or plain).replace("``", "`")
+
+
+def _pair(part: str) -> tuple[str, str] | None:
+    """(target, source) columns of an equality between the sides."""
+    found = _EQUALITY.fullmatch(_bare(part))
+    if not found or found[1].lower() == found[4].lower():
+        return None
+    a, b = _name(found[2], found[3]), _name(found[5], found[6])
+    return (a, b) if found[1].lower() == TARGET else (b, a)
+
+
+@dataclass(frozen=True)
+class _Bound:
+    """What a match asks beyond equal keys: one comparison between the sides, and conditions on either side alone.
+
+    Of the rows of a key one then matches if any does: the source's largest value against the target's smallest, or the
+    other way round. So a hot key needs no pairs of rows.
+    """
+
+    source: str
+    comparison: str  # source value, this, target value
+    target: str
+    source_only: tuple[str, ...] = ()
+    target_only: tuple[str, ...] = ()
+
+    @property
+    def largest(self) -> bool:
+        return self.comparison[0] == ">"
+
+    def holds(self, source: Column, target: Column) -> Column:
+        return {"<": source < target, "<=": source <= target, ">": source > target, ">=": source >= target}[self.comparison]
+
+    def source_rows(self, source: DataFrame) -> DataFrame:
+        """Rows that can match anything at all."""
+        return _where(source, SOURCE, self.source_only).where(ref(self.source).isNotNull())
+
+    def easiest(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """One row for each key, the one that matches if any of the key does. Ranks are limited before the shuffle."""
+        value = ref(self.source)
+        rank = F.row_number().over(Window.partitionBy(refs(keys)).orderBy(value.desc() if self.largest else value.asc()))
+        return self.source_rows(source).withColumn(_RANK, rank).where(ref(_RANK) == 1).drop(_RANK)
+
+    def target_limits(self, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The value of each key that is matched if any of the key is, under the column's own name."""
+        end = F.min if self.largest else F.max
+        return _where(target, TARGET, self.target_only).groupBy(refs(keys)).agg(end(ref(self.target)).alias(_END))
+
+
+def _where(df: DataFrame, alias: str, conditions: Sequence[str]) -> DataFrame:
+    for condition in conditions:
+        df = df.alias(alias).where(F.expr(condition))
+    return df
+
+
+def bound_of(target: DataFrame, source: DataFrame, match: Match, update_condition: str | None = None) -> _Bound | None:
+    """The match as one comparison, if it is one."""
+    comparisons, alone = [], {TARGET: [], SOURCE: []}
+    for condition in filter(None, (match.condition, update_condition)):
+        parts = _and_parts(condition)
+        if not parts:
+            return None
+        for part in parts:
+            if condition is match.condition and _pair(part):
+                continue
+            sides = {side.lower() for side in _SIDE.findall(part)}
+            if len(sides) == 1:
+                alone[sides.pop()].append(part)
+            else:
+                comparisons.append(_COMPARISON.fullmatch(_bare(part)))
+    if len(comparisons) != 1 or comparisons[0] is None:
+        return None
+    found = comparisons[0]
+    left, right = _name(found[2], found[3]), _name(found[6], found[7])
+    turned = found[1].lower() == TARGET
+    bound = _Bound(right if turned else left, _TURNED[found[4]] if turned else found[4], left if turned else right,
+                   tuple(alone[SOURCE]), tuple(alone[TARGET]))
+    try:  # each condition has to make sense on its side alone
+        bound.source_rows(source)
+        _where(target, TARGET, bound.target_only).select(ref(bound.target))
+    except AnalysisException:
+        return None
+    return bound
+
+
 def _and_parts(condition: str) -> list[str]:
     """The parts a condition ANDs outside parentheses, CASE and quotes; none if it ORs there."""
     depth = start = 0
@@ -114,22 +205,26 @@ def upserted(
     update: Mapping[str, str] | None = None,
     insert: Mapping[str, str] | None = None,
     update_condition: str | None = None,
+    one_match: bool = False,
 ) -> DataFrame:
     """The target after the merge, with the target's columns and types.
 
     ``update`` and ``insert`` map target columns to SQL over ``tgt`` and ``src``. ``None`` takes every
     column the source has; an empty mapping takes no action. A matched row for which
     ``update_condition`` is not true keeps its values. A NULL key matches nothing. Source rows must
-    not match the same target row twice: see ``ambiguous_matches``.
+    not match the same target row twice: see ``ambiguous_matches``. Where that is known and source keys repeat,
+    ``one_match`` keeps rows that can update nothing out of the join, if the match is one comparison (``bound_of``).
     """
     match = Match.on(on)
     source = named_as(source, target)
+    bound = bound_of(target, source, match, update_condition) if one_match else None
     shared = {c: f"{SOURCE}.{quoted(c)}" for c in target.columns if c in source.columns}
     update = shared if update is None else _known(target, update)
     insert = shared if insert is None else _known(target, insert)
     rows = target
     if update:
-        rows = _updated(target, source, match, update, update_condition)
+        updates = bound.easiest(source, match.source_keys) if bound else source
+        rows = _updated(target, updates, match, update, update_condition)
     if insert:
         rows = rows.unionByName(_inserted(target, source, match, insert))
     return rows
@@ -151,8 +246,16 @@ def _inserted(target: DataFrame, source: DataFrame, match: Match, insert: Mappin
     # Rows with a NULL key match nothing and stay out of the join, where they would meet in one task.
     complete = _has_all(match.source_keys)
     keyed = source.where(complete)
-    present = _target_keys(target, keyed, match).alias(TARGET)
-    fresh = keyed.alias(SOURCE).join(present, F.expr(match.condition), "left_anti")
+    bound = None if match.only_pairs else bound_of(target, source, match)
+    if bound:
+        limits = bound.target_limits(target, match.target_keys).alias(TARGET)
+        met = _same_keys(match) & bound.holds(F.col(f"{SOURCE}.{quoted(bound.source)}"), F.col(f"{TARGET}.{_END}"))
+        for condition in bound.source_only:
+            met = met & F.expr(condition)
+        fresh = keyed.alias(SOURCE).join(limits, met, "left_anti")
+    else:
+        present = _target_keys(target, keyed, match).alias(TARGET)
+        fresh = keyed.alias(SOURCE).join(present, F.expr(match.condition), "left_anti")
     return as_inserts(target, fresh.unionByName(source.where(~complete)), insert)
 
 
@@ -168,6 +271,10 @@ def as_inserts(target: DataFrame, rows: DataFrame, insert: Mapping[str, str] | N
     ])
 
 
+def _same_keys(match: Match) -> Column:
+    return reduce(and_, (F.col(f"{TARGET}.{quoted(t)}") == F.col(f"{SOURCE}.{quoted(s)}") for t, s in match.pairs))
+
+
 def _has_all(keys: Sequence[str]) -> Column:
     return reduce(and_, (ref(k).isNotNull() for k in keys))
 
@@ -234,20 +341,39 @@ def ambiguous_matches(target: DataFrame, source: DataFrame, on: str | Sequence[s
         hits = repeated.alias(SOURCE).join(
             _target_keys(target, repeated, match).alias(TARGET), F.expr(match.condition), "left_semi")
         return hits.select(*keys, F.col(_COUNT).alias("source_rows"))
-    suspects = source.join(repeated, match.source_keys, "left_semi").alias(SOURCE)
-    numbered = target.withColumn(_ROW, F.monotonically_increasing_id()).alias(TARGET)
-    hits = numbered.join(suspects, _update_match(match, update_condition), "inner")
+    suspects = source.join(repeated, match.source_keys, "left_semi")
     keys = [F.col(f"{SOURCE}.{quoted(s)}") for s in match.source_keys]
+    bound = bound_of(target, source, match, update_condition)
+    if bound:
+        # The target row that is matched most easily has the most matches: rows meet one value per key.
+        limits = bound.target_limits(target, match.target_keys).alias(TARGET)
+        met = bound.holds(F.col(f"{SOURCE}.{quoted(bound.source)}"), F.col(f"{TARGET}.{_END}"))
+        hits = bound.source_rows(suspects).alias(SOURCE).join(limits, _same_keys(match) & met, "inner")
+        return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_rows")).where("source_rows > 1")
+    # Rows alike in all that the conditions look at meet as one, with their number.
+    conditions = " ".join(filter(None, (match.condition, update_condition)))
+    rows = suspects.select(refs(_used(source.columns, match.source_keys, conditions)))
+    rows = rows.groupBy(refs(rows.columns)).agg(F.count(F.lit(1)).alias(_COUNT)).alias(SOURCE)
+    kinds = target.select(refs(_used(target.columns, match.target_keys, conditions))).distinct()
+    numbered = kinds.withColumn(_ROW, F.monotonically_increasing_id()).alias(TARGET)
+    hits = numbered.join(rows, _update_match(match, update_condition), "inner")
     # Counting starts in the join's own tasks, so matches are not shuffled one by one.
     return (
         hits.groupBy(F.col(f"{TARGET}.{_ROW}"), *keys)
-        .agg(F.count(F.lit(1)).alias("source_rows"))
+        .agg(F.sum(F.col(f"{SOURCE}.{_COUNT}")).alias("source_rows"))
         .where("source_rows > 1")
         .groupBy(refs(match.source_keys))
         .agg(F.max("source_rows").alias("source_rows"))
     )
 
 
+def _used(columns: Sequence[str], keys: Sequence[str], conditions: str) -> list[str]:
+    """The keys, and the columns whose names appear in the conditions, on either side."""
+    wanted = {k.lower() for k in keys}
+    return [c for c in columns
+            if c.lower() in wanted or re.search(rf"(?<!\w){re.escape(c)}(?!\w)", conditions.replace("``", "`"), re.IGNORECASE)]
+
+
 def snapshot_applied(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
                      at: dt.datetime | Column, flag: str = "is_deleted",
                      stamp: str = "deleted_at") -> DataFrame:

@@ -213,3 +213,22 @@ def merge_bucketed(spark, sf):
     for more in (1, 2):
         tables.merge(changes.withColumn("o_totalprice", F.col("o_totalprice") + more), name, ["o_orderkey"])
     return spark.table(name)
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus,
+           CASE WHEN o_orderkey < (SELECT max(o_orderkey) / 2 FROM orders) THEN 'closed' ELSE 'open' END AS state
+    FROM orders
+""")
+def merge_hot_condition(spark, sf):
+    """Three keys for all rows on both sides, and a comparison that one row of each key meets."""
+    name = fresh_table("hot")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    tables.create(orders.withColumn("state", F.lit("open")), name, location=folder(spark, name))
+    until = orders.agg((F.max("o_orderkey") / 2).alias("until"))
+    late = orders.select("o_orderstatus").distinct().join(F.broadcast(until)).select("o_orderstatus", "until")  # one row
+    early = orders.select("o_orderstatus", (-F.col("o_orderkey")).cast("double").alias("until"))
+    source = early.unionByName(late).withColumn("state", F.lit("closed"))
+    tables.merge(source, name, ["o_orderstatus"], update={"state": "src.state"}, insert={},
+                 update_condition="tgt.o_orderkey < src.until")
+    return spark.table(name)

@@ -265,7 +265,7 @@ def merge(
     target = spark.table(table)
     source = named_as(source, target)
     match = Match.on(on)
-    staged_source, loose = source, None
+    staged_source, loose, one_match = source, None, False
     repeated = repeated_keys(source, match.source_keys)
     if not repeated.isEmpty():
         repeated = staged(repeated, "merge-repeated")
@@ -275,9 +275,11 @@ def merge(
             # Keys that repeat are now known to be new: their rows, however many, need no join with the target.
             loose = source.join(repeated, match.source_keys, "left_semi")
             source = source.join(repeated, match.source_keys, "left_anti")
+        else:
+            one_match = True
 
     def merged(rows: DataFrame) -> DataFrame:
-        result = upserted(rows, source, on, update, insert, update_condition)
+        result = upserted(rows, source, on, update, insert, update_condition, one_match)
         inserting = loose is not None and (insert is None or insert)
         return result.unionByName(as_inserts(target, loose, insert)) if inserting else result
 

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stratum.operators.upsert import (
     Match,
@@ -204,3 +205,51 @@ def test_diff_shuffles_each_side_once_and_limits_hot_keys_first(spark):
     plan = snapshot_diff(orders, orders.where("o_custkey > 5"), ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
     assert plan.count("row_number(), 2, Partial") == 2
+
+
+CONDITIONS = [
+    ("tgt.k = src.k", "src.v > tgt.v"), ("tgt.k = src.k AND (tgt.v >= src.v)", None), ("tgt.k = src.k", "tgt.v < src.v AND src.w = 1"),
+    ("tgt.k = src.k AND src.v <= tgt.v AND tgt.w <> 2", "src.w < 3"), ("tgt.k = src.k", "src.v + 0 > tgt.v"),
+    ("tgt.k = src.k", "src.v > tgt.v OR src.w = 9"),
+]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sampled_from(CONDITIONS), st.integers(0, 10 ** 6))
+def test_conditions_on_repeated_keys(spark, conditions, seed):
+    import random
+    on, update_condition = conditions
+    rng = random.Random(seed)
+
+    def rows(n, spread):
+        return [(rng.choice([1, 2, 3, None]), rng.choice([None, *range(spread)]), rng.randrange(4)) for _ in range(n)]
+
+    target = spark.createDataFrame(rows(8, 5), "k int, v int, w int")
+    source = spark.createDataFrame(rows(6, 7), "k int, v int, w int")
+    match = target.alias("tgt").withColumn("row", F.monotonically_increasing_id()).alias("tgt").join(
+        source.alias("src"), F.expr(on if update_condition is None else f"({on}) AND ({update_condition})"))
+    counts = {r.k: r.n for r in match.groupBy(F.col("src.k").alias("k"), "row").count().groupBy("k").agg(F.max("count").alias("n")).collect()}
+    found = {r.k: r.source_rows for r in ambiguous_matches(target, source, on, update_condition).collect()}
+    assert found == {k: n for k, n in counts.items() if n > 1}
+    if not found:
+        plain = upserted(target, source, on, update_condition=update_condition)
+        quick = upserted(target, source, on, update_condition=update_condition, one_match=True)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, quick.collect()))
+    fresh = source.alias("src").join(target.alias("tgt"), F.expr(on), "left_anti").count()
+    assert upserted(target, source, on, update={}).count() == target.count() + fresh
+
+
+def test_a_hot_key_with_a_condition_needs_no_pairs(spark, tmp_path):
+    import time
+    from stratum.sinks import tables
+    n = 100_000
+    target = spark.range(n).selectExpr("'hot' as k", "id + 1000000 as at", "'old' as v")
+    source = spark.range(n).selectExpr("'hot' as k", "if(id = 7, 2000000, id) as at", "'new' as v")
+    tables.create(target, "hot_key", location=f"{tmp_path}/hot")
+    start = time.time()
+    tables.merge(source, "hot_key", ["k"], update_condition="src.at > tgt.at")
+    assert time.time() - start < 60
+    assert [tuple(r) for r in spark.table("hot_key").groupBy("v", "at").count().collect()] == [("new", 2000000, n)]
+    twice = spark.range(n).selectExpr("'hot' as k", "if(id < 2, 3000000, id) as at", "'newer' as v")
+    with pytest.raises(tables.AmbiguousMerge):
+        tables.merge(twice, "hot_key", ["k"], update_condition="src.at > tgt.at")
