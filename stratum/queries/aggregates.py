@@ -2,6 +2,7 @@
 
 from stratum.operators.aggregate import aggregated, rows_per_file
 from stratum.operators.columns import with_expressions
+from stratum.operators.percentiles import percentiles
 from stratum.operators.rows import (
     deduplicated,
     union_all,
@@ -217,3 +218,17 @@ def rows_by_source_file(spark, sf):
     from pyspark.sql import functions as F
     names = [table(spark, sf, t).select(F.col("_metadata.file_name").alias("file_name")) for t in ("orders", "lineitem")]
     return rows_per_file(union_all(names))
+
+
+@query("""
+    SELECT CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag,
+           round(quantile_cont(l_extendedprice, 0.01), 6) AS p01, round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+           round(quantile_cont(l_extendedprice, 0.999), 6) AS p999, max(l_extendedprice) AS largest
+    FROM lineitem GROUP BY 1
+""")
+def agg_exact_percentiles(spark, sf):
+    """Half of all rows are one group; all groups go through sketched intervals."""
+    lines = table(spark, sf, "lineitem").selectExpr("nullif(l_returnflag, 'N') as flag", "l_extendedprice")
+    found = percentiles(lines, ["flag"], "l_extendedprice", {"p01": 0.01, "median": 0.5, "p999": 0.999, "largest": 1.0},
+                        whole_group=1000, accuracy=1000)
+    return found.selectExpr("flag", "round(p01, 6) as p01", "round(median, 6) as median", "round(p999, 6) as p999", "largest")

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,6 +6,7 @@ from pyspark.errors import AnalysisException
 
 from stratum.functions.hashing import detokenized, token_table, with_row_hash, with_token
 from stratum.operators.aggregate import aggregated
+from stratum.operators.percentiles import percentiles
 from stratum.operators.reconcile import loaded_per_file, parsed_log, reconciled
 from stratum.operators.rows import deduplicated, deduplicated_counted, union_all, where_all
 
@@ -131,3 +133,33 @@ def test_log_lines(spark):
     line = "2024-05-01 06:00:00,123 - ERROR - pkg.mod.Class:run() - it - failed:\n  here"
     row = parsed_log(spark.createDataFrame([(line,)], "code_message string")).first()
     assert (row.level, row.logger, row.function, row.text) == ("ERROR", "pkg.mod.Class", "run", "it - failed:\n  here")
+
+
+@pytest.mark.parametrize("whole_group, accuracy", [(100_000, 100_000), (5, 50), (0, 10)])
+def test_percentiles(spark, whole_group, accuracy):
+    import random
+    rng = random.Random(accuracy)
+    rows = [(g, rng.choice([7.5, rng.gauss(0, 100), float(rng.randrange(5))])) for g in "aaaaaab" for _ in range(120)]
+    rows += [(None, 1.0), (None, 4.0), ("only nulls", None), ("a", None), ("one", -3.0)] + [("same", 2.0)] * 300
+    df = spark.createDataFrame(rows, "g string, `v v` double").repartition(5)
+    wanted = {"first": 0.0, "low": 0.13, "median": 0.5, "high": 0.987, "last": 1.0}
+    got = {r.g: tuple(r)[1:] for r in percentiles(df, ["g"], "v v", wanted, whole_group, accuracy).collect()}
+    for g in {r[0] for r in rows}:
+        values = [v for k, v in rows if k == g and v is not None]
+        expected = np.percentile(values, [100 * p for p in wanted.values()]) if values else [None] * 5
+        assert got[g] == (pytest.approx(tuple(expected)) if values else tuple(expected))
+    total = percentiles(df, [], "v v", {"median": 0.5}, whole_group, accuracy).collect()
+    assert [tuple(r) for r in total] == [(pytest.approx(np.median([v for _, v in rows if v is not None])),)]
+    assert [tuple(r) for r in percentiles(df.limit(0), [], "v v", {"median": 0.5}).collect()] == [(None,)]
+    assert percentiles(df.limit(0), ["g"], "v v", {"median": 0.5}).collect() == []
+
+
+def test_percentiles_count_rows_on_the_map_side(spark):
+    from stratum.operators import percentiles as module
+    df = spark.range(2000).selectExpr("'hot' as g", "id % 1000 as v")
+    assert percentiles(df, ["g"], "v", {"p": 0.25}, whole_group=10, accuracy=100).collect()[0].p == 249.75
+    rows = df.selectExpr("struct(g as k0) as __g", "v as __v")
+    plan = module._chosen(rows, module._bounds(rows, [0.25], 10, 100))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "collect_" not in plan
+    with pytest.raises(ValueError):
+        percentiles(df, ["g"], "v", {"p": 25})
