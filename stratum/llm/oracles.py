@@ -19,14 +19,14 @@ lines AS (
     FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS line FROM d) AS x
     WHERE len(regexp_extract_all(line, {WORDS})) > 0),
 twice AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
-often AS (SELECT source, k, count(DISTINCT t) AS n FROM lines WHERE n <= 40 GROUP BY source, k HAVING count(DISTINCT t) > 20),
+often AS (SELECT source, k, count(DISTINCT t) AS n FROM lines GROUP BY source, k HAVING count(DISTINCT t) > 20),
 hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
 above AS (
     SELECT often.source, often.k FROM often JOIN hosts ON often.source IS NOT DISTINCT FROM hosts.source
     WHERE often.n * 100 > hosts.n * 5),
 gone AS (
     SELECT r, sum(n) AS n FROM lines JOIN above ON lines.k = above.k AND lines.source IS NOT DISTINCT FROM above.source
-    WHERE n <= 40 GROUP BY r),
+    GROUP BY r),
 figures AS (
     SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(twice.n, 0) AS n_dup_lines,

@@ -22,9 +22,9 @@ def base_figures(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(hit), failed
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     words = WORD.findall((text or "").translate(LOWER))
-    return {tuple(words[i:i + 3]) for i in range(len(words) - 2)} or ({tuple(words)} if words else set())
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
 
 
 class Groups:
@@ -42,14 +42,14 @@ class Groups:
         self.parent[max(a, b)] = min(a, b)
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, size=3, percent=85):
     """{doc_id: (set size, smallest id of the component)} for unique ids."""
     sets, holders, groups = {}, defaultdict(list), Groups([i for i, _ in docs])
     for i, text in docs:
-        sets[i] = shingle_set(text)
+        sets[i] = shingle_set(text, size)
         shared = Counter(j for gram in sets[i] for j in holders[gram])
         for j, n in shared.items():
-            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+            if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
                 groups.tie(i, j)
         for gram in sets[i]:
             holders[gram].append(i)

@@ -1,5 +1,7 @@
 """The pipeline's stages on a small table, each judged on its own input."""
 
+import random
+
 import corpus_pipeline
 import brute
 from stratum.llm.queries import QUERIES
@@ -27,7 +29,7 @@ def test_stages(spark, tmp_path):
         left = "\n".join(x for at, x in enumerate(r.text.split("\n")) if at not in gone[i])
         assert after[i].text == left if brute.WORD.search(left) or not gone[i] else i not in after
     before, after = found["near-duplicates"]
-    marks = brute.near_duplicates([(i, r.text) for i, r in before.items()])
+    marks = brute.near_duplicates([(i, r.text) for i, r in before.items()], 5, 80)
     assert set(after) == {i for i, (_, c) in marks.items() if i == c}
     before, after = found["benchmark decontamination"]
     hits = brute.contamination([(i, r.text) for i, r in before.items()], items)
@@ -49,5 +51,26 @@ def test_near_copies_with_an_added_block_go(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()) == [1, 3, 4]
 
 
+def test_near_duplicates_at_the_stage_s_threshold(spark):
+    """Copies on both sides of 80% of five-word shingles: every link is found, and none that is not there."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(40):
+        words = ["".join(rng.choice("abcdeginorst") for _ in range(6)) for _ in range(rng.randint(60, 200))]
+        texts.append(words)
+        for _ in range(5):
+            copy = list(words)
+            at, n = rng.randrange(len(words) // 2), rng.randint(1, len(words) // 5)
+            copy[at:at + rng.choice([0, n])] = ["".join(rng.choice("uvwxyz") for _ in range(6)) for _ in range(n)]
+            texts.append(copy)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    marks, others = brute.near_duplicates(rows, 5, 80), brute.near_duplicates(rows)
+    wanted = {i for i, (_, c) in marks.items() if i == c}
+    assert wanted != {i for i, (_, c) in others.items() if i == c} and 45 < len(wanted) < 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()}
+    assert kept == wanted
+
+
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
