@@ -414,15 +414,18 @@ def with_deletion_columns(target: DataFrame, flag: str = "is_deleted", stamp: st
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
-                  hash_column: str | None = None) -> DataFrame:
+                  hash_column: str | None = None, keep_before: bool = False) -> DataFrame:
     """Rows inserted, updated or deleted between two snapshots with unique keys (NULL is a key). A
     repeated key fails the job.
 
     Deleted rows carry the old values, the others the new ones, plus a ``change`` column. Columns are
     those of ``after``; one that ``before`` lacks counts as NULL there. With
     ``hash_column`` two rows are equal if their stored fingerprints are; otherwise all columns are
-    compared, NULLs included.
+    compared, NULLs included. ``keep_before`` adds the whole old row as the struct ``before``, which
+    ``changes_composed`` needs.
     """
+    if keep_before and hash_column:
+        raise ValueError("rows compared by hash have no old row at hand")
     for field in after.schema.fields:
         if field.name not in before.columns:
             before = before.withColumn(field.name, F.lit(None).cast(field.dataType))
@@ -434,9 +437,33 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
     compared = [c for c in columns if c not in keys]
     change = _change([F.col("old")[c].eqNullSafe(F.col("new")[c]) for c in compared])
     return (
-        joined.select(change.alias("change"), F.coalesce("new", "old").alias("row"))
+        joined.select(change.alias("change"), F.coalesce("new", "old").alias("row"), F.col("old").alias("before"))
         .where("change IS NOT NULL")
-        .select("change", *[F.col("row")[c].alias(c) for c in columns])
+        .select("change", *[F.col("row")[c].alias(c) for c in columns], *(["before"] if keep_before else []))
+    )
+
+
+def changes_composed(changes: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """The net change of each key over several consecutive differences, numbered in the column ``version``.
+
+    ``changes`` is the union of differences with their old rows (``snapshot_diff`` with ``keep_before``), one row per
+    key and version. What was inserted and deleted again cancels, chains fold into one change from the first old row to
+    the last new one, and a row that is as it was drops out: the result is the difference of the first and the last
+    snapshot. One aggregate that combines on the map side: a key's versions are never brought together as a list.
+    """
+    columns = [c for c in changes.columns if c not in ("change", "before", version)]
+    row = F.when(ref("change") != "delete", F.struct(refs(columns)))
+    # The values are wrapped, because a missing row must not be skipped in favour of another version's.
+    folded = changes.groupBy(F.struct(refs(keys)).alias(_KEY)).agg(
+        F.min_by(F.struct(ref("before").alias("row")), ref(version))["row"].alias("old"),
+        F.max_by(F.struct(row.alias("row")), ref(version))["row"].alias("new"))
+    compared = [c for c in columns if c not in keys]
+    same = [F.col("old")[c].eqNullSafe(F.col("new")[c]) for c in compared]
+    change = F.when(F.col("old").isNull() & F.col("new").isNull(), F.lit(None)).otherwise(_change(same))
+    return (
+        folded.select(change.alias("change"), F.coalesce("new", "old").alias("row"), F.col("old").alias("before"))
+        .where("change IS NOT NULL")
+        .select("change", *[F.col("row")[c].alias(c) for c in columns], "before")
     )
 
 

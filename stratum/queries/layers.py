@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.aggregate import aggregated
 from stratum.operators.columns import RunInfo
+from stratum.plans.incremental_gold import refreshed
 from stratum.plans.runs import run
 from stratum.queries import query, table
 from stratum.queries.fixtures import AS_OF, RUN, folder, fresh_table, write_parts
@@ -276,3 +277,23 @@ def bronze_corrupt_records(spark, sf):
     }), RUN, AS_OF)
     return spark.table(name).selectExpr("'good' as part", "cast(event_id as string) as value").unionByName(
         spark.table(f"{name}_corrupt").selectExpr("'corrupt' as part", "_corrupt_record as value"))
+
+
+@query("""
+    SELECT event_type, count(*) AS events, CAST(sum(user_id) AS BIGINT) AS users, min(event_id) AS first_event, max(value) AS largest,
+           round(avg(event_id), 6) AS mean_event
+    FROM events GROUP BY event_type
+""")
+def gold_incremental(spark, sf):
+    """Three loads, each merged into the kept states by itself; the last run finds nothing to do."""
+    name, base = fresh_table("gold"), folder(spark, "gold")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    metrics = [{"name": "events", "function": "count"}, {"name": "users", "function": "sum", "of": "user_id"},
+               {"name": "first_event", "function": "min", "of": "event_id"}, {"name": "largest", "function": "max", "of": "value"},
+               {"name": "mean_event", "function": "avg", "of": "event_id"}]
+    for n in range(3):
+        load = events.where(F.col("event_id") % 3 == n).withColumn("run_id", F.lit(f"run-{n}"))
+        tables.append(load, f"{name}_raw", ["run_id"], f"{base}/raw")
+        assert refreshed(spark, f"{name}_raw", "run_id", name, ["event_type"], metrics, f"{base}/gold") == [f"run-{n}"]
+    assert refreshed(spark, f"{name}_raw", "run_id", name, ["event_type"], metrics, f"{base}/gold") == []
+    return spark.table(name).withColumn("mean_event", F.round("mean_event", 6))

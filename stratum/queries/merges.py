@@ -2,7 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from stratum.operators.upsert import ambiguous_matches, diff_applied, snapshot_applied, snapshot_diff, upserted
+from stratum.operators.upsert import (
+    ambiguous_matches,
+    changes_composed,
+    diff_applied,
+    snapshot_applied,
+    snapshot_diff,
+    upserted,
+)
 from stratum.plans.runs import run
 from stratum.queries import query, table
 from stratum.queries.fixtures import RUN, folder, fresh_table
@@ -232,3 +239,28 @@ def merge_hot_condition(spark, sf):
     tables.merge(source, name, ["o_orderstatus"], update={"state": "src.state"}, insert={},
                  update_condition="tgt.o_orderkey < src.until")
     return spark.table(name)
+
+
+@query("""
+    WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0),
+    c AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+                 CASE WHEN o_orderkey % 7 IN (1, 2) THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice
+          FROM orders WHERE o_orderkey % 3 <> 0)
+    SELECT CASE WHEN a.o_orderkey IS NULL THEN 'insert' WHEN c.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change,
+           coalesce(c.o_orderkey, a.o_orderkey) AS o_orderkey,
+           CASE WHEN c.o_orderkey IS NULL THEN a.o_totalprice ELSE c.o_totalprice END AS o_totalprice,
+           a.o_totalprice AS old_price
+    FROM a FULL JOIN c ON a.o_orderkey = c.o_orderkey
+    WHERE a.o_orderkey IS NULL OR c.o_orderkey IS NULL OR a.o_totalprice <> c.o_totalprice
+""")
+def change_feed_composed(spark, sf):
+    """Three snapshots, two differences, one net change per key: some rows come and go, some change twice or back."""
+    orders = _orders(spark, sf)
+    price, key = F.col("o_totalprice"), F.col("o_orderkey")
+    first = orders.where(key % 5 != 0)
+    middle = orders.where(key % 4 != 0).withColumn("o_totalprice", F.when(key % 7 < 4, price + 1).otherwise(price))
+    last = orders.where(key % 3 != 0).withColumn("o_totalprice", F.when((key % 7).isin(1, 2), price + 2).otherwise(price))
+    feeds = [snapshot_diff(a, b, ["o_orderkey"], keep_before=True).withColumn("version", F.lit(n))
+             for n, (a, b) in enumerate(((first, middle), (middle, last)))]
+    net = changes_composed(feeds[0].unionByName(feeds[1]), ["o_orderkey"], "version")
+    return net.select("change", "o_orderkey", "o_totalprice", F.col("before.o_totalprice").alias("old_price"))

@@ -3,6 +3,7 @@ import os
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.operators.columns import RunInfo
 from stratum.plans.frames import bronze_frame, extracted
@@ -315,3 +316,30 @@ def test_a_run_removes_what_it_staged(spark, name):
     run(spark, silver(f"{name}_in", name, destination={"table": name, "mode": "merge", "primary_keys": ["k"]}), INFO)
     assert spark.table(name).count() == 2 and spark.table(f"{name}_e").count() == 1
     assert set(os.listdir(base)) == before
+
+
+def test_incremental_gold_reads_new_loads_only(spark, tmp_path):
+    from stratum.operators.states import states
+    from stratum.plans.incremental_gold import _of_loads, refreshed
+    metrics = [{"name": "n", "function": "count"}, {"name": "total", "function": "sum", "of": "v"},
+               {"name": "kinds", "function": "approx_distinct", "of": "v"}, {"name": "mean", "function": "avg", "of": "v"}]
+    raw, gold = "loads_of_gold", "gold_of_loads"
+    seen = []
+    for load in ("a/b=1+2 é", None, "c"):
+        rows = [(g, v) for g in ("x", None) for v in (1, 2, None)] + ([("new", 7)] if load == "c" else [])
+        df = spark.createDataFrame(rows, "g string, v int").selectExpr("*", f"cast({load!r} as string) as load" if load else "cast(null as string) as load")
+        tables.append(df, raw, ["load"], f"{tmp_path}/raw")
+        assert refreshed(spark, raw, "load", gold, ["g"], metrics, f"{tmp_path}/gold") == [load or ""]
+        assert refreshed(spark, raw, "load", gold, ["g"], metrics, f"{tmp_path}/gold") == []
+        seen.append(load)
+        again = spark.table(raw).groupBy("g").agg(
+            *(F.expr(e) for e in ("count(*)", "sum(v)", "approx_count_distinct(v)", "avg(v)")))
+        assert sorted(map(repr, map(tuple, spark.table(gold).collect()))) == sorted(map(repr, map(tuple, again.collect())))
+    plan = states(_of_loads(spark.table(raw), "load", ["c"]), ["g"], metrics)._jdf.queryExecution().executedPlan().toString()
+    assert "load" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    spark.sql(f"DROP TABLE {gold}")  # as if a run had ended before the target was written
+    assert refreshed(spark, raw, "load", gold, ["g"], metrics, f"{tmp_path}/gold") == [] and spark.table(gold).count() == 3
+    with pytest.raises(ValueError, match="not partitioned"):
+        refreshed(spark, gold, "g", "other", ["g"], metrics)
+    with pytest.raises(ValueError, match="mergeable"):
+        states(spark.table(raw), ["g"], [{"name": "m", "function": "median", "of": "v"}])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratum.operators.upsert import (
     Match,
     ambiguous_matches,
+    changes_composed,
     diff_applied,
     repeated_keys,
     snapshot_applied,
@@ -253,3 +254,20 @@ def test_a_hot_key_with_a_condition_needs_no_pairs(spark, tmp_path):
     twice = spark.range(n).selectExpr("'hot' as k", "if(id < 2, 3000000, id) as at", "'newer' as v")
     with pytest.raises(tables.AmbiguousMerge):
         tables.merge(twice, "hot_key", ["k"], update_condition="src.at > tgt.at")
+
+
+SNAPSHOT = st.dictionaries(st.sampled_from([None, 1, 2, 3]), st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, "x"])), max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(SNAPSHOT, min_size=3, max_size=4))
+def test_composed_changes_are_those_of_the_ends(spark, snapshots):
+    frames = [frame(spark, [(k, v, s) for k, (v, s) in snapshot.items()]) for snapshot in snapshots]
+    feeds = [snapshot_diff(a, b, ["k"], keep_before=True).withColumn("at", F.lit(n)) for n, (a, b) in enumerate(zip(frames, frames[1:]))]
+    every = feeds[0]
+    for feed in feeds[1:]:
+        every = every.unionByName(feed)
+    net = changes_composed(every, ["k"], "at")
+    wanted = snapshot_diff(frames[0], frames[-1], ["k"], keep_before=True)
+    assert sorted(map(str, net.collect())) == sorted(map(str, wanted.collect()))
+    assert sorted(map(str, diff_applied(frames[0], net.drop("before"), ["k"]).collect())) == sorted(map(str, frames[-1].collect()))
