@@ -29,6 +29,7 @@ from stratum.plans.frames import bronze_frame, extracted, gold_frame, gold_selec
 from stratum.quoting import quoted, ref
 from stratum.scratch import released, staged
 from stratum.sinks import tables
+from stratum.sinks.clustering import clustered
 from stratum.sources.files import CORRUPT, corrupt_records, good_records
 from stratum.sources.listing import FileRef, files_frame
 from stratum.spec import PipelineSpec, TargetSpec
@@ -198,6 +199,8 @@ def _run_gold(spark, spec, info, started, as_of) -> RunResult:
 
 def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.datetime) -> None:
     """Write by mode. A frame that is read several times here (``_read_again``) comes staged."""
+    if target.cluster_by:
+        df = clustered(df, target.cluster_by)
     if target.mode == "merge":
         prepare_merge(df, target)
         if target.soft_deletes:
@@ -217,7 +220,7 @@ def _write(spark: SparkSession, df: DataFrame, target: TargetSpec, started: dt.d
 
 def _read_again(target: TargetSpec) -> bool:
     """Whether writing takes more than one action. Observations count the first one, so it must be the staging."""
-    return target.mode == "merge" or (target.mode == "append" and target.empty_result == "fail")
+    return target.mode == "merge" or bool(target.cluster_by) or (target.mode == "append" and target.empty_result == "fail")
 
 
 def prepare_merge(df: DataFrame, target: TargetSpec) -> None:

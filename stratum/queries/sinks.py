@@ -7,6 +7,7 @@ from stratum.operators.aggregate import rows_per_file
 from stratum.queries import query, table
 from stratum.queries.fixtures import folder, fresh_table
 from stratum.sinks import tables
+from stratum.sinks.clustering import clustered
 
 
 @query("""
@@ -72,3 +73,17 @@ def log_level_counts_by_run(spark, sf):
         """ts || ' - ' || case event_type when 'error' then 'ERROR' when 'view' then 'WARNING' else 'INFO' end
            || ' - shop.' || event_type || ':handle() - value - ' || value as code_message""")
     return log_level_counts(lines)
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_shipdate::VARCHAR AS l_shipdate FROM lineitem
+    WHERE l_partkey < (SELECT max(p_partkey) / 10 FROM part) OR l_shipdate < TIMESTAMP '1993-01-01'
+""")
+def clustered_write(spark, sf):
+    """Lines ordered by part and day together, read back by either."""
+    name = fresh_table("clustered")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate")
+    tables.create(clustered(lines, ["l_partkey", "l_shipdate"]), name, location=folder(spark, name))
+    limit = table(spark, sf, "part").agg((F.max("p_partkey") / 10).alias("part")).first().part
+    found = spark.table(name).where((F.col("l_partkey") < limit) | (F.col("l_shipdate") < F.expr("timestamp_ntz '1993-01-01'")))
+    return found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))

@@ -27,7 +27,7 @@ TRANSFORM_SETTINGS = ("with_columns on_column_error standardize casts on_cast_er
                       "replace_in_names all_to_string select drop deduplicate hash_mode hash_all_columns")
 STANDARDIZE_SETTINGS = "rename_map case trim_strings strip_whitespace lowercase uppercase"
 TARGET_SETTINGS = ("table target name mode write_mode primary_keys merge_condition update insert update_condition "
-                   "enable_soft_deletes schema_evolution corrupt_record partition_by buckets location materialization "
+                   "enable_soft_deletes schema_evolution corrupt_record partition_by buckets cluster_by location materialization "
                    "empty_result aggregations")
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("append", "overwrite", "merge")
@@ -204,6 +204,8 @@ class TargetSpec:
     partition_by: tuple[str, ...] = ()
     #: files a table is dealt into by its merge keys when it is created, so that merges need not shuffle it
     buckets: int = 0
+    #: columns whose interleaved bits order the rows of an append or overwrite
+    cluster_by: tuple[str, ...] = ()
     location: str | None = None
     materialization: str = "table"
     empty_result: str = "write"
@@ -225,6 +227,8 @@ class TargetSpec:
             raise ValueError("destination: soft deletes need mode merge and primary_keys")
         if entry.get("buckets") and not (mode == "merge" and keys):
             raise ValueError("destination: buckets need mode merge and primary_keys")
+        if entry.get("cluster_by") and mode == "merge":
+            raise ValueError("destination: cluster_by is for append and overwrite")
         own = entry.get("aggregations")
         return cls(
             table=table,
@@ -240,6 +244,7 @@ class TargetSpec:
             corrupt_record=entry.get("corrupt_record"),
             partition_by=tuple(entry.get("partition_by") or ()),
             buckets=int(entry.get("buckets") or 0),
+            cluster_by=tuple(entry.get("cluster_by") or ()),
             location=entry.get("location"),
             materialization=_one_of(entry.get("materialization") or "table", MATERIALIZATIONS, "materialization"),
             empty_result=_one_of(entry.get("empty_result") or "write", EMPTY_RESULTS, "empty_result"),

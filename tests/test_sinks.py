@@ -281,3 +281,39 @@ def test_first_copies_and_skipped_versions_go(spark, tmp_path):
     assert len(list(tmp_path.iterdir())) == 2
     assert tables.drop_old_versions(spark, name, dt.timedelta(0)) == [name]
     assert len(list(tmp_path.iterdir())) == 1 and [r.k for r in spark.table(name).collect()] == [1]
+
+
+def test_clustered_rows_let_filters_skip_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from stratum.sinks.clustering import clustered
+    df = spark.range(40_000).selectExpr(
+        "id % 200 as a", "cast(hash(id) % 1000 as double) as b", "if(id % 50 = 0, null, concat('s', hash(id, 1) % 100)) as s",
+        "date_add(date'2020-01-01', cast(id % 300 as int)) as d", "id as `the id`")
+    ordered = clustered(df, ["a", "b"], bits=6)
+    assert ordered.columns == df.columns and ordered.exceptAll(df).count() == 0 and ordered.count() == 40_000
+    ordered.write.option("parquet.block.size", 16 * 1024).parquet(f"{tmp_path}/z")
+    limits = []
+    for file in (tmp_path / "z").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            limits.append([(c.statistics.min, c.statistics.max) for c in (meta.row_group(g).column(i) for i in (0, 1))])
+    assert len(limits) >= 8
+    for column, value in ((0, 17), (1, 100.0)):
+        assert sum(low <= value <= high for low, high in (limit[column] for limit in limits)) <= 0.7 * len(limits)
+    assert clustered(df, ["s", "d", "the id"]).count() == 40_000 and clustered(df.limit(0), ["a"]).count() == 0
+    with pytest.raises(ValueError):
+        clustered(df.withColumn("m", F.create_map("a", "b")), ["m"])
+
+
+def test_clustering_by_spec(spark, tmp_path):
+    from stratum.operators.columns import RunInfo
+    from stratum.plans.runs import run
+    from stratum.spec import PipelineSpec
+    spark.range(100).selectExpr("id as k", "id % 3 as v").write.saveAsTable("cluster_source")
+    spec = {"pipeline_metadata": {"name": "c", "layer": "silver"},
+            "source": {"type": "table", "properties": {"table": "cluster_source"}},
+            "destination": {"table": "cluster_target", "mode": "overwrite", "cluster_by": ["v", "k"], "location": f"{tmp_path}/t"}}
+    assert run(spark, PipelineSpec.of(spec), RunInfo()).rows == 100 and spark.table("cluster_target").count() == 100
+    spec["destination"] |= {"mode": "merge", "primary_keys": ["k"]}
+    with pytest.raises(ValueError, match="cluster_by"):
+        PipelineSpec.of(spec)
