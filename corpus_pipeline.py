@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in the shared
 folder and reads it back as the next stage's ``docs``.
+
+Every stage keeps the columns it got, whatever their names, gives an empty table for an empty one, and looks at all rows
+and whole texts. A NULL text counts as one without words, a NULL source as a source of its own.
 """
 
 from __future__ import annotations
@@ -14,27 +17,43 @@ from stratum.scratch import staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without the lines that too many documents of their source hold."""
+    """Documents that pass the quality rules, without the lines that too many documents of their source hold.
+
+    Documents of fewer than 20 words go, those without text among them. Repeated rows are judged alike.
+    """
     return line_frequency.filtered(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only the first of lines that are at most a few edits apart; documents left without a word go."""
+    """Only the first of lines that are at most a few edits apart; documents left without a word go.
+
+    First is the line of the smallest document id, then place; rows without text stay as they are.
+    """
     return segment_join.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 80% of the five-word shingles in common."""
+    """One document of each group of near-duplicates: 80% of the five-word shingles in common.
+
+    It is the one with the smallest id. Documents without words are like no other and stay. Rows that repeat an id and
+    text stay or go together.
+    """
     return tensored_minhash.deduplicated(docs, tensored_minhash.Settings(shingle=5, threshold_percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no large part of a benchmark item."""
+    """Documents that hold no large part of a benchmark item.
+
+    Documents without words hold none and stay; items without text are none.
+    """
     return positional_index.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with the words it takes of each (copies counted)."""
+    """The documents the mix takes, with the words it takes of each (copies counted).
+
+    Documents without words are never taken. Rows that repeat an id and text share one place in the order.
+    """
     return pareto_mix.mixed(docs).filter("taken > 0")
 
 

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from stratum.functions.hashing import detokenized, token_table, with_row_hash, with_token
+from stratum.functions.formats import format_preserved, format_restored
+from stratum.functions.hashing import detokenized, token, token_table, with_row_hash, with_token
 from stratum.functions.privacy import decrypted, encrypted, masked, missing_masks, publish_masked_view
+from stratum.plans.vault import vaulted
 from stratum.queries import query, table
 from stratum.queries.fixtures import folder, fresh_table
 from stratum.sinks import tables
@@ -137,3 +139,32 @@ def mask_typed(spark, sf):
     result = masked(customers, [{"column": c, "policy": "mask_null"} for c in ("c_nationkey", "c_acctbal")])
     assert result.dtypes == customers.dtypes
     return result
+
+
+@query("""
+    SELECT c_custkey, c_name, regexp_replace(c_name, '[0-9]', '9', 'g') AS format, TRUE AS differs FROM customer
+""")
+def mask_format_preserving(spark, sf):
+    """Names with other letters and digits in the same places, and back."""
+    names = table(spark, sf, "customer").select("c_custkey", "c_name")
+    hidden = names.withColumn("hidden", format_preserved(F.col("c_name"), "pepper"))
+    assert hidden.select("hidden").distinct().count() == names.select("c_name").distinct().count()
+    same_letters = F.regexp_replace("c_name", "[0-9]", "9")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("hidden", "[0-9]", "9"), "[a-z]", "x"), "[A-Z]", "X")
+    own = F.regexp_replace(F.regexp_replace(same_letters, "[a-z]", "x"), "[A-Z]", "X")
+    return hidden.select("c_custkey", format_restored(F.col("hidden"), "pepper").alias("c_name"),
+                         F.when(shape == own, same_letters).alias("format"), (F.col("hidden") != F.col("c_name")).alias("differs"))
+
+
+@query("""
+    SELECT c_custkey, c_mktsegment || c_nationkey AS who, sha256(c_mktsegment || c_nationkey || CASE WHEN c_mktsegment || c_nationkey IN (
+        SELECT c_mktsegment || c_nationkey FROM customer WHERE c_custkey < (SELECT max(c_custkey) / 4 FROM customer))
+        THEN 'old' ELSE 'new' END) AS who_token FROM customer
+""")
+def token_vault_second_run(spark, sf):
+    """The second run has another salt: values of the first keep their tokens, new ones get new tokens."""
+    name = fresh_table("vault")
+    customers = table(spark, sf, "customer").selectExpr("c_custkey", "c_mktsegment || c_nationkey as who")
+    quarter = customers.agg((F.max("c_custkey") / 4).alias("q")).first().q
+    vaulted(customers.where(F.col("c_custkey") < quarter), "who", name, token("who", "old"), "run-1", folder(spark, name))
+    return vaulted(customers, "who", name, token("who", "new"), "run-2")

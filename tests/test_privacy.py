@@ -1,6 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
+from stratum.functions.formats import format_preserved, format_restored
+from stratum.functions.hashing import token
 from stratum.functions.privacy import decrypted, encrypted, masked, missing_masks
+from stratum.plans.vault import TokenCollision, vaulted
 
 KEY = "k" * 32
 
@@ -35,3 +39,36 @@ def test_missing_masks_compare_the_last_name_part(spark):
     registered = spark.createDataFrame([("a", "mask_text"), ("b", "mask_text"), ("c", "mask_hash")], "column string, policy string")
     applied = spark.createDataFrame([("a", "main.sec.mask_text"), ("b", "main.sec.mask_hash")], "column string, mask_name string")
     assert sorted(r["column"] for r in missing_masks(registered, applied).collect()) == ["b", "c"]
+
+
+def test_format_preserving_tokens(spark):
+    texts = ["", "7", "q", "Ab-12", "+49 30 1234567", "É é 1", "ZZZ zzz", "0" * 36, "a" * 26, "000", "001", "010", None, "x" * 13 + "9" * 19]
+    texts += [f"{n:03}" for n in range(1000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", format_preserved(F.col("t"), "k1").alias("a"), format_preserved(F.col("t"), "k2").alias("b"))
+    rows = rows.withColumn("back", format_restored(F.col("a"), F.lit("k1"))).collect()
+    kinds = str.maketrans({**{c: "9" for c in "0123456789"}, **{c: "x" for c in "abcdefghijklmnopqrstuvwxyz"},
+                           **{c: "X" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}})
+    for r in rows:
+        assert r.back == r.t and (r.t is None or r.a.translate(kinds) == r.t.translate(kinds))
+    three = [r for r in rows[-1000:]]
+    assert len({r.a for r in three}) == 1000 and sum(r.a == r.t for r in three) < 20 and sum(r.a == r.b for r in three) < 20
+    with pytest.raises(Exception, match="no token of this format"):
+        spark.createDataFrame([("1" * 37,)], "t string").select(format_preserved(F.col("t"), "k")).collect()
+
+
+def test_vault_keeps_tokens_and_refuses_collisions(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "v string, n int")
+    first = vaulted(df, "v", "vault_t", token("v", "s1"), "r1", f"{tmp_path}/vault")
+    tokens = {r.n: r.v_token for r in first.collect()}
+    assert tokens[1] == tokens[3] != tokens[2] and tokens[4] is None and first.columns == ["v", "n", "v_token"]
+    more = spark.createDataFrame([("a", 1), ("c", 5)], "v string, n int")
+    second = {r.n: r.v_token for r in vaulted(more, "v", "vault_t", token("v", "s2"), "r2").collect()}
+    assert second[1] == tokens[1] and spark.table("vault_t").count() == 3
+    with pytest.raises(TokenCollision):
+        vaulted(spark.createDataFrame([("d",), ("e",)], "v string"), "v", "vault_t", F.lit("same"), "r3")
+    with pytest.raises(TokenCollision):
+        vaulted(spark.createDataFrame([("d",)], "v string"), "v", "vault_t", F.lit(tokens[1]), "r3")
+    assert spark.table("vault_t").count() == 3
+    vaulted(more, "v", "vault_t", token("v", "s9"), "r4")
+    assert spark.table("vault_t").count() == 3
