@@ -122,18 +122,23 @@ def csv_auto_without_numbered_file(spark, sf):
 
 
 @query("""
-    SELECT CASE WHEN o_orderstatus = 'F' THEN 'head' ELSE 'bare' END AS file_name, TRUE AS found FROM orders
-    GROUP BY 1
+    SELECT CASE WHEN o_orderstatus = 'F' THEN 'head' ELSE 'bare' END AS file_name, TRUE AS found, count(*) AS rows,
+           CAST(sum(o_custkey) AS BIGINT) AS customers
+    FROM orders GROUP BY 1
 """)
 def file_discovery(spark, sf):
+    """Discovered files joined with the rows read from them; files of another extension are not listed."""
     path = folder(spark, "files")
     orders = _orders(spark, sf)
     write_parts(orders.where("o_orderstatus = 'F'"), path, "head", ".csv", header=True)
     write_parts(orders.where("o_orderstatus <> 'F'"), path, "bare", ".csv", header=True)
     write_parts(orders, path, "other", ".txt", header=True)
-    found = files_frame(spark, files_in(spark, path, ".csv"))
+    files = files_in(spark, path, ".csv")
+    read, _ = scan_folder(spark, path, "csv", {}, ".csv", header_mode="all_header")
+    found = files_frame(spark, files).join(read, "file_name", "left")
     names = F.regexp_extract("file_name", "^([a-z]+)", 1).alias("file_name")
-    return found.groupBy(names).agg((F.count("*") > 0).alias("found"))
+    return found.groupBy(names).agg((F.countDistinct("path") > 0).alias("found"), F.count("o_orderkey").alias("rows"),
+                                    F.sum(F.col("o_custkey").cast("bigint")).alias("customers"))
 
 
 @query("""
@@ -302,3 +307,36 @@ def csv_split_corrupt(spark, sf):
     good = good_records(df).select(F.lit("good").alias("kind"), "o_orderkey", F.lit(None).cast("string").alias("record"), kind)
     return good.unionByName(corrupt_records(df).select(
         F.lit("corrupt").alias("kind"), F.lit(None).cast("bigint").alias("o_orderkey"), F.col("_corrupt_record").alias("record"), kind))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate::VARCHAR AS o_orderdate FROM orders")
+def xml_scan(spark, sf):
+    """All columns of orders as XML elements, read by a schema with date and time."""
+    path = folder(spark, "xml")
+    orders = table(spark, sf, "orders")
+    orders.write.format("xml").option("rowTag", "order").option("rootTag", "orders").save(path)
+    read, _ = scan_folder(spark, path, "xml", {"rowTag": "order"}, schema=orders.schema)
+    return read.drop("file_name").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate::VARCHAR AS o_orderdate FROM orders")
+def text_scan(spark, sf):
+    """All columns of orders as lines of text, taken apart by expressions."""
+    path = folder(spark, "text")
+    orders = table(spark, sf, "orders")
+    orders.select(F.concat_ws("|", *[F.col(c).cast("string") for c in orders.columns]).alias("value")).write.text(path)
+    read, _ = scan_folder(spark, path, "text")
+    fields = F.split("value", "[|]")
+    return read.select([fields[i].cast(f.dataType).alias(f.name) for i, f in enumerate(orders.schema.fields)]).withColumn(
+        "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("SELECT CAST(sum(length(s_name) + 1) AS BIGINT) AS bytes, count(*) AS line_ends, TRUE AS named FROM supplier")
+def binary_scan(spark, sf):
+    """Whole files as bytes, with their names."""
+    path = folder(spark, "binary")
+    table(spark, sf, "supplier").select(F.col("s_name").alias("value")).write.text(path)
+    read, _ = scan_folder(spark, path, "binaryFile", extension=".txt")
+    ends = F.length("content") - F.length(F.replace(F.decode("content", "UTF-8"), F.lit("\n"), F.lit("")))
+    return read.agg(F.sum("length").alias("bytes"), F.sum(ends).cast("bigint").alias("line_ends"),
+                    F.bool_and(F.col("file_name").startswith("part-")).alias("named"))
