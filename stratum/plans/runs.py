@@ -151,7 +151,16 @@ def _run_silver(spark, spec, info, started, as_of) -> RunResult:
     return RunResult("success", counted.get["rows"], failing)
 
 
-def checked_batch(frame: DataFrame, spec: PipelineSpec, info: RunInfo) -> DataFrame:
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: its name, in the column of that name wherever it is recorded, and whether it was begun before."""
+
+    name: str
+    column: str
+    replayed: bool = False
+
+
+def checked_batch(frame: DataFrame, spec: PipelineSpec, info: RunInfo, batch: Batch | None = None) -> DataFrame:
     """Apply the rules to one written-out batch: record what fails, return the rows to load."""
     rules = list(spec.rules)
     if not rules:
@@ -160,11 +169,11 @@ def checked_batch(frame: DataFrame, spec: PipelineSpec, info: RunInfo) -> DataFr
     checked = quality.annotated(frame, rules)
     failing = quality.quarantined(checked)
     if not failing.isEmpty():
-        record_failures(spec, info, failing)
+        record_failures(spec, info, failing, batch)
     return quality.passed(checked) if spec.on_fail == "drop" else frame
 
 
-def record_failures(spec: PipelineSpec, info: RunInfo, failing: DataFrame) -> None:
+def record_failures(spec: PipelineSpec, info: RunInfo, failing: DataFrame, batch: Batch | None = None) -> None:
     """Exception rows and summary, both from the failing rows written out once."""
     audit, table, names = spec.audit, spec.target.table, spec.lineage
     if not (audit.exceptions or audit.summary):
@@ -172,10 +181,31 @@ def record_failures(spec: PipelineSpec, info: RunInfo, failing: DataFrame) -> No
     failing = staged(failing, "failing-rows")
     if audit.exceptions:
         rows = quality.exception_rows(failing, table, info, names)
-        tables.append(rows, audit.exceptions, location=_beside(audit, audit.exceptions))
+        _record(rows, audit, audit.exceptions, batch)
     if audit.summary:
         rows = quality.failure_summary(failing, table, info, list(spec.rules), names)
-        tables.append(rows, audit.summary, location=_beside(audit, audit.summary))
+        _record(rows, audit, audit.summary, batch)
+
+
+def _record(rows: DataFrame, audit, table: str, batch: Batch | None) -> None:
+    """Append to an audit table; what a replayed batch has recorded already is left as it is."""
+    spark = rows.sparkSession
+    if batch:
+        rows = rows.withColumn(batch.column, F.lit(batch.name))
+        if batch.replayed and spark.catalog.tableExists(table):
+            known = spark.table(table)
+            if batch.column in known.columns and not known.where(ref(batch.column) == batch.name).isEmpty():
+                return
+    tables.append(rows, table, location=_beside(audit, table))
+
+
+def record_batch_history(spec: PipelineSpec, started: dt.datetime, read: DataFrame, loaded: DataFrame, batch: Batch) -> None:
+    """A row for each file of a batch: the rows read from it, and those found in the target."""
+    key = spec.lineage.path or spec.lineage.file
+    counts = reconciled(rows_per_file(read, key, "records_total"), rows_per_file(loaded, key, "records_succeeded"))
+    history = counts.select("source_name", *_history_columns(
+        spec, started, ref("records_total"), ref("records_succeeded"), ref("load_status")))
+    _record(staged(history, "file-history"), spec.audit, spec.audit.load_history, batch)
 
 
 def _run_gold(spark, spec, info, started, as_of) -> RunResult:

@@ -10,7 +10,7 @@ from stratum.queries import query, table
 from stratum.queries.fixtures import AS_OF, RUN, folder, fresh_table, write_parts
 from stratum.sinks import tables
 from stratum.spec import PipelineSpec
-from stratum.streaming.incremental import append_batches, drain, new_files, run_incremental
+from stratum.streaming.incremental import append_batches, compacted, drain, new_files, run_incremental
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -297,3 +297,22 @@ def gold_incremental(spark, sf):
         assert refreshed(spark, f"{name}_raw", "run_id", name, ["event_type"], metrics, f"{base}/gold") == [f"run-{n}"]
     assert refreshed(spark, f"{name}_raw", "run_id", name, ["event_type"], metrics, f"{base}/gold") == []
     return spark.table(name).withColumn("mean_event", F.round("mean_event", 6))
+
+
+@query("""
+    SELECT event_id, event_type, CAST(ts AS DATE)::VARCHAR AS day, 1 AS times FROM events
+    UNION ALL SELECT -1, 'days', count(DISTINCT CAST(ts AS DATE))::VARCHAR, 1 FROM events
+""")
+def incremental_compacted(spark, sf):
+    """Two runs over a growing folder, each followed by a compaction of its batches into days; the third finds nothing."""
+    base = folder(spark, "days")
+    events = table(spark, sf, "events")
+    for condition in ("event_type <> 'view'", "event_type = 'view'"):
+        events.where(condition).write.mode("append").parquet(f"{base}/in")
+        drain(new_files(spark, f"{base}/in", "parquet", EVENT_SCHEMA), f"{base}/checkpoint", append_batches(f"{base}/out"))
+        assert compacted(spark, f"{base}/out", "ts", f"{base}/days") >= 1
+    assert compacted(spark, f"{base}/out", "ts", f"{base}/days") == 0
+    days = spark.read.parquet(f"{base}/days").withColumn("day", F.col("ingest_day").cast("string"))
+    rows = days.groupBy("event_id", "event_type", "day").agg(F.count("*").cast("int").alias("times"))
+    return rows.unionByName(days.agg(F.countDistinct("day").cast("string").alias("day")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit("days").alias("event_type"), "day", F.lit(1).alias("times")))

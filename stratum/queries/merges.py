@@ -232,8 +232,8 @@ def merge_hot_condition(spark, sf):
     name = fresh_table("hot")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     tables.create(orders.withColumn("state", F.lit("open")), name, location=folder(spark, name))
-    until = orders.agg((F.max("o_orderkey") / 2).alias("until"))
-    late = orders.select("o_orderstatus").distinct().join(F.broadcast(until)).select("o_orderstatus", "until")  # one row
+    until = orders.agg((F.max("o_orderkey") / 2).alias("until")).first().until
+    late = orders.select("o_orderstatus").distinct().withColumn("until", F.lit(until))
     early = orders.select("o_orderstatus", (-F.col("o_orderkey")).cast("double").alias("until"))
     source = early.unionByName(late).withColumn("state", F.lit("closed"))
     tables.merge(source, name, ["o_orderstatus"], update={"state": "src.state"}, insert={},

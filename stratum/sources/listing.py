@@ -77,6 +77,19 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders directly in a folder."""
+    return [e.name for e in _entries(spark, folder)]
+
+
+def touched(spark: SparkSession, path: str) -> None:
+    """Leave an empty file, if there is none."""
+    fs, place = _file_system(spark, path)
+    if not fs.exists(place):
+        fs.mkdirs(place.getParent())
+        fs.createNewFile(place)
+
+
 def files_in(spark: SparkSession, folders: str | Sequence[str], extension: str = "") -> list[FileRef]:
     """Files directly in the folders whose path ends with ``extension`` (case-sensitive).
 

@@ -343,3 +343,67 @@ def test_incremental_gold_reads_new_loads_only(spark, tmp_path):
         refreshed(spark, gold, "g", "other", ["g"], metrics)
     with pytest.raises(ValueError, match="mergeable"):
         states(spark.table(raw), ["g"], [{"name": "m", "function": "median", "of": "v"}])
+
+
+def _batch_spec(name, base, **audit):
+    return PipelineSpec.of({
+        "pipeline_metadata": {"name": "b", "layer": "silver"},
+        "source": {"type": "cloudfiles", "properties": {"source_path": f"{base}/in", "format": "parquet", "schema": "v int, at date"}},
+        "data_quality": [{"check": {"function": "sql_expression", "arguments": {"name": "big", "expression": "v > 1", "msg": "small"}}}],
+        "destination": {"table": name, "mode": "append", "location": f"{base}/out"},
+        "audit": {"exceptions": f"{name}_rows", "summary": f"{name}_counts", "load_history": f"{name}_files", "location": base, **audit}})
+
+
+def test_batches_record_everything_once(spark, tmp_path, name, monkeypatch):
+    from stratum.streaming import incremental
+    base = str(tmp_path)
+    writer = incremental.batch_writer(_batch_spec(name, base), INFO, INFO.started, f"{base}/ledger")
+    batch = spark.createDataFrame([(1, DAY, "f1"), (2, DAY, "f2"), (1, None, "f2")], "v int, at date, file_name string")
+
+    def state():
+        return [spark.table(f"{name}_{t}").count() for t in ("rows", "counts", "files")] + [spark.read.parquet(f"{base}/out").count()]
+
+    writer(batch, 0)
+    assert state() == [2, 1, 2, 3]
+    writer(batch, 0)  # replayed after it was done
+    assert state() == [2, 1, 2, 3]
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:  # the run ends after rows and failures were written
+        broken.setattr(incremental, "record_batch_history", fails)
+        with pytest.raises(RuntimeError):
+            writer(batch, 1)
+    assert state() == [4, 2, 2, 6]
+    writer(batch, 1)
+    assert state() == [4, 2, 4, 6]
+    history = spark.table(f"{name}_files").where("ingest_batch = 'batch-1'").collect()
+    assert sorted((r.source_name, r.records_total, r.records_succeeded, r.load_status) for r in history) == [
+        ("f1", 1, 1, "Success"), ("f2", 2, 2, "Success")]
+
+
+def test_batches_are_compacted_into_days(spark, tmp_path, name):
+    from stratum.streaming.incremental import compacted
+    out, days = f"{tmp_path}/out", f"{tmp_path}/days"
+    writer = append_batches(out)
+    for number in range(4):
+        writer(spark.createDataFrame([(number, DAY), (10 + number, DAY + dt.timedelta(number)), (20, None)], "v int, at date"), number)
+        if number % 2:
+            assert compacted(spark, out, "at", days) == 2 and compacted(spark, out, "at", days) == 0
+            os.remove(f"{days}/_compacted/batch-{number}")  # as if the run had ended before its last mark
+            assert compacted(spark, out, "at", days) == 1
+    found = spark.read.parquet(days)
+    assert sorted(map(tuple, found.select("v", "ingest_batch").collect())) == sorted(
+        map(tuple, spark.read.parquet(out).select("v", "ingest_batch").collect()))
+    assert len([p for p in (tmp_path / "days").iterdir() if p.name.startswith("ingest_day=")]) == 5
+
+
+def test_incremental_runs_keep_history(spark, tmp_path, name):
+    base = str(tmp_path)
+    spec = _batch_spec(name, base)
+    for n in (1, 2):
+        spark.createDataFrame([(n, DAY), (5, DAY)], "v int, at date").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run_incremental(spark, spec, again(f"r{n}"), f"{base}/cp")
+    assert spark.table(name).count() == 4 and spark.table(f"{name}_rows").count() == 1
+    assert [(r.records_total, r.load_status) for r in spark.table(f"{name}_files").collect()] == [(2, "Success")] * 2
