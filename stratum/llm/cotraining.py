@@ -159,16 +159,31 @@ def figures(docs: DataFrame) -> DataFrame:
     return staged(mapped_rows(narrow, FIGURES, described), "figures")
 
 
+def lowest(rows: DataFrame, n: int, *more: str) -> list[tuple]:
+    """Views and quality of the ``n`` rows whose ids have the smallest hashes, ordered by these, then ``more``.
+
+    Rows are counted first, and only those below a cut among the hashes are ordered, about two for each that is wanted:
+    what the driver gets from all partitions together depends on ``n`` alone.
+    """
+    ranked = rows.select(F.xxhash64("doc_id").alias("rank"), "text_view", "metadata_view", "quality")
+    total, wanted = ranked.count(), 2 * n
+    while wanted < total:
+        cut = wanted * 2 ** 64 // total - 2 ** 63
+        found = ranked.filter(F.col("rank") < cut).orderBy("rank", *more).limit(n).collect()
+        if len(found) == n:  # else ids repeat and few hashes are small
+            return [r[1:] for r in found]
+        wanted *= 4
+    return [r[1:] for r in ranked.orderBy("rank", *more).limit(n).collect()]
+
+
 def scored(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The chance of good quality of each row, by both views and combined, and whether it is kept."""
     every = figures(docs)
     known = labels.select(F.col("doc_id").cast("long").alias("of_doc"), F.col("quality").cast("double").alias("quality"))
     known = known.filter(F.col("of_doc").isNotNull() & F.col("quality").isNotNull())
-    in_order = F.xxhash64("doc_id")
-    sample = every.join(known, F.col("doc_id") == F.col("of_doc")).orderBy(in_order, "quality").limit(settings.labelled)
-    sample = sample.select("text_view", "metadata_view", "quality").collect()  # at most Settings.labelled rows
-    pool = every.join(known, F.col("doc_id") == F.col("of_doc"), "left_anti").orderBy(in_order).limit(settings.pool)
-    pool = pool.select("text_view", "metadata_view").collect()  # at most Settings.pool rows
+    sample = lowest(every.join(known, F.col("doc_id") == F.col("of_doc")), settings.labelled, "quality")
+    pool = lowest(every.join(known, F.col("doc_id") == F.col("of_doc"), "left_anti").withColumn("quality", F.lit(None)),
+                  settings.pool)
     model = None
     if sample:
         views = [np.array([row[i] for row in sample], dtype=np.float64) for i in range(2)]

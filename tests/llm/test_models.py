@@ -183,3 +183,15 @@ def test_figures_are_finite():
     for text in ("", "\n\n", "a", "😀" * 10, "A B C " * 300):
         assert all(x == x and abs(x) < 1e6 for x in cotraining.text_figures(text))
     assert brute.WORD.findall("a b") == ["a", "b"]
+
+
+def test_the_rows_of_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+    ids = [*range(500), *[7] * 300, *[8] * 300]
+    rows = spark.createDataFrame([(i, [float(i)], [float(n)], n % 2) for n, i in enumerate(ids)],
+                                 "doc_id long, text_view array<float>, metadata_view array<float>, quality int").repartition(9)
+    plain = rows.orderBy(F.xxhash64("doc_id"), "quality", "metadata_view").collect()
+    for n in (1, 20, 450, 5000):
+        found = cotraining.lowest(rows, n, "quality", "metadata_view")
+        assert [tuple(r) for r in found] == [(r.text_view, r.metadata_view, r.quality) for r in plain[:n]]
+    assert cotraining.lowest(rows.limit(0), 5) == []
