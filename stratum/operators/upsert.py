@@ -20,6 +20,7 @@ from operator import and_
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from stratum.operators.sizing import fits_broadcast
 from stratum.quoting import quoted, ref, refs
@@ -173,11 +174,13 @@ def bound_of(target: DataFrame, source: DataFrame, match: Match, update_conditio
     bound = _Bound(right if turned else left, _TURNED[found[4]] if turned else found[4], left if turned else right,
                    tuple(alone[SOURCE]), tuple(alone[TARGET]))
     try:  # each condition has to make sense on its side alone
-        bound.source_rows(source)
-        _where(target, TARGET, bound.target_only).select(ref(bound.target))
+        left_type = bound.source_rows(source).select(ref(bound.source)).schema[0].dataType
+        right_type = _where(target, TARGET, bound.target_only).select(ref(bound.target)).schema[0].dataType
     except AnalysisException:
         return None
-    return bound
+    # Values of different types are compared after a cast, in which their order may change.
+    same_order = left_type == right_type or (isinstance(left_type, IntegralType) and isinstance(right_type, IntegralType))
+    return bound if same_order else None
 
 
 def _and_parts(condition: str) -> list[str]:

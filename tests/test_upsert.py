@@ -271,3 +271,14 @@ def test_composed_changes_are_those_of_the_ends(spark, snapshots):
     wanted = snapshot_diff(frames[0], frames[-1], ["k"], keep_before=True)
     assert sorted(map(str, net.collect())) == sorted(map(str, wanted.collect()))
     assert sorted(map(str, diff_applied(frames[0], net.drop("before"), ["k"]).collect())) == sorted(map(str, frames[-1].collect()))
+
+
+def test_comparisons_across_types_keep_their_order(spark):
+    target = spark.createDataFrame([(1, 9, "old")], "k int, v int, s string")
+    source = spark.createDataFrame([(1, "10", "ten"), (1, "9", "nine"), (1, "8", "eight")], "k int, v string, s string")
+    assert ambiguous_matches(target, source, ["k"], "src.v > tgt.v").collect() == []
+    rows = upserted(target, source, ["k"], update={"s": "src.s"}, insert={}, update_condition="src.v > tgt.v", one_match=True)
+    assert [r.s for r in rows.collect()] == ["ten"]
+    wide = source.selectExpr("k", "cast(v as bigint) v", "s")
+    rows = upserted(target, wide, ["k"], update={"s": "src.s"}, insert={}, update_condition="src.v > tgt.v", one_match=True)
+    assert [r.s for r in rows.collect()] == ["ten"]
