@@ -107,8 +107,8 @@ def _others(files: Sequence[FileRef], chosen: Sequence[FileRef]) -> list[FileRef
 def head_rows(spark: SparkSession, files: Sequence[FileRef], options: Mapping[str, object]) -> DataFrame:
     """(path, row): the values of each file's first row with text, by Spark's own text scan.
 
-    Each file, or block of a large one, is a task of its own, and a task stops after the row: it reads one buffer,
-    whatever the file's size. Files without text have no row. With the option ``multiLine`` a quoted value goes on
+    Each file, or block of a large one, is a task of its own, and a task stops after the row and a few
+    thousand lines, whatever the file's size. Files without text have no row. With the option ``multiLine`` a quoted value goes on
     over line ends.
     """
     chosen = {k.lower(): str(v) for k, v in options.items() if v is not None}
@@ -141,10 +141,12 @@ def head_rows(spark: SparkSession, files: Sequence[FileRef], options: Mapping[st
             values = next(csv.reader((text + "\n" * many_lines for text in itertools.chain([line], more)), delimiter=delimiter, **quoting))
         yield pyarrow.RecordBatch.from_arrays(
             [pyarrow.array([head[1]]), pyarrow.array([values], type=pyarrow.list_(pyarrow.string()))], names=["path", "row"])
+        for _ in itertools.islice(batches, 8):  # a worker that leaves rows unread ends; small files are read to their end
+            pass
 
     own = spark.newSession()  # settings of this scan only: one file a task, few rows a batch
     for name, value in (("spark.sql.files.openCostInBytes", "128m"), ("spark.sql.files.maxPartitionBytes", "128m"),
-                        ("spark.sql.files.minPartitionNum", "1"), ("spark.sql.execution.arrow.maxRecordsPerBatch", "4")):
+                        ("spark.sql.files.minPartitionNum", "1"), ("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")):
         own.conf.set(name, value)
     reader = own.read.format("text")
     if "linesep" in chosen:
