@@ -20,7 +20,7 @@ from operator import and_
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, NumericType
 
 from stratum.operators.sizing import fits_broadcast
 from stratum.quoting import quoted, ref, refs
@@ -33,6 +33,8 @@ _COUNT = "__rows"
 _RANK = "__rank"
 _KEY = "__key"
 _END = "__end"
+#: Digits of the longest decimal type.
+_MOST_DIGITS = 38
 _NAME = r"(?:`((?:[^`]|``)+)`|(\w+))"
 _EQUALITY = re.compile(rf"(tgt|src)\.{_NAME}\s*==?\s*(tgt|src)\.{_NAME}", re.IGNORECASE)
 
@@ -178,9 +180,28 @@ def bound_of(target: DataFrame, source: DataFrame, match: Match, update_conditio
         right_type = _where(target, TARGET, bound.target_only).select(ref(bound.target)).schema[0].dataType
     except AnalysisException:
         return None
-    # Values of different types are compared after a cast, in which their order may change.
-    same_order = left_type == right_type or (isinstance(left_type, IntegralType) and isinstance(right_type, IntegralType))
-    return bound if same_order else None
+    return bound if _same_order(left_type, right_type) else None
+
+
+def _same_order(left: DataType, right: DataType) -> bool:
+    """Whether the cast before a comparison of the two types keeps the order of either one's values.
+
+    Numbers may become equal by it, but never change places. Texts do, and decimals too long for a common type are lost.
+    """
+    if left == right:
+        return True
+    if not (isinstance(left, NumericType) and isinstance(right, NumericType)):
+        return False
+    kinds = {type(left), type(right)}
+    if kinds & {FloatType, DoubleType} or DecimalType not in kinds:
+        return True
+    (whole, scale), (other_whole, other_scale) = _decimal_places(left), _decimal_places(right)
+    return max(whole, other_whole) + max(scale, other_scale) <= _MOST_DIGITS
+
+
+def _decimal_places(kind: DataType) -> tuple[int, int]:
+    """Digits before and after the point."""
+    return (kind.precision - kind.scale, kind.scale) if isinstance(kind, DecimalType) else (20, 0)
 
 
 def _and_parts(condition: str) -> list[str]:

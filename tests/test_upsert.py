@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratum.operators.upsert import (
     Match,
     ambiguous_matches,
+    bound_of,
     changes_composed,
     diff_applied,
     repeated_keys,
@@ -282,3 +283,26 @@ def test_comparisons_across_types_keep_their_order(spark):
     wide = source.selectExpr("k", "cast(v as bigint) v", "s")
     rows = upserted(target, wide, ["k"], update={"s": "src.s"}, insert={}, update_condition="src.v > tgt.v", one_match=True)
     assert [r.s for r in rows.collect()] == ["ten"]
+
+
+@pytest.mark.parametrize("source_type, target_type, quick", [
+    ("double", "bigint", True), ("bigint", "double", True), ("float", "int", True), ("decimal(10,2)", "double", True),
+    ("decimal(10,2)", "bigint", True), ("decimal(38,0)", "decimal(38,18)", False), ("string", "int", False)])
+def test_comparisons_of_numbers_of_two_types_need_no_pairs(spark, source_type, target_type, quick):
+    target = spark.sql(f"select k, cast(v as {target_type}) v, 'old' s from values (1, 9), (1, 11), (2, 3), (2, null), (null, 1) t(k, v)")
+    source = spark.sql(f"select k, cast(v as {source_type}) v, s from values (1, 10, 'ten'), (1, 9, 'nine'), (1, null, 'none'), "
+                       "(2, 2, 'two'), (null, 9, 'null') t(k, v, s)")
+    assert (bound_of(target, source, Match.on(["k"]), "src.v > tgt.v") is not None) == quick
+    assert ambiguous_matches(target, source, ["k"], "src.v > tgt.v").collect() == []
+    rows = upserted(target, source, ["k"], update={"s": "src.s"}, insert={}, update_condition="src.v > tgt.v", one_match=True)
+    found = sorted(str((r.k, None if r.v is None else int(r.v), r.s)) for r in rows.collect())
+    assert found == sorted(["(1, 9, 'ten')", "(1, 11, 'old')", "(2, 3, 'old')", "(2, None, 'old')", "(None, 1, 'old')"])
+    twice = source.unionByName(source.where("s = 'ten'"))
+    assert [r.k for r in ambiguous_matches(target, twice, ["k"], "src.v > tgt.v").collect()] == [1]
+
+
+def test_large_numbers_that_a_cast_makes_equal_are_ambiguous(spark):
+    """2^53 and 2^53 + 1 are one number as doubles."""
+    target = spark.createDataFrame([(1, float(2 ** 53 - 1))], "k int, v double")
+    source = spark.createDataFrame([(1, 2 ** 53), (1, 2 ** 53 + 1), (1, 0)], "k int, v bigint")
+    assert [r.source_rows for r in ambiguous_matches(target, source, ["k"], "src.v > tgt.v").collect()] == [2]
