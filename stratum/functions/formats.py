@@ -7,6 +7,8 @@ values get distinct tokens without any table, and the key turns tokens back. Bui
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,26 +29,40 @@ def format_restored(value: Column, key: str | Column) -> Column:
     return _formatted(value, key, forward=False)
 
 
+def _with(value: Column, result: Callable[[Column], Column]) -> Column:
+    """``result`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), result), F.lit(0))
+
+
 def _formatted(value: Column, key: str | Column, forward: bool) -> Column:
     key = key if isinstance(key, Column) else F.lit(key)
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    letters = F.translate(F.lower(F.regexp_replace(value, "[^A-Za-z]", "")), _ALPHABET, _BASE_26)
-    long = (F.length(digits) > DIGITS) | (F.length(letters) > LETTERS)
+    kinds = F.struct(value.alias("text"), F.regexp_replace(value, "[^0-9]", "").alias("digits"),
+                     F.regexp_replace(value, "[^A-Za-z]", "").alias("letters"))
     problem = F.raise_error(F.lit(f"no token of this format beyond {DIGITS} digits or {LETTERS} letters"))
-    new = F.struct(_permuted(digits, 10, F.concat(key, F.lit("d")), forward).alias("d"),
-                   F.translate(_permuted(letters, 26, F.concat(key, F.lit("l")), forward), _BASE_26, _ALPHABET).alias("l"))
 
-    def put_back(done: Column, c: Column) -> Column:
-        digit, letter = c.rlike("^[0-9]$"), c.rlike("^[A-Za-z]$")
-        own = F.substring(done["l"], done["nl"], F.lit(1))
-        sign = F.when(digit, F.substring(done["d"], done["nd"], F.lit(1))).when(
-            letter, F.when(c == F.upper(c), F.upper(own)).otherwise(own)).otherwise(c)
-        return F.struct(F.concat(done["text"], sign).alias("text"), done["d"].alias("d"), done["l"].alias("l"),
-                        (done["nd"] + digit.cast("int")).alias("nd"), (done["nl"] + letter.cast("int")).alias("nl"))
+    def token(of: Column) -> Column:
+        long = (F.length(of["digits"]) > DIGITS) | (F.length(of["letters"]) > LETTERS)
+        letters = F.translate(F.lower(of["letters"]), _ALPHABET, _BASE_26)
+        new = F.struct(_permuted(of["digits"], 10, F.concat(key, F.lit("d")), forward).alias("d"),
+                       F.translate(_permuted(letters, 26, F.concat(key, F.lit("l")), forward), _BASE_26, _ALPHABET).alias("l"))
+        return F.when(long, problem).when(of["text"] == "", of["text"]).otherwise(
+            _with(new, lambda signs: _put_back(of["text"], signs)))
+
+    return _with(kinds, token)
 
-    start = F.struct(F.lit("").alias("text"), new["d"].alias("d"), new["l"].alias("l"), F.lit(1).alias("nd"), F.lit(1).alias("nl"))
-    placed = F.aggregate(F.split(value, ""), start, put_back, lambda done: done["text"])
-    return F.when(long, problem).when(value == "", value).otherwise(placed)
+
+def _put_back(text: Column, signs: Column) -> Column:
+    """``text`` with the digits and letters of ``signs`` in the places of its own."""
+
+    def put(done: Column, c: Column) -> Column:
+        digit, capital, small = c.between("0", "9"), c.between("A", "Z"), c.between("a", "z")
+        own = F.substring(signs["l"], done["nl"], F.lit(1))
+        sign = F.when(digit, F.substring(signs["d"], done["nd"], F.lit(1))).when(small, own).when(capital, F.upper(own)).otherwise(c)
+        return F.struct(F.concat(done["text"], sign).alias("text"), (done["nd"] + digit.cast("int")).alias("nd"),
+                        (done["nl"] + (capital | small).cast("int")).alias("nl"))
+
+    start = F.struct(F.lit("").alias("text"), F.lit(1).alias("nd"), F.lit(1).alias("nl"))
+    return F.aggregate(F.split(text, ""), start, put, lambda done: done["text"])
 
 
 def _permuted(text: Column, base: int, key: Column, forward: bool) -> Column:
@@ -55,8 +71,6 @@ def _permuted(text: Column, base: int, key: Column, forward: bool) -> Column:
     The halves of the text take turns: one moves on by a keyed hash of the other, modulo the number of its texts. A text
     of one digit has an empty half, and is moved on by hashes of that.
     """
-    n = F.length(text)
-    left, right = F.floor(n / 2).cast("int"), F.ceil(n / 2).cast("int")
 
     def number(part: Column) -> Column:
         return F.coalesce(F.conv(part, base, 10).cast("bigint"), F.lit(0).cast("bigint")) if base != 10 else F.when(
@@ -66,21 +80,33 @@ def _permuted(text: Column, base: int, key: Column, forward: bool) -> Column:
         powers = F.array(*(F.lit(base ** i).cast("bigint") for i in range(DIGITS // 2 + 1 if base == 10 else LETTERS // 2 + 1)))
         return F.get(powers, length)
 
-    def step(halves: Column, turn: Column) -> Column:
-        # Odd turns move the left half, even ones the right half.
-        odd = turn % 2 == 1
-        other = F.when(odd, halves["b"]).otherwise(halves["a"])
-        size = texts(F.when(odd, left).otherwise(right))
-        hashed = F.conv(F.substring(F.sha2(F.concat_ws("|", key, turn, n, other), 256), 1, 15), 16, 10).cast("bigint") % size
-        hashed = hashed if forward else size - hashed
-        # The sum of two numbers below 10^18 fits a long.
-        moved = (F.when(odd, halves["a"]).otherwise(halves["b"]) + hashed) % size
-        return F.struct(F.when(odd, moved).otherwise(halves["a"]).alias("a"), F.when(odd, halves["b"]).otherwise(moved).alias("b"))
-
     def padded(half: Column, length: Column) -> Column:
         return F.when(length == 0, "").otherwise(F.lpad(F.lower(F.conv(half.cast("string"), 10, base)), length, F.lit("0")))
 
-    turns = F.array(*map(F.lit, range(1, _ROUNDS + 1) if forward else range(_ROUNDS, 0, -1)))
-    start = F.struct(number(F.substring(text, F.lit(1), left)).alias("a"), number(F.substring(text, left + 1, right)).alias("b"))
-    return F.when(n == 0, text).otherwise(F.aggregate(
-        turns, start, step, lambda halves: F.concat(padded(halves["a"], left), padded(halves["b"], right))))
+    def measured(text: Column) -> Column:
+        n = F.length(text)
+        left, right = F.floor(n / 2).cast("int"), F.ceil(n / 2).cast("int")
+        return F.struct(text.alias("text"), n.alias("n"), left.alias("left"), right.alias("right"), key.alias("key"),
+                        texts(left).alias("lefts"), texts(right).alias("rights"))
+
+    def permuted(of: Column) -> Column:
+        def step(halves: Column, turn: Column) -> Column:
+            # Odd turns move the left half, even ones the right half; the halves change names each time.
+            odd = turn % 2 == 1
+            hashed = F.conv(F.substring(F.sha2(F.concat_ws("|", of["key"], turn, of["n"], halves["other"]), 256), 1, 15), 16, 10)
+            size = F.when(odd, of["lefts"]).otherwise(of["rights"])
+            moved = hashed.cast("bigint") % size
+            # The sum of two numbers below 10^18 fits a long.
+            moved = (halves["moves"] + (moved if forward else size - moved)) % size
+            return F.struct(halves["other"].alias("moves"), moved.alias("other"))
+
+        a = number(F.substring(of["text"], F.lit(1), of["left"])).alias
+        b = number(F.substring(of["text"], of["left"] + 1, of["right"])).alias
+        # As the turns are even in number, the halves end as they began.
+        start = F.struct(a("moves"), b("other")) if forward else F.struct(b("moves"), a("other"))
+        turns = F.array(*map(F.lit, range(1, _ROUNDS + 1) if forward else range(_ROUNDS, 0, -1)))
+        first, second = ("moves", "other") if forward else ("other", "moves")
+        return F.when(of["n"] == 0, of["text"]).otherwise(F.aggregate(
+            turns, start, step, lambda halves: F.concat(padded(halves[first], of["left"]), padded(halves[second], of["right"]))))
+
+    return _with(text, lambda once: _with(measured(once), permuted))

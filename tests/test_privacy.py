@@ -72,3 +72,13 @@ def test_vault_keeps_tokens_and_refuses_collisions(spark, tmp_path):
     assert spark.table("vault_t").count() == 3
     vaulted(more, "v", "vault_t", token("v", "s9"), "r4")
     assert spark.table("vault_t").count() == 3
+
+
+def test_tokens_compute_their_value_once(spark):
+    """However often a step names the text, its digits are taken out once, so the plan stays small."""
+    plan = spark.range(1).select(format_preserved(F.col("id").cast("string"), "k").alias("t"))
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert text.count("[^0-9]") == 1 and text.count("[^A-Za-z]") == 1
+    seven = spark.createDataFrame([("Customer#000000007",), ("+49 30 1234567",), ("Q7",)], "t string")
+    assert [r[0] for r in seven.select(format_restored(format_preserved(F.col("t"), "k"), "k")).collect()] == [
+        "Customer#000000007", "+49 30 1234567", "Q7"]
