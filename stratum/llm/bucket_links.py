@@ -3,7 +3,7 @@
 Members that an operator wants compared meet in buckets. Each round, some members of a bucket are its centres, those
 of its smallest components first; a centre is compared with the members not connected with it yet, and then leaves the
 bucket. A bucket is done when its members are all connected, or have all been centres: then every pair of them was
-compared or had no need to be. There is one centre in the first round, and four times as many in each further one.
+compared or had no need to be. There is one centre in the first round, and sixteen times as many in each further one.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
         open_ = members.join(centres.select("of_bucket").distinct(), F.col("bucket") == F.col("of_bucket"), "left_semi").join(
             centres, (F.col("bucket") == F.col("of_bucket")) & (F.col("member") == F.col("centre")), "left_anti").select(
             "bucket", "member", "n")
-        count *= 4
+        count *= 16
     if links is None:
         return start
     final = components(links)

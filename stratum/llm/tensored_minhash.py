@@ -25,6 +25,8 @@ import math
 import re
 from collections import OrderedDict
 from collections.abc import Iterable
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm.bucket_links import connected
 from stratum.llm.common import WORD, hash64, mapped_rows, numbered
-from stratum.scratch import staged
+from stratum.scratch import kept_only, staged
 
 SHINGLE = 3
 THRESHOLD_PERCENT = 85
@@ -116,12 +118,23 @@ def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple
     values = shingles(text, settings.shingle)
     key = hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest()
     if not len(values):
-        return doc_id, key, 0, None, []
+        return doc_id, key, 0, None, [], None
     digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
-    return doc_id, key, len(values), digest, collections_of(values, settings.collections)
+    cells = dict(zip("abcd", parities(values)))
+    return doc_id, key, len(values), digest, collections_of(values, settings.collections), cells
 
 
-SIGNATURE = "doc_id long, text_key string, n_shingles long, set_key binary, collections array<long>"
+SIGNATURE = ("doc_id long, text_key string, n_shingles long, set_key binary, collections array<long>, "
+             "parities struct<a: long, b: long, c: long, d: long>")
+
+
+def parities(values: np.ndarray) -> tuple[int, ...]:
+    """A bit for each of 256 cells that hold an odd number of the hashes.
+
+    Two sets have at least as many hashes that only one of them holds as there are bits that differ.
+    """
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) & 255, minlength=256) & 1
+    return tuple(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
 
 
 def classes(signatures: DataFrame) -> DataFrame:
@@ -192,9 +205,13 @@ def candidate_texts(docs: DataFrame, representatives: DataFrame, met: DataFrame)
 
 
 def near(threshold_percent: int):
-    """The smaller set is the largest intersection possible, the larger one the smallest union."""
+    """What sizes and parities allow: the smaller set is the largest intersection possible, the larger one the smallest
+    union; and of both sizes together, no more than (100 - t) / (100 + t) may be hashes that only one set holds."""
     def condition(n: Column, m: Column) -> Column:
-        return threshold_percent * F.greatest(n, m) <= 100 * F.least(n, m)
+        apart = reduce(add, (F.bit_count(n["parities"][c].bitwiseXOR(m["parities"][c])) for c in "abcd"))
+        n, m = n["size"], m["size"]
+        return (threshold_percent * F.greatest(n, m) <= 100 * F.least(n, m)) & (
+            (100 + threshold_percent) * apart <= (100 - threshold_percent) * (n + m))
     return condition
 
 
@@ -205,7 +222,10 @@ def marked(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     distinct = classes(signatures)
     representatives = signatures.withColumnsRenamed({"row_id": "class_id", "n_shingles": "n"}).join(
         distinct.select("class_id"), "class_id", "left_semi")
-    met = buckets(representatives, settings).withColumnRenamed("class_id", "member")
+    met = buckets(representatives, settings)
+    measured = representatives.select("class_id", F.struct(F.col("n").alias("size"), "parities").alias("measures"))
+    met = staged(met.join(measured, "class_id").select("bucket", F.col("class_id").alias("member"), F.col("measures").alias("n")),
+                 "measured-buckets")
     texts = candidate_texts(docs, representatives, met.select(F.col("member").alias("class_id")))
     labels = connected(met, texts.withColumnRenamed("class_id", "member"), near(settings.threshold_percent),
                        confirmer(settings)).withColumnRenamed("member", "class_id")
@@ -227,9 +247,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that stand for their component, in its columns."""
-    gone = marked(docs, settings).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
-    gone = staged(gone, "duplicates")
+    with kept_only(docs.sparkSession) as keep:
+        gone = marked(docs, settings).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+            F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
+        gone = keep(gone, "duplicates")
     alike = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (
         F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("__key"))
     return docs.join(gone, alike, "left_anti")

@@ -245,3 +245,64 @@ def test_empty_tables_and_repeated_rows(spark, docs, report):
     if report.__name__ in ("report", "verdicts"):
         some = docs.filter("doc_id in (3, 31, 40) or text is null").drop("doc_id").withColumn("doc_id", docs.n_chars * 0)
         assert report(some.unionByName(some)).count() == 2 * some.count()
+
+
+def test_profiles_of_lines_with_many_letters_do_not_overflow(spark):
+    """The top byte of a profile counts the letter s; lines at both ends of it are compared."""
+    from stratum.llm import segment_join
+    same = "".join(f"{i:03}" for i in range(200))
+    texts = ["s" * 130 + same, "s" * 131 + same, same + "x" * 130, same + "s" * 127 + "xxx", "x" * 130 + same]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = segment_join.report(docs).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(0, 0), (1, 1), (2, 0), (3, 0), (4, 0)]
+
+
+def test_neighbours_of_linked_lines_differ_by_four_bits_an_edit():
+    import random
+    from stratum.llm.segment_join import neighbours
+    rng = random.Random(5)
+    for _ in range(2000):
+        line = "".join(rng.choice("abc dé") for _ in range(rng.randrange(24, 90)))
+        near = line
+        for _ in range(2):
+            i, kind = rng.randrange(len(near)), rng.randrange(3)
+            near = near[:i] + rng.choice(["x", "", near[i] + "y"]) + near[i + 1:] if kind else near
+        assert ((neighbours(line) ^ neighbours(near)) & (2 ** 64 - 1)).bit_count() <= 8
+
+
+def test_parities_bound_what_only_one_set_holds():
+    import numpy as np
+    from stratum.llm.tensored_minhash import parities
+    rng = np.random.RandomState(3)
+    for _ in range(300):
+        x, y = (np.unique(rng.randint(0, 2 ** 63, rng.randint(1, 400), dtype=np.int64).astype(np.uint64)) for _ in range(2))
+        y = np.unique(np.concatenate([y[:rng.randint(0, 40)], x[rng.randint(0, 40):]]))
+        bits = sum(((a ^ b) & (2 ** 64 - 1)).bit_count() for a, b in zip(parities(x), parities(y)))
+        assert bits <= len(np.setxor1d(x, y))
+
+
+@pytest.mark.parametrize("what", ["sets", "lines"])
+def test_near_copies_below_the_threshold_form_few_pairs(spark, what, monkeypatch):
+    """Copies of one text or line share buckets, but are too far from each other to be linked."""
+    import random
+    from stratum.llm import bucket_links, segment_join, tensored_minhash
+    rng, made, plain = random.Random(9), [], bucket_links.staged
+
+    def counted(df, label):
+        df = plain(df, label)
+        if label == "pairs":
+            made.append(df.count())
+        return df
+
+    monkeypatch.setattr(bucket_links, "staged", counted)
+    words = [f"w{i:03}" for i in range(150)]
+    if what == "sets":
+        texts = [" ".join(f"e{rng.randrange(10 ** 9)}" if i in places else w for i, w in enumerate(words))
+                 for places in (set(rng.sample(range(150), 6)) for _ in range(120))]
+        rows = tensored_minhash.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert sum(r.kept for r in rows) > 100
+    else:
+        texts = [" ".join(words[:20]) + " " + "".join(rng.choice("bcdfghjklmpqruvwxyz") for _ in range(8)) for _ in range(120)]
+        rows = segment_join.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert sum(r.n_removed for r in rows) < 5
+    assert sum(made) < 1500  # of 7,140
