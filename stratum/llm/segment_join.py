@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from stratum.llm.bucket_links import connected
 from stratum.llm.common import WORD, arrow_mapped, hash64, mapped_rows, numbered
 from stratum.llm.line_frequency import with_length
-from stratum.scratch import staged
+from stratum.scratch import kept_only, staged
 
 
 @dataclasses.dataclass(frozen=True)
@@ -120,14 +120,28 @@ def profile(line: str) -> int:
     packed = len(line) & 255
     for i, letter in enumerate(LETTERS, 1):
         packed |= (line.count(letter) & 255) << (8 * i)
+    return signed(packed)
+
+
+def neighbours(line: str) -> int:
+    """A bit for each of 64 cells that hold an odd number of the line's pairs of neighbouring characters."""
+    cells = 0
+    for a, b in zip(line, line[1:]):
+        cells ^= 1 << ((ord(a) * 40_503 + ord(b) * 31_337 >> 4) & 63)
+    return signed(cells)
+
+
+def signed(packed: int) -> int:
     return packed - (1 << 64) if packed >> 63 else packed
 
 
 def alike(edits: int):
-    """Whether two profiles can be of linked lines: an edit changes each number by one at most."""
+    """Whether lines can be linked: an edit changes each number of the profile by one, and four of the pairs, at most."""
     def condition(n: Column, m: Column) -> Column:
-        apart = [(F.shiftright(n, 8 * i) - F.shiftright(m, 8 * i) + edits).bitwiseAND(255) for i in range(8)]
-        return reduce(and_, (x <= 2 * edits for x in apart))
+        byte = [[F.shiftright(x["profile"], 8 * i).bitwiseAND(255) for i in range(8)] for x in (n, m)]
+        apart = [(a - b + edits).bitwiseAND(255) for a, b in zip(*byte)]
+        odd = F.bit_count(n["neighbours"].bitwiseXOR(m["neighbours"]))
+        return reduce(and_, (x <= 2 * edits for x in apart)) & (odd <= 4 * edits)
     return condition
 
 
@@ -139,11 +153,11 @@ def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple
 
 
 LINES = ("doc_id long, digest string, tie long, "
-         "lines array<struct<at: int, line: long, n: int, profile: long, keys: array<long>>>")
+         "lines array<struct<at: int, line: long, n: int, keys: array<long>>>")
 
 
 def line_texts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
-    """(member, text) of the given lines."""
+    """(member, text, n) of the given lines, n being what ``alike`` compares."""
     wanted = staged(members.select(F.col("member").alias("wanted")).distinct(), "wanted-lines")
     if wanted.count() <= settings.most_broadcast:
         wanted = F.broadcast(wanted)
@@ -154,7 +168,9 @@ def line_texts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataF
             yield hash64(encoded(line)), line
 
     every = mapped_rows(docs.select("text"), "member long, text string", lines)
-    return staged(every.join(wanted, F.col("member") == F.col("wanted"), "left_semi").dropDuplicates(["member"]), "line-texts")
+    found = every.join(wanted, F.col("member") == F.col("wanted"), "left_semi").dropDuplicates(["member"])
+    return staged(mapped_rows(found, "member long, text string, n struct<profile: long, neighbours: long>", lambda member, text: (
+        (member, text, {"profile": profile(text), "neighbours": neighbours(text)}),)), "line-texts")
 
 
 def confirmer(edits: int):
@@ -170,14 +186,16 @@ def judged(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
                                 lambda *row: (described(*row, settings),)), "lines")
     every = rows.select("row_id", "doc_id", "tie", F.inline("lines"))
     keyed = every.select(F.col("line").alias("member"), F.explode("keys").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("member").alias("low"), F.max("member").alias("high")).filter("low != high")
-    met = staged(keyed.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "line-buckets")
-    profiles = every.select("line", "profile").join(
-        met.select(F.col("member").alias("line")).distinct(), "line", "left_semi").distinct()
-    buckets = staged(met.join(profiles, F.col("member") == F.col("line")).select(
-        "bucket", "member", F.col("profile").alias("n")), "profiled-buckets")
+    # Most buckets hold one line, and only their numbers are shuffled; those of copies of one line are told in what is left.
+    twice = keyed.groupBy("bucket").agg(F.count("*").alias("met")).filter("met > 1")
+    met = staged(keyed.join(twice.select("bucket"), "bucket", "left_semi").distinct(), "line-buckets")
+    shared = met.groupBy("bucket").agg(F.count("*").alias("met")).filter("met > 1")
+    met = staged(met.join(shared.select("bucket"), "bucket", "left_semi"), "shared-buckets")
+    texts = line_texts(docs, met, settings)
+    buckets = staged(met.join(texts.select(F.col("member").alias("of"), "n"), F.col("member") == F.col("of")).select(
+        "bucket", "member", "n"), "measured-buckets")
     edits = settings.max_edits
-    labels = connected(buckets, line_texts(docs, buckets, settings), alike(edits), confirmer(edits))
+    labels = connected(buckets, texts.select("member", "text"), alike(edits), confirmer(edits))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "at")
     distinct = every.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     classed = staged(distinct.join(labels.withColumnRenamed("member", "line"), "line", "left").select(
@@ -205,10 +223,11 @@ def report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def cleaned(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the removed lines; documents that are left without a word, having lost lines, go."""
-    rows, gone = judged(docs, settings)
-    lost = rows.join(gone, "row_id").groupBy(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest")).agg(
-        F.first("removed").alias("__removed"))
-    lost = staged(lost, "lost-lines")
+    with kept_only(docs.sparkSession) as keep:
+        rows, gone = judged(docs, settings)
+        lost = rows.join(gone, "row_id").groupBy(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest")).agg(
+            F.first("removed").alias("__removed"))
+        lost = keep(lost, "lost-lines")
     joined = docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (
         F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("__digest")), "left").select(*docs.columns, "__removed")
     columns, at = docs.columns, docs.columns.index("text")
