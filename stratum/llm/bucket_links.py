@@ -1,9 +1,11 @@
 """Links between members of buckets, without forming all pairs of a bucket.
 
-Members that an operator wants compared meet in buckets. Each round, some members of a bucket are its centres, those
-of its smallest components first; a centre is compared with the members not connected with it yet, and then leaves the
-bucket. A bucket is done when its members are all connected, or have all been centres: then every pair of them was
-compared or had no need to be. There is one centre in the first round, and sixteen times as many in each further one.
+Members that an operator wants compared meet in buckets. Each round, some members of a bucket are its centres; a centre
+is compared with the members not connected with it yet, and then leaves the bucket. A bucket is done when its members are
+all connected, or have all been centres: then every pair of them was compared or had no need to be. There is one centre
+in the first round, and sixteen times as many in each further one. In the second round they are members of the bucket's
+largest component, which others are most likely to be linked with; after it those of the smallest components, which are
+done soonest. Components are brought up to date after each round, so members that are connected are not compared again.
 """
 
 from __future__ import annotations
@@ -19,26 +21,27 @@ from stratum.llm.components import components
 from stratum.scratch import staged
 
 
-def one_centre(members: DataFrame) -> DataFrame:
-    """(bucket, of_label, centre, of_n): a centre of each bucket that is not done."""
-    groups = members.groupBy("bucket", "label").agg(F.count("*").alias("size"),
-                                                    F.min(F.struct("member", "n")).alias("first"))
-    return (
-        groups.groupBy("bucket").agg(F.min(F.struct("size", "label", "first")).alias("best"), F.count("*").alias("labels"))
-        .filter("labels > 1")
-        .select("bucket", F.col("best.label").alias("of_label"), F.col("best.first.member").alias("centre"),
-                F.col("best.first.n").alias("of_n"))
-    )
+#: Times as many centres in each round as in the one before.
+STEP = 16
+
 
+def first_round(buckets: DataFrame) -> DataFrame:
+    """(bucket, member, n, centre, of_n): members that are no centres, each with the one centre of its bucket."""
+    centres = buckets.groupBy("bucket").agg(F.min(F.struct("member", "n")).alias("first")).select(
+        F.col("bucket").alias("of_bucket"), F.col("first.member").alias("centre"), F.col("first.n").alias("of_n"))
+    return buckets.join(centres, F.col("bucket") == F.col("of_bucket")).filter("member != centre").drop("of_bucket")
 
-def more_centres(members: DataFrame, count: int) -> DataFrame:
-    """The same with up to ``count`` centres of each bucket."""
-    labels = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    open_ = members.join(labels.select("bucket"), "bucket", "left_semi")
-    ranked = open_.withColumn("size", F.count("*").over(W.partitionBy("bucket", "label"))).withColumn(
-        "rank", F.row_number().over(W.partitionBy("bucket").orderBy("size", "label", "member")))
-    return ranked.filter(F.col("rank") <= count).select(
-        "bucket", F.col("label").alias("of_label"), F.col("member").alias("centre"), F.col("n").alias("of_n"))
+
+def ranked(members: DataFrame, largest: bool) -> DataFrame:
+    """``members`` of the buckets that are not done, with their rank among those that may become centres."""
+    bucket = W.partitionBy("bucket")
+    order = F.desc("size") if largest else F.asc("size")
+    return (
+        members.withColumn("size", F.count("*").over(W.partitionBy("bucket", "label")))
+        .withColumn("low", F.min("label").over(bucket)).withColumn("high", F.max("label").over(bucket)).filter("low != high")
+        .withColumn("rank", F.row_number().over(bucket.orderBy(order, "label", "member")))
+        .select("bucket", "member", "n", "label", "rank")
+    )
 
 
 def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Column], Column],
@@ -48,15 +51,23 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
     ``near`` says of two values of n whether members can be linked at all; ``confirm(a, b, text_a, text_b)`` gives
     (a, b) if they are. ``texts`` has member and text.
     """
-    start = staged(buckets.select("member", F.col("member").alias("label")).distinct(), "labels")
-    labels, open_, tested, links, count = start, buckets, None, None, 1
-    while not open_.isEmpty():
-        members = staged(open_.join(labels, "member"), "members")
-        centres = staged(one_centre(members) if count == 1 else more_centres(members, count), "centres").withColumnRenamed(
-            "bucket", "of_bucket")
-        apart = (F.col("bucket") == F.col("of_bucket")) & (F.col("label") != F.col("of_label"))
-        pairs = members.join(centres, apart & near(F.col("n"), F.col("of_n"))).select(
-            F.least("member", "centre").alias("a"), F.greatest("member", "centre").alias("b")).distinct()
+    labels = staged(buckets.select("member", F.col("member").alias("label")).distinct(), "labels")
+    tested, count = None, 1
+    while True:
+        if count == 1:
+            open_ = staged(first_round(buckets), "members")
+            met = open_.filter(near(F.col("n"), F.col("of_n")))
+        else:
+            members = staged(ranked(open_.select("bucket", "member", "n").join(labels, "member"), count == STEP), "members")
+            centres = members.filter(F.col("rank") <= count).select(
+                F.col("bucket").alias("of_bucket"), F.col("member").alias("centre"), F.col("n").alias("of_n"),
+                F.col("label").alias("of_label"), F.col("rank").alias("of_rank"))
+            # Two centres meet once.
+            apart = (F.col("bucket") == F.col("of_bucket")) & (F.col("label") != F.col("of_label")) & (
+                F.col("rank") > F.col("of_rank"))
+            met = members.join(centres, apart & near(F.col("n"), F.col("of_n")))
+            open_ = members.filter(F.col("rank") > count)
+        pairs = met.select(F.least("member", "centre").alias("a"), F.greatest("member", "centre").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
@@ -64,35 +75,18 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
             full = pairs.join(texts.withColumnsRenamed({"member": "a", "text": "text_a"}), "a").join(
                 texts.withColumnsRenamed({"member": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
             found = staged(mapped_rows(full, "a long, b long", confirm), "confirmed")
-            labels = hooked(labels, found)
+            labels = labels if found.isEmpty() else joined(labels, found)
             tested = pairs if tested is None else tested.unionByName(pairs)
-            links = found if links is None else links.unionByName(found)
-        # Centres leave their buckets; buckets without a centre were done.
-        open_ = members.join(centres.select("of_bucket").distinct(), F.col("bucket") == F.col("of_bucket"), "left_semi").join(
-            centres, (F.col("bucket") == F.col("of_bucket")) & (F.col("member") == F.col("centre")), "left_anti").select(
-            "bucket", "member", "n")
-        count *= 16
-    if links is None:
-        return start
-    final = components(links)
-    return start.select("member").join(final, F.col("member") == F.col("node"), "left").select(
-        "member", F.coalesce("component", "member").alias("label"))
-
-
-def hooked(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after one step: each takes the smallest label it is linked with, and then that one's, twice.
-
-    Connected members may still have different labels after it, never the other way round. That costs comparisons
-    that were not needed, but no link; the components proper are computed once, at the end.
-    """
+        if open_.isEmpty():
+            return labels
+        count *= STEP
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after ``links``: the components of what was connected before are the nodes."""
     of = labels.select(F.col("member").alias("a"), F.col("label").alias("label_a"))
     other = labels.select(F.col("member").alias("b"), F.col("label").alias("label_b"))
-    between = links.join(of, "a").join(other, "b").select("label_a", "label_b").filter("label_a != label_b").distinct()
-    both = between.unionByName(between.select(F.col("label_b").alias("label_a"), F.col("label_a").alias("label_b")))
-    hooks = both.groupBy(F.col("label_a").alias("from")).agg(F.min("label_b").alias("to")).filter("to < from")
-    hooks = staged(hooks, "hooks")
-    for _ in range(2):
-        onward = hooks.select(F.col("from").alias("to"), F.col("to").alias("further"))
-        hooks = hooks.join(onward, "to", "left").select("from", F.coalesce("further", "to").alias("to"))
-    return staged(labels.join(hooks, F.col("label") == F.col("from"), "left").select(
-        "member", F.coalesce("to", "label").alias("label")), "labels")
+    between = links.join(of, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    moved = components(between)
+    return staged(labels.join(moved, F.col("label") == F.col("node"), "left").select(
+        "member", F.coalesce("component", "label").alias("label")), "labels")

@@ -1,11 +1,12 @@
 """Near-duplicates by MinHash with tensored banding.
 
 A document is the set of its distinct shingles, of three words if ``Settings`` say nothing else. Collections of ``ROWS``
-minhashes are computed; every pair of collections is a table, and its key combines the two collections' values.
-Documents that agree in two collections meet in a table, so 24 minhashes serve 66 tables of four rows each. There are
-so many collections that two sets at the threshold agree in at least two but for a chance of 7e-6: 12 at 0.85, 15 at
-0.8. A table is split into bands of set sizes, each set being in two of them, as sets of very different size cannot be
-alike enough.
+minhashes are computed, in blocks of ``BLOCK`` collections; every pair of a block's collections is a table, and its key
+combines the two collections' values. Documents that agree in two collections of a block meet in a table, so 40
+minhashes serve 30 tables of four rows each. There are so many blocks that two sets at the threshold meet in a table but
+for a chance of 7e-6: five at 0.85, six at 0.8. Larger blocks would need fewer minhashes, but documents that are alike
+would meet in many more tables. A table is split into bands of set sizes, as sets of very different size cannot be alike
+enough; only a set near a border is in two of them.
 
 Documents with equal sets are one class from then on. Tables in which the same classes meet are one bucket. A bucket's
 candidates are confirmed on the full sets, as bucket_links tells: no link between components is lost, and pairs inside
@@ -33,12 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.bucket_links import connected
-from stratum.llm.common import WORD, hash64, mapped_rows, numbered
+from stratum.llm.common import WORD, hash64, mapped_rows, numbered, sieved
 from stratum.scratch import kept_only, staged
 
 SHINGLE = 3
 THRESHOLD_PERCENT = 85
 ROWS = 2
+BLOCK = 4
+#: Sizes of a band's sets lie in so many steps, of which the threshold allows one.
+STEPS = 4
 #: Chance that two sets at the threshold meet in no table.
 MISSED = 7e-6
 UPPER = re.compile("[A-Z]+")
@@ -55,10 +59,9 @@ class Settings:
 
     @functools.cached_property
     def collections(self) -> int:
-        agree, count = (self.threshold_percent / 100) ** ROWS, 2
-        while (1 - agree) ** count + count * agree * (1 - agree) ** (count - 1) > MISSED:
-            count += 1
-        return count
+        agree = (self.threshold_percent / 100) ** ROWS
+        missed = (1 - agree) ** BLOCK + BLOCK * agree * (1 - agree) ** (BLOCK - 1)
+        return BLOCK * max(1, math.ceil(math.log(MISSED) / math.log(missed)))
 
 
 @functools.cache
@@ -120,20 +123,22 @@ def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple
     if not len(values):
         return doc_id, key, 0, None, [], None
     digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
-    cells = dict(zip("abcd", parities(values)))
+    cells = dict(zip(CELLS, parities(values)))
     return doc_id, key, len(values), digest, collections_of(values, settings.collections), cells
 
 
+#: Names of the longs that hold the parities.
+CELLS = "abcdefgh"
 SIGNATURE = ("doc_id long, text_key string, n_shingles long, set_key binary, collections array<long>, "
-             "parities struct<a: long, b: long, c: long, d: long>")
+             f"parities struct<{', '.join(f'{c}: long' for c in CELLS)}>")
 
 
 def parities(values: np.ndarray) -> tuple[int, ...]:
-    """A bit for each of 256 cells that hold an odd number of the hashes.
+    """A bit for each of 512 cells that hold an odd number of the hashes.
 
     Two sets have at least as many hashes that only one of them holds as there are bits that differ.
     """
-    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) & 255, minlength=256) & 1
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) & 511, minlength=512) & 1
     return tuple(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
 
 
@@ -150,12 +155,13 @@ def buckets(representatives: DataFrame, settings: Settings) -> DataFrame:
     # A value nobody shares can be part of no shared key.
     usable = values.join(shared, "value", "left_semi").groupBy("class_id", "n").agg(
         F.sort_array(F.collect_list(F.struct("i", "value"))).alias("v")).filter(F.size("v") > 1)
-    pairs = F.expr("filter(flatten(transform(v, x -> transform(v, y -> if(x.i < y.i, xxhash64(x.i, y.i, x.value, y.value), "
-                   "null)))), k -> k is not null)")
-    # Sizes of sets to be linked differ by one band at most.
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / settings.threshold_percent)))
+    pairs = F.expr(f"filter(flatten(transform(v, x -> transform(v, y -> if(x.i < y.i and x.i div {BLOCK} = y.i div {BLOCK}, "
+                   "xxhash64(x.i, y.i, x.value, y.value), null)))), k -> k is not null)")
+    # Sizes of sets to be linked differ by one step at most; a set within a step of its band's start is in the band before, too.
+    step = F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / settings.threshold_percent))
+    bands = F.array_distinct(F.array(F.floor(step / STEPS), F.floor((step - 1) / STEPS)))
     keys = usable.select("class_id", "n", F.explode(pairs).alias("key"))
-    keys = staged(keys.withColumn("band", F.explode(F.array(band, band + 1))).select(
+    keys = staged(keys.withColumn("band", F.explode(bands)).select(
         "class_id", "n", F.xxhash64("key", "band").alias("bucket")), "table-keys")
     met = keys.groupBy("bucket").agg(F.count("*").alias("met"), F.sum(F.xxhash64("class_id").cast("decimal(20,0)")).alias("s"),
                                      F.bit_xor(F.xxhash64(F.lit(1), "class_id")).alias("x"))
@@ -200,6 +206,7 @@ def candidate_texts(docs: DataFrame, representatives: DataFrame, met: DataFrame)
         "class_id", F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("full_text"),
                         F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
+    texts, _ = sieved(texts, F.xxhash64("doc_id", "text_key"), wanted.select(F.xxhash64("of_doc", "of_key")))
     found = texts.join(wanted, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
     return staged(found.select("class_id", F.col("full_text").alias("text")).dropDuplicates(["class_id"]), "class-texts")
 
@@ -208,7 +215,7 @@ def near(threshold_percent: int):
     """What sizes and parities allow: the smaller set is the largest intersection possible, the larger one the smallest
     union; and of both sizes together, no more than (100 - t) / (100 + t) may be hashes that only one set holds."""
     def condition(n: Column, m: Column) -> Column:
-        apart = reduce(add, (F.bit_count(n["parities"][c].bitwiseXOR(m["parities"][c])) for c in "abcd"))
+        apart = reduce(add, (F.bit_count(n["parities"][c].bitwiseXOR(m["parities"][c])) for c in CELLS))
         n, m = n["size"], m["size"]
         return (threshold_percent * F.greatest(n, m) <= 100 * F.least(n, m)) & (
             (100 + threshold_percent) * apart <= (100 - threshold_percent) * (n + m))
@@ -251,6 +258,7 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         gone = marked(docs, settings).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
             F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
         gone = keep(gone, "duplicates")
-    alike = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (
-        F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("__key"))
-    return docs.join(gone, alike, "left_anti")
+    key = F.md5(F.coalesce("text", F.lit("")))
+    touched, others = sieved(docs, F.xxhash64(F.col("doc_id").cast("long"), key), gone.select(F.xxhash64("__doc", "__key")))
+    alike = touched["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (key == F.col("__key"))
+    return touched.join(gone, alike, "left_anti").unionByName(others)

@@ -306,3 +306,73 @@ def test_near_copies_below_the_threshold_form_few_pairs(spark, what, monkeypatch
         rows = segment_join.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
         assert sum(r.n_removed for r in rows) < 5
     assert sum(made) < 1500  # of 7,140
+
+
+def test_copies_meet_in_few_tables(spark, monkeypatch):
+    """Copies that are all alike share most of their minhashes, but need not meet in every pair of them."""
+    from stratum.llm import tensored_minhash
+    rng, made, plain = random.Random(6), [], tensored_minhash.staged
+
+    def counted(df, label):
+        df = plain(df, label)
+        if label == "table-keys":
+            made.append(df.count())
+        return df
+
+    monkeypatch.setattr(tensored_minhash, "staged", counted)
+    words = [f"w{i:03}" for i in range(400)]
+    texts = [" ".join(f"e{n}" if i == at else w for i, w in enumerate(words)) for n, at in enumerate(rng.sample(range(400), 40))]
+    rows = tensored_minhash.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.doc_id for r in rows if r.kept] == [0]
+    assert sum(made) <= 40 * 60  # 132 for each copy, if every two collections make a table with two bands
+
+
+def test_lines_with_a_word_changed_here_and_there_form_few_pairs(spark, monkeypatch):
+    """Lines of one length that differ in parts of two words have nearly the same letters, but not the same triples."""
+    from stratum.llm import bucket_links
+    rng, made, plain = random.Random(7), [], bucket_links.staged
+
+    def counted(df, label):
+        df = plain(df, label)
+        if label == "pairs":
+            made.append(df.count())
+        return df
+
+    monkeypatch.setattr(bucket_links, "staged", counted)
+    words = sentence(rng, 80).split()
+    texts = [" ".join(w + "".join(rng.choice("bcdfghjklm") for _ in range(4)) if i == at else w for i, w in enumerate(words))
+             for at in (rng.randrange(80) for _ in range(200))]
+    rows = segment_join.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    first = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if first[i] != first[j] and segment_join.within(texts[i], texts[j], 2):
+                first = [min(first[i], first[j]) if x in (first[i], first[j]) else x for x in first]
+    assert {r.doc_id for r in rows if r.n_removed} == {i for i, x in enumerate(first) if i != x}
+    assert sum(made) < 1500  # of 19,900
+
+
+def test_sketches_of_linked_lines_differ_by_a_few_bits_an_edit():
+    rng = random.Random(5)
+    for _ in range(2000):
+        line = "".join(rng.choice("abc dé😀") for _ in range(rng.randrange(24, 90)))
+        near = line
+        for _ in range(2):
+            i, kind = rng.randrange(len(near)), rng.randrange(3)
+            near = near[:i] + rng.choice(["x", "", near[i] + "y"]) + near[i + 1:] if kind else near
+        for width, count in ((1, 64), (2, 64), (3, 128)):
+            x, y = segment_join.cells(line, width, count), segment_join.cells(near, width, count)
+            assert sum(((a ^ b) & (2 ** 64 - 1)).bit_count() for a, b in zip(x, y)) <= 4 * width
+
+
+def test_rows_that_no_key_touches_are_told_apart(spark):
+    from pyspark.sql import functions as F
+    from stratum.llm.common import sieved
+    rows = spark.range(5000).withColumn("text", F.md5(F.col("id").cast("string"))).withColumn("__own", F.lit(1))
+    key = F.xxhash64("id", "text")
+    for wanted in ("id % 50 = 7", "id < 0"):
+        touched, others = sieved(rows, key, rows.filter(wanted).select(key))
+        assert touched.columns == others.columns == rows.columns
+        keys = {r.id for r in rows.filter(wanted).collect()}
+        met, left = {r.id for r in touched.collect()}, {r.id for r in others.collect()}
+        assert met >= keys and len(met) <= len(keys) + 5 and not met & left and met | left == set(range(5000))
