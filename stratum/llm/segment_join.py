@@ -22,15 +22,17 @@ import hashlib
 import os
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.bucket_links import connected
-from stratum.llm.common import WORD, arrow_mapped, hash64, mapped_rows, numbered
+from stratum.llm.common import WORD, arrow_mapped, hash64, mapped_rows, mapped_slices, numbered, sieved
 from stratum.llm.line_frequency import with_length
+from stratum.llm.text_units import Hashes
 from stratum.scratch import kept_only, staged
 
 
@@ -44,40 +46,45 @@ class Settings:
 
 #: Letters counted in a line's profile, which keeps lines apart that share a segment by chance.
 LETTERS = " etanis"
+#: Characters from which on no further document is hashed together with those before it.
+MOST_TOGETHER = 1 << 16
 
 
 def encoded(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def segments(length: int, count: int) -> list[tuple[int, int]]:
-    """Starts and sizes of ``count`` segments of nearly equal size."""
-    short, longer = divmod(length, count)
-    found, start = [], 0
-    for i in range(count):
-        size = short + (i >= count - longer)
-        found.append((start, size))
-        start += size
-    return found
-
-
-def substrings(size: int, length: int, edits: int) -> Iterable[tuple[int, int, int]]:
-    """(segment, start, size): where a line of ``size`` can hold a segment of a line of ``length`` <= ``size``."""
-    shift = size - length
-    for i, (start, width) in enumerate(segments(length, edits + 1)):
-        left = max(start - i, start + shift - (edits - i), 0)
-        right = min(start + i, start + shift + (edits - i), size - width)
-        for at in range(left, right + 1):
-            yield i, at, width
-
-
 def keys(line: str, edits: int) -> list[int]:
     """The index entries and probes of a line. A probe at the line's own place is its index entry."""
-    found = set()
-    for length in range(max(edits + 1, len(line) - edits), len(line) + 1):
-        for i, start, width in substrings(len(line), length, edits):
-            found.add(hash64(encoded(f"{length}:{i}:{line[start:start + width]}")))
-    return list(found)
+    return keys_of([line], edits)[0]
+
+
+def keys_of(lines: list[str], edits: int) -> list[list[int]]:
+    """``keys`` of each of the lines, which are hashed together."""
+    sizes = np.array([len(line) for line in lines], dtype=np.int64)
+    first = np.cumsum(sizes) - sizes
+    data = np.frombuffer(encoded("".join(lines)), dtype=np.uint8)
+    # Where characters start.
+    places = np.arange(len(data) + 1) if len(data) == sizes.sum() else np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    hashes, hashed, fits = Hashes(data), [], []
+    for shift in range(edits + 1):
+        lengths = sizes - shift
+        short, longer = np.divmod(np.maximum(lengths, 0), edits + 1)
+        for i in range(edits + 1):
+            width = short + (i >= edits + 1 - longer)
+            start = i * short + np.maximum(i - (edits + 1 - longer), 0)
+            salt = (lengths * 64 + i).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            for move in range(max(-i, shift - (edits - i)), min(i, shift + (edits - i)) + 1):
+                at = start + move
+                fit = (lengths > edits) & (at >= 0) & (at + width <= sizes)
+                begin = np.where(fit, first + at, 0)
+                end = np.where(fit, begin + width, 0)
+                hashed.append((hashes.of(places[begin], places[end]) ^ salt).view(np.int64))
+                fits.append(fit)
+    found = np.array(hashed).T.tolist()
+    if (fit := np.array(fits)).all():
+        return [list(set(row)) for row in found]
+    return [list({key for key, fits_ in zip(row, each) if fits_}) for row, each in zip(found, fit.T.tolist())]
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -123,12 +130,29 @@ def profile(line: str) -> int:
     return signed(packed)
 
 
+def cells(line: str, width: int, count: int) -> list[int]:
+    """A bit for each of ``count`` cells that hold an odd number of the line's runs of ``width`` characters, in longs."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    mixed = np.zeros(max(0, len(codes) - width + 1), dtype=np.uint32)
+    for i in range(width):
+        mixed = (mixed + codes[i:i + len(mixed)]) * np.uint32(0x9E3779B1)
+    odd = np.bincount(mixed >> np.uint32(33 - count.bit_length()), minlength=count) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def neighbours(line: str) -> int:
-    """A bit for each of 64 cells that hold an odd number of the line's pairs of neighbouring characters."""
-    cells = 0
-    for a, b in zip(line, line[1:]):
-        cells ^= 1 << ((ord(a) * 40_503 + ord(b) * 31_337 >> 4) & 63)
-    return signed(cells)
+    """64 cells of the line's pairs of neighbouring characters."""
+    return cells(line, 2, 64)[0]
+
+
+#: What ``alike`` compares of a line.
+MEASURES = "struct<profile: long, letters: long, neighbours: long, triples: long, more_triples: long>"
+
+
+def measured(line: str) -> dict[str, int]:
+    triples, more = cells(line, 3, 128)
+    return {"profile": profile(line), "letters": cells(line, 1, 64)[0], "neighbours": neighbours(line), "triples": triples,
+            "more_triples": more}
 
 
 def signed(packed: int) -> int:
@@ -136,20 +160,38 @@ def signed(packed: int) -> int:
 
 
 def alike(edits: int):
-    """Whether lines can be linked: an edit changes each number of the profile by one, and four of the pairs, at most."""
+    """Whether lines can be linked.
+
+    An edit changes each number of the profile by one, two of its letters' numbers, two cells of letters, four of
+    neighbours and six of triples, at most.
+    """
     def condition(n: Column, m: Column) -> Column:
         byte = [[F.shiftright(x["profile"], 8 * i).bitwiseAND(255) for i in range(8)] for x in (n, m)]
         apart = [(a - b + edits).bitwiseAND(255) for a, b in zip(*byte)]
-        odd = F.bit_count(n["neighbours"].bitwiseXOR(m["neighbours"]))
-        return reduce(and_, (x <= 2 * edits for x in apart)) & (odd <= 4 * edits)
+        together = reduce(add, (F.abs(x - edits) for x in apart[1:]))
+        odd = [F.bit_count(n[c].bitwiseXOR(m[c])) for c in ("letters", "neighbours", "triples", "more_triples")]
+        return (odd[0] <= 2 * edits) & (odd[1] <= 4 * edits) & (odd[2] + odd[3] <= 6 * edits) & reduce(
+            and_, (x <= 2 * edits for x in apart)) & (together <= 2 * edits)
     return condition
 
 
-def described(doc_id: int | None, text: str | None, settings: Settings) -> tuple:
-    found = [{"at": i, "line": hash64(encoded(line)), "n": len(line), "profile": profile(line),
-              "keys": keys(line, settings.max_edits)} for i, line in lines_of(text, settings.min_chars)]
-    data = encoded(text or "")
-    return doc_id, hashlib.md5(data).hexdigest(), hash64(data), found
+def described(columns: list[list], settings: Settings) -> Iterable[tuple]:
+    """A row of ``LINES`` for each of the documents, some of which are hashed together."""
+    at, size = 0, 0
+    for i, text in enumerate(texts := columns[1], 1):
+        size += len(text or "")
+        if size >= MOST_TOGETHER or i == len(texts):
+            yield from described_together(columns[0][at:i], texts[at:i], settings)
+            at, size = i, 0
+
+
+def described_together(doc_ids: list, texts: list, settings: Settings) -> Iterable[tuple]:
+    lines = [list(lines_of(text, settings.min_chars)) for text in texts]
+    entries = iter(keys_of([line for found in lines for _, line in found], settings.max_edits) if any(lines) else ())
+    for doc_id, text, found in zip(doc_ids, texts, lines):
+        data = encoded(text or "")
+        yield doc_id, hashlib.md5(data).hexdigest(), hash64(data), [
+            {"at": i, "line": hash64(encoded(line)), "n": len(line), "keys": next(entries)} for i, line in found]
 
 
 LINES = ("doc_id long, digest string, tie long, "
@@ -169,8 +211,8 @@ def line_texts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataF
 
     every = mapped_rows(docs.select("text"), "member long, text string", lines)
     found = every.join(wanted, F.col("member") == F.col("wanted"), "left_semi").dropDuplicates(["member"])
-    return staged(mapped_rows(found, "member long, text string, n struct<profile: long, neighbours: long>", lambda member, text: (
-        (member, text, {"profile": profile(text), "neighbours": neighbours(text)}),)), "line-texts")
+    return staged(mapped_rows(found, f"member long, text string, n {MEASURES}",
+                              lambda member, text: ((member, text, measured(text)),)), "line-texts")
 
 
 def confirmer(edits: int):
@@ -182,8 +224,8 @@ def confirmer(edits: int):
 
 def judged(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Rows (row_id, doc_id, digest, n_lines), and of those that lose lines row_id, removed, n_near, n_chars."""
-    rows = numbered(mapped_rows(docs.selectExpr("cast(doc_id as long) doc_id", "text"), LINES,
-                                lambda *row: (described(*row, settings),)), "lines")
+    rows = numbered(mapped_slices(docs.selectExpr("cast(doc_id as long) doc_id", "text"), LINES,
+                                  lambda columns: described(columns, settings)), "lines")
     every = rows.select("row_id", "doc_id", "tie", F.inline("lines"))
     keyed = every.select(F.col("line").alias("member"), F.explode("keys").alias("bucket"))
     # Most buckets hold one line, and only their numbers are shuffled; those of copies of one line are told in what is left.
@@ -228,8 +270,10 @@ def cleaned(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         lost = rows.join(gone, "row_id").groupBy(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest")).agg(
             F.first("removed").alias("__removed"))
         lost = keep(lost, "lost-lines")
-    joined = docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (
-        F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("__digest")), "left").select(*docs.columns, "__removed")
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    touched, others = sieved(docs, F.xxhash64(F.col("doc_id").cast("long"), digest), lost.select(F.xxhash64("__doc", "__digest")))
+    joined = touched.join(lost, touched["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (digest == F.col("__digest")),
+                          "left").select(*docs.columns, "__removed")
     columns, at = docs.columns, docs.columns.index("text")
 
     def work(batches):
@@ -241,7 +285,7 @@ def cleaned(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             arrays[at] = pa.array(texts, type=arrays[at].type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep))
 
-    return with_length(arrow_mapped(joined, work, docs.schema))
+    return with_length(arrow_mapped(joined, work, docs.schema).unionByName(others))
 
 
 def without(text: str, places: set[int]) -> str:
