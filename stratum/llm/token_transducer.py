@@ -32,7 +32,11 @@ SPACE = "▁"
 CHUNK = 256
 #: Characters stepped at once.
 BLOCK = 1 << 20
-MOST_STATES = 60_000
+#: States kept at most, 4 bytes for each class of characters each (200 MB for 258 classes). Making them costs far more than
+#: stepping: texts of 25 million characters need 140,000, and the number grows ever more slowly.
+MOST_STATES = 200_000
+#: Bits of a transition that hold the tokens it emits, in excess of half their range.
+EMITTED = 10
 
 
 @dataclasses.dataclass(frozen=True)
@@ -63,6 +67,14 @@ class Vocabulary:
                           model.encode("a", out_type=str)[0].startswith(SPACE))
 
 
+def packed(state: int, emitted: int) -> int:
+    """A transition's entry in the table."""
+    excess = emitted + (1 << EMITTED - 1)
+    if excess >> EMITTED:
+        raise OverflowError("a transition emits too many tokens")
+    return state << EMITTED | excess
+
+
 class Transducer:
     ROOT = 0
 
@@ -106,8 +118,8 @@ class Transducer:
     def _reset(self) -> None:
         self.keys: list[tuple] = []
         self.ids: dict[tuple, int] = {}
-        self.next = np.full((1024, self.classes + 1), -1, dtype=np.int32)
-        self.emits = np.zeros((1024, self.classes + 1), dtype=np.int8)
+        #: by state and class: the state after, and the emitted tokens in the last bits; -1 where not made yet
+        self.table = np.empty((1024, self.classes + 1), dtype=np.int32)
         self._state(((0, None, 0),))
 
     def _state(self, key: tuple) -> int:
@@ -115,10 +127,13 @@ class Transducer:
         if number is None:
             number = self.ids[key] = len(self.keys)
             self.keys.append(key)
-            if number == len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.emits = np.concatenate([self.emits, np.zeros_like(self.emits)])
-            self.next[number, self.classes] = self.ROOT
+            if number == len(self.table):
+                # Rows that no state has yet stay untouched, and take no memory.
+                table = np.empty((2 * number, self.classes + 1), dtype=np.int32)
+                table[:number] = self.table
+                self.table = table
+            self.table[number] = -1
+            self.table[number, self.classes] = packed(self.ROOT, 0)
         return number
 
     def merged(self, text: str) -> list[str]:
@@ -160,12 +175,12 @@ class Transducer:
             raise AssertionError("no stable token ends here")
         key = (*((node, before, fewer - emitted) for node, before, fewer in grown), (0, token, 0))
         target = self._state(key)
-        self.next[state, code], self.emits[state, code] = target, emitted
+        self.table[state, code] = packed(target, emitted)
 
     def _step(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """States before (renumbered if the table was dropped), states after and emitted counts."""
-        after = self.next[states, codes]
-        missing = np.flatnonzero(after < 0)
+        found = self.table[states, codes]
+        missing = np.flatnonzero(found < 0)
         if len(missing):
             if len(self.keys) > self.most_states:
                 distinct, at = np.unique(states, return_inverse=True)
@@ -176,10 +191,10 @@ class Transducer:
             width = self.classes + 1
             for flat in np.unique(states[missing].astype(np.int64) * width + codes[missing]):
                 state, code = divmod(int(flat), width)
-                if self.next[state, code] < 0:
+                if self.table[state, code] < 0:
                     self._transition(state, code)
-            after = self.next[states, codes]
-        return states, after, self.emits[states, codes]
+            found = self.table[states, codes]
+        return states, found >> EMITTED, (found & (1 << EMITTED) - 1) - (1 << EMITTED - 1)
 
     def _chunks(self, codes: np.ndarray, fresh: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
                 entries: list[tuple]) -> tuple[list[tuple], np.ndarray]:

@@ -40,6 +40,19 @@ def test_small_tables_chunks_and_blocks_change_nothing(library, awkward, monkeyp
     assert small.count(awkward) == [len(x) for x in library.encode(awkward)]
 
 
+def test_states_are_not_made_again_and_again(monkeypatch):
+    """The states that a few megabytes of text need are kept."""
+    vocabulary = token_transducer.Vocabulary.load(MODEL)
+    rng, made = random.Random(4), []
+    texts = ["".join(rng.choice("aaaeeeiioonnrrssttlldcmup") for _ in range(2000)) for _ in range(150)]
+    transducer = token_transducer.Transducer(vocabulary)
+    counts = transducer.count(texts)
+    plain = transducer._transition
+    monkeypatch.setattr(transducer, "_transition", lambda *where: (made.append(where), plain(*where)))
+    assert transducer.count(texts) == counts
+    assert not made
+
+
 def test_token_counts_of_documents(spark, library):
     table = pq.read_table(f"{FOLDER}/documents.parquet").select(["doc_id", "text"]).to_pylist()
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
