@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratum.llm.common import mapped_rows
-from stratum.llm.components import components
+from stratum.llm.components import components, few
 from stratum.scratch import staged
 
 
@@ -37,8 +37,8 @@ def ranked(members: DataFrame, largest: bool) -> DataFrame:
     bucket = W.partitionBy("bucket")
     order = F.desc("size") if largest else F.asc("size")
     return (
-        members.withColumn("size", F.count("*").over(W.partitionBy("bucket", "label")))
-        .withColumn("low", F.min("label").over(bucket)).withColumn("high", F.max("label").over(bucket)).filter("low != high")
+        members.withColumn("low", F.min("label").over(bucket)).withColumn("high", F.max("label").over(bucket))
+        .filter("low != high").withColumn("size", F.count("*").over(W.partitionBy("bucket", "label")))
         .withColumn("rank", F.row_number().over(bucket.orderBy(order, "label", "member")))
         .select("bucket", "member", "n", "label", "rank")
     )
@@ -75,18 +75,20 @@ def connected(buckets: DataFrame, texts: DataFrame, near: Callable[[Column, Colu
             full = pairs.join(texts.withColumnsRenamed({"member": "a", "text": "text_a"}), "a").join(
                 texts.withColumnsRenamed({"member": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
             found = staged(mapped_rows(full, "a long, b long", confirm), "confirmed")
-            labels = labels if found.isEmpty() else joined(labels, found)
+            links = found.count()
+            labels = joined(labels, found, links) if links else labels
             tested = pairs if tested is None else tested.unionByName(pairs)
         if open_.isEmpty():
             return labels
         count *= STEP
 
 
-def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after ``links``: the components of what was connected before are the nodes."""
+def joined(labels: DataFrame, links: DataFrame, count: int) -> DataFrame:
+    """Labels after ``count`` ``links``: the components of what was connected before are the nodes."""
     of = labels.select(F.col("member").alias("a"), F.col("label").alias("label_a"))
     other = labels.select(F.col("member").alias("b"), F.col("label").alias("label_b"))
-    between = links.join(of, "a").join(other, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    moved = components(between)
+    between = few(few(links, count).join(of, "a"), count).join(other, "b").select(
+        F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    moved = few(components(between), 2 * count)
     return staged(labels.join(moved, F.col("label") == F.col("node"), "left").select(
         "member", F.coalesce("component", "label").alias("label")), "labels")

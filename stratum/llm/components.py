@@ -1,4 +1,7 @@
-"""Connected components of a table of links, by large-star and small-star steps on the whole table."""
+"""Connected components of a table of links, by large-star and small-star steps on the whole table.
+
+While there are few links, what is looked up is broadcast: a task of a shuffle takes pages of memory even for a few rows.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +11,28 @@ from pyspark.sql import functions as F
 from stratum.scratch import staged
 
 
-def _starred(edges: DataFrame) -> DataFrame:
+#: Rows that are broadcast at most.
+FEW = 50_000
+
+
+def few(rows: DataFrame, count: int) -> DataFrame:
+    """``rows`` to be joined, of which there are ``count``."""
+    return F.broadcast(rows) if count <= FEW else rows
+
+
+def _starred(edges: DataFrame, count: int) -> DataFrame:
     """Links (a, b) with a > b: the neighbours of each node are tied to the smallest one of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("least"))
+    least = few(both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("least")), 2 * count)
     large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     # A node's larger neighbours move to its smallest neighbour; its own link to that one stays.
     own = least.filter(F.col("least") < F.col("a")).select("a", F.col("least").alias("b"))
-    return large.unionByName(own).distinct().filter(F.col("a") > F.col("b"))
+    tied = large.unionByName(own).filter(F.col("a") > F.col("b"))
+    return tied if 2 * count <= FEW else tied.distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+def _small(edges: DataFrame, count: int) -> DataFrame:
+    least = few(edges.groupBy("a").agg(F.min("b").alias("least")), 2 * count)
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select("a", F.col("least").alias("b"))
     return moved.unionByName(own).filter(F.col("a") > F.col("b")).distinct()
@@ -35,7 +48,7 @@ def components(links: DataFrame) -> DataFrame:
                    .filter(F.col("a") > F.col("b")).distinct(), "links")
     state = _state(edges)
     while state[0]:
-        edges = staged(_small(_starred(edges)), "links")
+        edges = staged(_small(_starred(edges, state[0]), state[0]), "links")
         after = _state(edges)
         if after == state:
             break

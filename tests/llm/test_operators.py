@@ -365,6 +365,32 @@ def test_sketches_of_linked_lines_differ_by_a_few_bits_an_edit():
             assert sum(((a ^ b) & (2 ** 64 - 1)).bit_count() for a, b in zip(x, y)) <= 4 * width
 
 
+def test_few_links_are_joined_without_a_shuffle(spark, monkeypatch):
+    """A step over few links looks them up in what is broadcast, whatever Spark broadcasts by itself."""
+    from stratum.llm import bucket_links, components
+    plain, plans = components.staged, []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(bucket_links, "staged", seen)
+    monkeypatch.setattr(components, "staged", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labels = spark.range(60).selectExpr("id member", "id label")
+        links = spark.createDataFrame([(i, i + 3) for i in range(0, 45)] + [(7, 1), (7, 1), (59, 50)], "a long, b long")
+        for most in (components.FEW, 0):
+            monkeypatch.setattr(components, "FEW", most)
+            del plans[:]
+            got = bucket_links.joined(labels, links, links.count()).collect()
+            smallest = {i: i % 3 for i in range(48)} | {59: 50}
+            assert sorted(map(tuple, got)) == [(i, smallest.get(i, i)) for i in range(60)]
+            assert any("SortMergeJoin" in plan for plan in plans) == (not most)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rows_that_no_key_touches_are_told_apart(spark):
     from pyspark.sql import functions as F
     from stratum.llm.common import sieved
